@@ -92,7 +92,7 @@ def with_prev_map(new: DataFrame, prev: DataFrame) -> DataFrame:
 
 
 def _score_text(score: Column) -> Column:
-    return F.concat(F.format_number(score, "0.##"), F.lit("%"))
+    return F.concat(F.round(score, 2).cast("string"), F.lit("%"))
 
 
 def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: DataFrame, type_map: DataFrame,

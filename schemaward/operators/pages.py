@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from schemaward import constants as K
 from schemaward.functions import text as X
@@ -15,7 +14,7 @@ from schemaward.functions.html import PageOutline
 
 _LABELS = [K.TABLE_LABEL, K.SCHEMA_LABEL, K.DATABASE_LABEL, K.PRIMARY_KEYS_LABEL, K.FOREIGN_KEYS_LABEL]
 
-_OUTLINE = T.StructType.fromDDL(
+_OUTLINE = (
     "page_id bigint, title string, blocks map<string,string>,"
     "tables array<struct<table_ord:int, header:array<string>, rows:array<struct<row_ord:int, cells:array<string>>>>>"
 )

@@ -68,7 +68,8 @@ REPORT = _struct(
     ("first_checked_on", _TS), ("last_checked_on", _TS), ("user_verified", _B), ("attempts_made", _I),
 )
 
-PAGE_DOC = T.StructType.fromDDL(
+# DDL text, because parsing it into a type needs a session
+PAGE_DOC = (
     "title string, type string, status string,"
     "history struct<createdBy: struct<displayName: string, username: string>, createdDate: string,"
     "  lastUpdated: struct<by: struct<displayName: string, username: string>, `when`: string>>,"
@@ -77,7 +78,7 @@ PAGE_DOC = T.StructType.fromDDL(
     "body struct<storage: struct<value: string>>"
 )
 
-PARSED_PAGE = T.StructType.fromDDL(
+PARSED_PAGE = (
     "page_title string, page_id bigint,"
     "metadata struct<table_name: string, schema_name: string, database_name: string,"
     "  primary_keys: array<string>, foreign_keys: array<string>>,"

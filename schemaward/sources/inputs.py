@@ -20,9 +20,13 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
     return docs.select("path", F.posexplode(titles).alias("ord", "given_title"))
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """hit/miss report; broken documents read as no entries."""
-    reader = spark.read.schema(S.REPORT).option("multiLine", True).option("mode", "PERMISSIVE")
+def read_report(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+    """hit/miss report; broken or missing entries read as none.
+
+    Entries are one JSON object per line, which splits; ``document`` reads a
+    hand-edited report that is one JSON array over many lines.
+    """
+    reader = spark.read.schema(S.REPORT).option("multiLine", document).option("mode", "PERMISSIVE")
     return reader.json(path).where(F.col("given_title").isNotNull())
 
 

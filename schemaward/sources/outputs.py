@@ -11,7 +11,8 @@ from schemaward.functions.text import clean_strings, file_key
 
 def write_report(df: DataFrame, path: str) -> None:
     """S3: hit/miss report as JSON with cleaned texts; titles stay as given, they are the key."""
-    clean_strings(df, skip=("given_title", "found_title")).write.mode("overwrite").json(path)
+    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in S.REPORT.fields])
+    clean_strings(typed, skip=("given_title", "found_title")).write.mode("overwrite").json(path)
 
 
 def write_state(df: DataFrame, name: str, path: str) -> None:

@@ -252,9 +252,25 @@ select s_suppkey as entry_ord, case when k % 40 = 11 then lower(name) when k % 4
 from (select s_suppkey, s_nationkey, s_suppkey as k, 'SUP_' || cast(s_suppkey - case when s_suppkey % 40 = 11 then 1 else 0 end as string) as name from @supplier) s"""
 
 
+def type_map_raw(d):
+    """A type map as written: keys differing by case, some blank values."""
+    return """
+select case when p_partkey % 2 = 0 then lower(k) else k end as map_key, case when k like '%7' then ' ' else v end as map_value, min(p_partkey) as n
+from (select p_partkey, p_brand || '_' || cast(p_size as string) as k, 'VARCHAR(' || cast(p_size as string) || ')' as v from @part) p group by 1, 2"""
+
+
+def type_map(d):
+    """The shipped type map restricted to the base types that declared columns use."""
+    return """
+select distinct case data_type when 'varchar(128)' then 'VARCHAR' when 'timestamp' then 'TIMESTAMP' when 'bool' then 'BOOLEAN'
+ when 'integer' then 'INTEGER' else 'NUMBER' end as declared_type,
+ case data_type when 'varchar(128)' then 'VARCHAR' when 'timestamp' then 'TIMESTAMP_LTZ' when 'bool' then 'BOOLEAN' else 'NUMBER' end as warehouse_type
+from @colspecs where data_type in ('varchar(128)', 'timestamp', 'bool', 'integer', 'BIGINT', 'NUMBER(38, 0)')"""
+
+
 RECIPES = {f.__name__: f for f in (
     colspecs, resolver, inventory, titles, wiki_pages, prev_report, page_docs, doc_fields, doc_hashes, verified_report,
-    page_metadata, snapshots, order_pages, page_columns, page_ddl, ddl_state, prev_map, resolver_entries)}
+    page_metadata, snapshots, order_pages, page_columns, page_ddl, ddl_state, prev_map, resolver_entries, type_map_raw, type_map)}
 
 _NAME = re.compile(r"@(\w+)")
 
@@ -267,6 +283,7 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    text = text.replace("timestamp '", "timestamp_ntz '")
     used = {n: frame(spark, sf_dir, n) for n in set(_NAME.findall(text))}
     return spark.sql(_NAME.sub(r"{\1}", text.replace("{", "{{").replace("}", "}}")), **used)
 

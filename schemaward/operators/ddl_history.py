@@ -18,44 +18,35 @@ def merge_ddl(state: DataFrame, snapshot: DataFrame, as_of: str) -> DataFrame:
     ``snapshot``: key, db_name, schema_name, object_name, obj_exists, ddl, notes;
     one row per key. A reappearing object counts as changed from a null hash, so
     its previous text is lost, as the state machine prescribes.
-    The state side is joined left, so a small snapshot is broadcast and the state
-    never shuffles; new keys come from the snapshot alone.
+    A run checks most objects, so both sides meet in one full outer join; keys are
+    unique on both, which bounds every join group by one pair.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
+    named = ["db_name", "schema_name", "object_name", "notes"]
     new = snapshot.select(
-        *KEY, *[F.col(c).alias(f"n_{c}") for c in ("db_name", "schema_name", "object_name", "obj_exists", "notes")],
-        F.nullif("ddl", F.lit("")).alias("n_ddl"), ddl_hash(F.col("ddl")).alias("n_hash"), F.lit(True).alias("_seen"))
-    seen = F.coalesce("_seen", F.lit(False))
-    changed = F.col("n_hash").isNotNull() & ~F.col("n_hash").eqNullSafe(F.col("current_ddl_hash"))
+        *KEY, *[F.col(c).alias(f"n_{c}") for c in named], F.col("obj_exists").alias("n_exists"),
+        F.nullif("ddl", F.lit("")).alias("n_ddl"), ddl_hash(F.col("ddl")).alias("n_hash"), F.lit(True).alias("_checked"))
+    old = state.withColumn("_known", F.lit(True))
+    checked, fresh = F.col("_checked").isNotNull(), F.col("_known").isNull()
+    has_ddl = F.col("n_hash").isNotNull()
+    changed = ~fresh & has_ddl & ~F.col("n_hash").eqNullSafe(F.col("current_ddl_hash"))
     appeared = ~F.col("obj_exists") & F.col("n_exists")
 
     def pick(value: Column, kept: str) -> Column:
-        return F.when(seen, value).otherwise(F.col(kept)).alias(kept)
+        return F.when(checked, value).otherwise(F.col(kept)).alias(kept)
 
-    new = new.withColumnRenamed("n_obj_exists", "n_exists")
-    known = state.join(new, KEY, "left").select(
+    return old.join(new, KEY, "full_outer").select(
         *KEY,
-        *[pick(F.col(f"n_{c}"), c) for c in ("db_name", "schema_name", "object_name")],
+        *[pick(F.col(f"n_{c}"), c) for c in named],
         pick(F.col("n_exists"), "obj_exists"),
         pick(F.col("n_hash"), "current_ddl_hash"),
         pick(F.col("n_ddl"), "current_ddl"),
-        pick(F.when(F.col("n_hash").isNotNull(), now).otherwise(F.col("last_extracted_on")), "last_extracted_on"),
+        pick(F.when(has_ddl, now).otherwise(F.col("last_extracted_on")), "last_extracted_on"),
         pick(F.when(changed, F.col("current_ddl_hash")).otherwise(F.col("previous_ddl_hash")), "previous_ddl_hash"),
         pick(F.when(changed, F.col("current_ddl")).otherwise(F.col("previous_ddl")), "previous_ddl"),
-        pick(F.when(changed | appeared, now).otherwise(F.col("ddl_changed_on")), "ddl_changed_on"),
+        pick(F.when(fresh | changed | appeared, now).otherwise(F.col("ddl_changed_on")), "ddl_changed_on"),
         pick(now, "last_checked_on"),
-        pick(F.col("n_notes"), "notes"),
-    )
-    keys_known = state.select(*KEY).join(new.select(*KEY), KEY, "left_semi")
-    fresh = new.join(keys_known, KEY, "left_anti").select(
-        *KEY, F.col("n_db_name").alias("db_name"), F.col("n_schema_name").alias("schema_name"),
-        F.col("n_object_name").alias("object_name"), F.col("n_exists").alias("obj_exists"),
-        F.col("n_hash").alias("current_ddl_hash"), F.col("n_ddl").alias("current_ddl"),
-        F.when(F.col("n_hash").isNotNull(), now).alias("last_extracted_on"),
-        F.lit(None).cast("string").alias("previous_ddl_hash"), F.lit(None).cast("string").alias("previous_ddl"),
-        now.alias("ddl_changed_on"), now.alias("last_checked_on"), F.col("n_notes").alias("notes"),
-    )
-    return known.unionByName(fresh)
+    ).select(*S.DDL_STATE.names)
 
 
 def ddl_history(snapshots: DataFrame, hot_rows: int = skew.HOT_ROWS, tie: str | None = None) -> DataFrame:

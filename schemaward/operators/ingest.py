@@ -9,7 +9,6 @@ from schemaward import constants as K
 from schemaward import schemas as S
 from schemaward.functions.hashing import metadata_hash
 from schemaward.functions.text import add_note, clean_strings, clean_text, file_key, labels_json, title_or_default
-from schemaward.operators.merge import replace_by_key
 
 # Columns that only a successfully read document supplies.
 _FROM_DOC = ["api_title", "api_type", "api_status", "last_modified_by_display_name", "last_modified_by_username",
@@ -67,8 +66,8 @@ def ingest_metadata(prev: DataFrame, docs: DataFrame, report: DataFrame, as_of:
     doc = flat.select("page_id", "doc_present", "doc_ok", "new_hash", F.struct(*_FROM_DOC).alias("doc"))
     kept = ["hash_id", "extraction_status", "last_parsed_content_hash", "structured_data_file", *_FROM_DOC]
     old = prev.select("page_id", F.struct(*kept).alias("old"))
-    rows = report.where("status = 'HIT' and user_verified and page_id is not null") \
-        .join(doc, "page_id", "left").join(old, "page_id", "left")
+    verified = report.where("status = 'HIT' and user_verified and page_id is not null")
+    rows = verified.join(doc, "page_id", "left").join(old, "page_id", "left")
 
     present = F.coalesce("doc_present", F.lit(False))
     ok = present & F.coalesce("doc_ok", F.lit(False))
@@ -88,7 +87,8 @@ def ingest_metadata(prev: DataFrame, docs: DataFrame, report: DataFrame, as_of:
         F.col("old.structured_data_file").alias("structured_data_file"),
         add_note(F.col("notes"), failure).alias("notes"),
     ).select(*S.PAGE_METADATA.names)
-    return replace_by_key(prev, clean_strings(changes), ["page_id"])
+    # the report alone tells which state rows are replaced: the documents are read once
+    return prev.join(verified.select("page_id"), "page_id", "left_anti").unionByName(clean_strings(changes))
 
 
 def parse_queue(meta: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from schemaward.functions.ddl import ddl_column_array
 from schemaward.functions.similarity import best_choice, check_strategy, mapping_status
 from schemaward.functions.text import is_yes, strip
 from schemaward.functions.types import resolve_types
-from schemaward.operators.merge import upsert
 from schemaward.operators.pages import columns_to_map
 
 KEY = S.MAPPING_KEY
@@ -111,6 +110,7 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
         F.max_by(F.struct(*[c for c in specs.columns if c not in ("page_id", "target_field_name")]), "row_ord").alias("s"))
     flagged = resolve_types(named.select("page_id", "target_field_name", "s.*"), type_map).join(titles, "page_id", "left")
     rows = with_prev_map(flagged.join(mapped_objects, "page_id"), prev)
+    handled = columns_to_map(specs).select("page_id", "target_field_name").join(mapped_objects.select("page_id", *_OBJECT), "page_id")
     override = F.coalesce(F.col("old.user_override"), F.lit(False))
     unchanged = F.coalesce((F.col("old.ddl_hash_at_mapping") == F.col("current_ddl_hash"))
                            & F.col("old.mapping_status").isin("MAPPED_EXACT", "MAPPED_FUZZY"), F.lit(False))
@@ -143,7 +143,8 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
         F.col("current_ddl_hash").alias("ddl_hash_at_mapping"), now.alias("last_mapped_on"),
         pick("notes", notes), F.col("override").alias("user_override"), F.lit(True).alias("is_active"),
     ).select(*S.COLUMN_MAP.names)
-    return upsert(prev, new, KEY)
+    # new rows are whole, and their keys are known without scoring
+    return prev.join(handled, KEY, "left_anti").unionByName(new)
 
 
 def orphan_mappings(column_map: DataFrame, specs: DataFrame, objects: DataFrame | None = None) -> DataFrame:
@@ -158,11 +159,23 @@ def orphan_mappings(column_map: DataFrame, specs: DataFrame, objects: DataFrame
 
 
 def deactivate_orphans(column_map: DataFrame, specs: DataFrame, as_of: str, objects: DataFrame | None = None) -> DataFrame:
-    """M8: orphans become inactive; user overrides stay active and are only marked as checked."""
-    orphans = orphan_mappings(column_map, specs, objects)
-    override = F.col("user_override")
-    changes = orphans.select(
-        *KEY, F.lit(as_of).cast("timestamp_ntz").alias("last_mapped_on"), override.alias("is_active"), override.alias("user_override"),
-        F.when(override, F.col("mapping_status")).otherwise("INACTIVE_ORPHANED").alias("mapping_status"),
-        F.when(override, F.col("notes")).otherwise("Automatically marked as inactive: column removed from page.").alias("notes"))
-    return upsert(column_map, changes, KEY)
+    """M8: orphans become inactive; user overrides stay active and are only marked as checked.
+
+    C15 as flags on two left joins, so that the mapping state is read once.
+    """
+    here = F.lit(True)
+    listed = specs.select("page_id", "target_field_name").distinct().withColumn("_listed", here)
+    rows = column_map.join(listed, ["page_id", "target_field_name"], "left")
+    handled = F.lit(True)
+    if objects is not None:
+        rows = rows.join(objects.select("page_id", *_OBJECT).distinct().withColumn("_handled", here), ["page_id", *_OBJECT], "left")
+        handled = F.col("_handled").isNotNull()
+    orphan = F.col("is_active") & handled & F.col("_listed").isNull()
+    off = orphan & ~F.col("user_override")
+    over = {
+        "last_mapped_on": F.when(orphan, F.lit(as_of).cast("timestamp_ntz")).otherwise(F.col("last_mapped_on")),
+        "is_active": F.col("is_active") & ~off,
+        "mapping_status": F.when(off, "INACTIVE_ORPHANED").otherwise(F.col("mapping_status")),
+        "notes": F.when(off, "Automatically marked as inactive: column removed from page.").otherwise(F.col("notes")),
+    }
+    return rows.select(*[over[c].alias(c) if c in over else F.col(c) for c in column_map.columns])

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from schemaward import constants as K
 from schemaward.functions import text as X
@@ -14,22 +15,23 @@ from schemaward.functions.html import PageOutline
 
 _LABELS = [K.TABLE_LABEL, K.SCHEMA_LABEL, K.DATABASE_LABEL, K.PRIMARY_KEYS_LABEL, K.FOREIGN_KEYS_LABEL]
 
-_OUTLINE = (
-    "page_id bigint, title string, blocks map<string,string>,"
-    "tables array<struct<table_ord:int, header:array<string>, rows:array<struct<row_ord:int, cells:array<string>>>>>"
-)
-_ARROW = pa.schema([
-    ("page_id", pa.int64()),
-    ("title", pa.string()),
-    ("blocks", pa.map_(pa.string(), pa.string())),
-    ("tables", pa.list_(pa.struct([
-        ("table_ord", pa.int32()), ("header", pa.list_(pa.string())),
-        ("rows", pa.list_(pa.struct([("row_ord", pa.int32()), ("cells", pa.list_(pa.string()))]))),
+_OUTLINE = T.StructType([
+    T.StructField("blocks", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("tables", T.ArrayType(T.StructType([
+        T.StructField("table_ord", T.IntegerType()), T.StructField("header", T.ArrayType(T.StringType())),
+        T.StructField("rows", T.ArrayType(T.StructType([
+            T.StructField("row_ord", T.IntegerType()), T.StructField("cells", T.ArrayType(T.StringType()))]))),
     ]))),
 ])
+_BLOCKS = pa.map_(pa.string(), pa.string())
+_TABLES = pa.list_(pa.struct([
+    ("table_ord", pa.int32()), ("header", pa.list_(pa.string())),
+    ("rows", pa.list_(pa.struct([("row_ord", pa.int32()), ("cells", pa.list_(pa.string()))]))),
+]))
+_SLICE = 64  # pages per output batch; one page may be long
 
 
-def _outline(page_id: int, title: str | None, html: str | None) -> dict:
+def _outline(html: str | None) -> tuple[list, list]:
     page = PageOutline(html or "")
     tables = []
     for number, rows in enumerate(page.tables, 1):
@@ -41,24 +43,27 @@ def _outline(page_id: int, title: str | None, html: str | None) -> dict:
             if cells:
                 body.append({"row_ord": n, "cells": cells})
         tables.append({"table_ord": number, "header": [page.text(c) for c in rows[0]], "rows": body})
-    return {"page_id": page_id, "title": title, "blocks": list(page.labelled(_LABELS).items()), "tables": tables}
+    return list(page.labelled(_LABELS).items()), tables
 
 
 def outline_pages(pages: DataFrame) -> DataFrame:
-    """The Python half of H12: page_id, title, labelled blocks, raw header and cell texts.
+    """The Python half of H12: html replaced by labelled blocks and raw header and cell texts.
 
-    One output row per page, so nothing is shuffled, and everything after the
-    tokenizer stays in native expressions. Batches hold few pages because one page
-    may be long.
+    One output row per page with its other columns passed through, so nothing is
+    shuffled, and everything after the tokenizer stays in native expressions.
     """
+    kept = [f for f in pages.schema.fields if f.name != "html"]
+    names = [f.name for f in kept] + ["blocks", "tables"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64).to_pylist()
-                yield pa.RecordBatch.from_pylist([_outline(**p) for p in some], schema=_ARROW)
+            for at in range(0, batch.num_rows, _SLICE):
+                some = batch.slice(at, _SLICE)
+                made = [_outline(h) for h in some.column(some.num_columns - 1).to_pylist()]
+                arrays = [*some.columns[:-1], pa.array([m[0] for m in made], _BLOCKS), pa.array([m[1] for m in made], _TABLES)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
-    title = F.col("title") if "title" in pages.columns else F.lit(None).cast("string").alias("title")
-    return pages.select(F.col("page_id").cast("long"), title, "html").mapInArrow(run, _OUTLINE)
+    return pages.select(*[f.name for f in kept], "html").mapInArrow(run, T.StructType([*kept, *_OUTLINE.fields]))
 
 
 def page_tables(pages: DataFrame) -> DataFrame:
@@ -66,7 +71,7 @@ def page_tables(pages: DataFrame) -> DataFrame:
 
     Short rows get an empty or 'false' value for every missing column.
     """
-    t = outline_pages(pages).select("page_id", F.inline("tables"))
+    t = outline_pages(pages.select("page_id", "html")).select("page_id", F.inline("tables"))
     r = t.select("page_id", "table_ord", F.transform("header", X.header_key).alias("keys"), F.inline("rows"))
     c = r.select("page_id", "table_ord", "row_ord", "cells", F.posexplode("keys").alias("col_ord", "key"))
     return c.select("page_id", "table_ord", "row_ord", "col_ord", "key",
@@ -117,12 +122,13 @@ def _record(keys: Column, cells: Column) -> Column:
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """A6 up to the struct: page_id and ``page`` as the nested parsed document.
+    """A6 up to the struct: html and title replaced by ``page``, the nested parsed document.
 
     Everything happens inside the page's own row, without a shuffle.
-    ``pages``: page_id, title, html.
+    ``pages``: page_id, title, html; other columns are passed through.
     """
-    return outline_pages(pages).select("page_id", _document(F.col("page_id"), F.col("title"), F.col("blocks"), F.col("tables")).alias("page"))
+    document = _document(F.col("page_id"), F.col("title"), F.col("blocks"), F.col("tables"))
+    return outline_pages(pages).withColumn("page", document).drop("title", "blocks", "tables")
 
 
 def _document(page_id: Column, title: Column, blocks: Column, tables: Column) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from schemaward import schemas as S
 from schemaward.operators import catalog, ddl_history, ingest, matching, pages, resolver, titles
 from schemaward.operators.matching import MatchSettings
-from schemaward.operators.merge import replace_by_key
 
 
 def find_pages(title_list: DataFrame, page_list: DataFrame, prev_report: DataFrame, as_of: str,
@@ -27,12 +26,14 @@ def parse_run(meta: DataFrame, docs: DataFrame, content: DataFrame, as_of: str)
         "page_id", F.coalesce(F.nullif("api_title", F.lit("")), "found_title").alias("title"))
     bodies = queue.join(ingest.page_bodies(docs), "page_id", "left").withColumn(
         "outcome", F.coalesce("outcome", F.lit("API_ERROR")))
-    parsed = pages.parsed_pages(bodies.where("outcome = 'OK'"))
-    fresh = parsed.select("page_id", F.to_json("page", {"ignoreNullFields": "false"}).alias("parsed_json"),
-                          F.lit(as_of).cast("timestamp_ntz").alias("parsed_date"))
-    names = parsed.select("page_id", F.col("page.metadata.table_name").alias("table_name"))
-    results = bodies.select("page_id", "outcome").join(names, "page_id", "left").withColumn("detail", F.lit(None).cast("string"))
-    return ingest.apply_parse_result(meta, results, as_of), replace_by_key(content, fresh, ["page_id"])
+    parsed = pages.parsed_pages(bodies)
+    results = parsed.select("page_id", "outcome", F.col("page.metadata.table_name").alias("table_name"),
+                            F.lit(None).cast("string").alias("detail"))
+    fresh = parsed.where("outcome = 'OK'").select(
+        "page_id", F.to_json("page", {"ignoreNullFields": "false"}).alias("parsed_json"),
+        F.lit(as_of).cast("timestamp_ntz").alias("parsed_date"))
+    read = bodies.where("outcome = 'OK'").select("page_id")
+    return ingest.apply_parse_result(meta, results, as_of), content.join(read, "page_id", "left_anti").unionByName(fresh)
 
 
 def check_sources(specs: DataFrame, flat_resolver: DataFrame, envs: list[str], inventory: DataFrame) -> DataFrame:

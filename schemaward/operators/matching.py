@@ -144,7 +144,7 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
         pick("notes", notes), F.col("override").alias("user_override"), F.lit(True).alias("is_active"),
     ).select(*S.COLUMN_MAP.names)
     # new rows are whole, and their keys are known without scoring
-    return prev.join(handled, KEY, "left_anti").unionByName(new)
+    return prev.join(handled, KEY, "left_anti").select(*S.COLUMN_MAP.names).unionByName(new)
 
 
 def orphan_mappings(column_map: DataFrame, specs: DataFrame, objects: DataFrame | None = None) -> DataFrame:

@@ -45,7 +45,8 @@ def upsert(state: DataFrame, changes: DataFrame, keys: list[str], supplied: str
 
 def replace_by_key(state: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """M2: whole rows of ``changes`` take the place of state rows with the same key."""
-    return state.join(changes.select(*keys), keys, "left_anti").unionByName(changes.select(*state.columns))
+    kept = state.join(changes.select(*keys), keys, "left_anti").select(*state.columns)
+    return kept.unionByName(changes.select(*state.columns))
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from schemaward import schemas as S
@@ -49,50 +49,110 @@ def merge_ddl(state: DataFrame, snapshot: DataFrame, as_of: str) -> DataFrame:
     ).select(*S.DDL_STATE.names)
 
 
+def _order(tie: str | None) -> list[str]:
+    return ["checked_on", tie] if tie else ["checked_on"]
+
+
+def _steps(snapshots: DataFrame, order: list[str], hot_rows: int) -> DataFrame:
+    """Snapshots cut into time blocks, each row with the row before it inside its block."""
+    rows = snapshots.select(*KEY, *order, "obj_exists", F.nullif("ddl", F.lit("")).alias("ddl"), ddl_hash(F.col("ddl")).alias("hash"))
+    rows = skew.time_blocks(rows, KEY, "checked_on", hot_rows)
+    inside = Window.partitionBy(*KEY, skew.BLOCK).orderBy(*order)
+    return rows.withColumn("before", F.lag(F.struct("hash", "ddl", "obj_exists")).over(inside))
+
+
+def _replaced(row_hash: Column, before: Column) -> Column:
+    """A new text took the place of the one before."""
+    return before.isNotNull() & row_hash.isNotNull() & ~row_hash.eqNullSafe(before["hash"])
+
+
+def _appeared(row_exists: Column, before: Column) -> Column:
+    return F.coalesce(~before["obj_exists"] & row_exists, F.lit(False))
+
+
+def _was(before: Column) -> Column:
+    return F.struct(before["hash"].alias("hash"), before["ddl"].alias("ddl"))
+
+
+def _block_states(steps: DataFrame, order: list[str]) -> DataFrame:
+    """One row per object and block: what came before it and the merge state at its end.
+
+    A block is summarised by its first and last row and its inner changes. Whether
+    the first row is a change shows next to the last row of the block before.
+    """
+    before, at = F.col("before"), F.struct(*order)
+    inner = _replaced(F.col("hash"), before)
+    moved = before.isNotNull() & (inner | _appeared(F.col("obj_exists"), before))
+    blocks = steps.groupBy(*KEY, skew.BLOCK).agg(
+        F.min_by(F.struct("hash", "obj_exists", "checked_on"), at).alias("first"),
+        F.max_by(F.struct("hash", "ddl", "obj_exists", "checked_on"), at).alias("last"),
+        F.max_by(_was(before), F.when(inner, at)).alias("was"),
+        F.max(F.when(moved, F.col("checked_on"))).alias("changed_on"),
+        F.max(F.when(F.col("hash").isNotNull(), F.col("checked_on"))).alias("extracted_on"),
+    )
+    w = Window.partitionBy(*KEY).orderBy(skew.BLOCK)
+    earlier, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
+    old = F.col("old")
+    first_changed = _replaced(F.col("first.hash"), old)
+    first_moved = old.isNull() | first_changed | _appeared(F.col("first.obj_exists"), old)
+    marked = blocks.withColumn("old", F.lag("last").over(w)).select(
+        *KEY, skew.BLOCK, "old", "last",
+        F.coalesce("was", F.when(first_changed, _was(old))).alias("was"),
+        F.coalesce("changed_on", F.when(first_moved, F.col("first.checked_on"))).alias("changed_on"), "extracted_on")
+    marks = ["was", "changed_on", "extracted_on"]
+    return marked.select(
+        *KEY, skew.BLOCK, "old", "last",
+        *[F.last(m, ignorenulls=True).over(upto).alias(m) for m in marks],
+        *[F.last(m, ignorenulls=True).over(earlier).alias(f"earlier_{m}") for m in marks])
+
+
 def ddl_history(snapshots: DataFrame, hot_rows: int = skew.HOT_ROWS, tie: str | None = None) -> DataFrame:
     """The merge state after every snapshot of every object.
 
     ``snapshots``: key, checked_on, obj_exists, ddl (and a tie-breaking column
     where two snapshots of one object may share a time). Adds current, previous,
     changed-on and extracted-on columns, plus is_change. Hot objects are cut into
-    time blocks, see ``schemaward.plans.skew``.
+    time blocks, see ``schemaward.plans.skew``; block states are made for them only.
     """
-    order = ["checked_on"] + ([tie] if tie else [])
-    rows = snapshots.select(*KEY, *order, "obj_exists", F.nullif("ddl", F.lit("")).alias("current_ddl"),
-                            ddl_hash(F.col("ddl")).alias("current_ddl_hash"))
-    rows = skew.time_blocks(rows, KEY, "checked_on", hot_rows)
-    rows = skew.previous_row(rows, KEY, order, F.struct(
-        F.col("current_ddl_hash").alias("hash"), F.col("current_ddl").alias("ddl"), F.col("obj_exists").alias("exists")), "p")
-    first = ~F.col("p_present")
-    h = F.col("current_ddl_hash")
-    changed = h.isNotNull() & ~h.eqNullSafe(F.col("p.hash"))
-    appeared = F.coalesce(~F.col("p.exists") & F.col("obj_exists"), F.lit(False))
-    rows = rows.withColumn("is_change", changed | first | appeared)
-    rows = skew.last_marks(rows, KEY, order, {
-        # the struct stops a null previous hash from being skipped
-        "_was": F.when(changed & ~first, F.struct(F.col("p.hash").alias("hash"), F.col("p.ddl").alias("ddl"))),
-        "ddl_changed_on": F.when(F.col("is_change"), F.col("checked_on")),
-        "last_extracted_on": F.when(h.isNotNull(), F.col("checked_on")),
-    })
+    order = _order(tie)
+    steps = _steps(snapshots, order, hot_rows)
+    carried = _block_states(steps.where(skew.HOT), order).drop("last", "was", "changed_on", "extracted_on")
+    rows = steps.join(carried, [*KEY, skew.BLOCK], "left")
+    earlier = F.when(F.col("old").isNotNull(), F.struct("old.hash", "old.ddl", "old.obj_exists"))
+    rows = rows.withColumn("p", F.coalesce("before", earlier))
+    p = F.col("p")
+    changed = _replaced(F.col("hash"), p)
+    rows = rows.withColumn("is_change", p.isNull() | changed | _appeared(F.col("obj_exists"), p))
+    upto = Window.partitionBy(*KEY, skew.BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+    def latest(mark: Column, carried_mark: str) -> Column:
+        return F.coalesce(F.last(mark, ignorenulls=True).over(upto), F.col(carried_mark))
+
+    was = latest(F.when(changed, _was(p)), "earlier_was")
     return rows.select(
-        *KEY, *order, "obj_exists", "is_change", "current_ddl_hash", "current_ddl", "last_extracted_on",
-        F.col("_was.hash").alias("previous_ddl_hash"), F.col("_was.ddl").alias("previous_ddl"), "ddl_changed_on")
+        *KEY, *order, "obj_exists", "is_change", F.col("hash").alias("current_ddl_hash"), F.col("ddl").alias("current_ddl"),
+        latest(F.when(F.col("hash").isNotNull(), F.col("checked_on")), "earlier_extracted_on").alias("last_extracted_on"),
+        was["hash"].alias("previous_ddl_hash"), was["ddl"].alias("previous_ddl"),
+        latest(F.when(F.col("is_change"), F.col("checked_on")), "earlier_changed_on").alias("ddl_changed_on"))
 
 
 def fold_ddl(snapshots: DataFrame, hot_rows: int = skew.HOT_ROWS, tie: str | None = None) -> DataFrame:
-    """M6: DDL state after all snapshots at once; equals ``merge_ddl`` run by run."""
-    steps = ddl_history(snapshots, hot_rows, tie)
-    order = ["checked_on"] + ([tie] if tie else [])
-    values = ["obj_exists", "current_ddl_hash", "current_ddl", "last_extracted_on", "previous_ddl_hash",
-              "previous_ddl", "ddl_changed_on", "checked_on"]
-    final = steps.groupBy(*KEY).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("s"))
+    """M6: DDL state after all snapshots at once; equals ``merge_ddl`` run by run.
+
+    Only block states travel on after the one window over the snapshots, so hot
+    objects need no second pass and nothing is joined back.
+    """
+    order = _order(tie)
+    states = _block_states(_steps(snapshots, order, hot_rows), order)
+    final = states.groupBy(*KEY).agg(F.max_by(F.struct("last", "was", "changed_on", "extracted_on"), skew.BLOCK).alias("s"))
     part = F.split("fqdn", r"\.")
     return final.select(
-        *KEY, F.get(part, F.lit(0)).alias("db_name"), F.get(part, F.lit(1)).alias("schema_name"),
-        F.get(part, F.lit(2)).alias("object_name"),
-        *[F.col(f"s.{v}") for v in values[:-1]],
-        F.col("s.checked_on").alias("last_checked_on"), F.lit("").alias("notes"),
-    ).select(*S.DDL_STATE.names)
+        *KEY, *[F.get(part, F.lit(i)).alias(n) for i, n in enumerate(("db_name", "schema_name", "object_name"))],
+        F.col("s.last.obj_exists").alias("obj_exists"), F.col("s.last.hash").alias("current_ddl_hash"),
+        F.col("s.last.ddl").alias("current_ddl"), F.col("s.extracted_on").alias("last_extracted_on"),
+        F.col("s.was.hash").alias("previous_ddl_hash"), F.col("s.was.ddl").alias("previous_ddl"),
+        F.col("s.changed_on").alias("ddl_changed_on"), F.col("s.last.checked_on").alias("last_checked_on"),
+        F.lit("").alias("notes"))
 
 
 def internal_changes(ddl_state: DataFrame) -> DataFrame:

@@ -1,27 +1,27 @@
-"""Ordered per-key computations that survive hot keys.
+"""Time blocks: ordered per-key computations that survive hot keys.
 
 A window over a key runs in one task per key. Keys with more than ``hot_rows``
 rows are therefore cut into equal time blocks; each block is computed on its
 own, and what a block needs from its predecessors travels as one summary row per
-block. Keys below the limit are a single block, and no summary is made for them.
-The cuts come from exact counts and extremes, so a recomputed stage (lost
-executor) cuts the same way.
+block. Ordinary keys are a single block. The cuts come from exact counts and
+extremes, so a recomputed stage (lost executor) cuts the same way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
 BLOCK = "_block"
+HOT = "_hot"
 
 
 def time_blocks(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Adds a block number per row: 0 for ordinary keys, 0..n for hot ones; monotone in time.
+    """Adds a block number per row, 0 for ordinary keys and 0..n in time order for hot ones, and a hot flag.
 
-    At most rows / hot_rows keys are hot, so the joined side is small and the
-    planner broadcasts it at run time; ``_hot`` marks their rows.
+    At most rows / hot_rows keys are hot; the join carries no hint, so the planner
+    broadcasts that side only once its size is known.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     hot = (
@@ -34,41 +34,7 @@ def time_blocks(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROW
     at = F.floor((micros - F.col("_lo")).cast("double") * F.col("_cuts") / (F.col("_hi") - F.col("_lo") + 1))
     return (
         df.join(hot, keys, "left")
-        .withColumn("_hot", F.col("_cuts").isNotNull())
+        .withColumn(HOT, F.col("_cuts").isNotNull())
         .withColumn(BLOCK, F.coalesce(at, F.lit(0)).cast("long"))
         .drop("_lo", "_hi", "_cuts")
     )
-
-
-def previous_row(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str) -> DataFrame:
-    """Adds ``name``: ``value`` of the row before in key order, across block borders."""
-    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    ends = (
-        df.where("_hot").groupBy(*keys, BLOCK)
-        .agg(F.max_by(F.struct(value.alias("v")), F.struct(*order)).alias("_end"))
-        .withColumn("_carry", F.lag("_end").over(Window.partitionBy(*keys).orderBy(BLOCK)))
-        .select(*keys, BLOCK, "_carry")
-    )
-    boxed = F.lag(F.struct(value.alias("v"))).over(inside)
-    return (
-        df.withColumn("_prev", boxed)
-        .join(ends, [*keys, BLOCK], "left")
-        .withColumn(name, F.coalesce("_prev", "_carry")["v"])
-        .withColumn(f"{name}_present", F.coalesce("_prev", "_carry").isNotNull())
-        .drop("_prev", "_carry")
-    )
-
-
-def last_marks(df: DataFrame, keys: list[str], order: list[str], marks: dict[str, Column]) -> DataFrame:
-    """Adds, per mark, its last non-null value up to and including the row, across blocks."""
-    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    marked = df.select("*", *[c.alias(f"_m_{n}") for n, c in marks.items()])
-    ends = (
-        marked.where("_hot").groupBy(*keys, BLOCK)
-        .agg(*[F.max_by(f"_m_{n}", F.when(F.col(f"_m_{n}").isNotNull(), F.struct(*order))).alias(f"_e_{n}") for n in marks])
-        .select(*keys, BLOCK, *[F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in marks])
-    )
-    out = marked.select("*", *[F.last(f"_m_{n}", ignorenulls=True).over(inside).alias(f"_i_{n}") for n in marks])
-    out = out.join(ends, [*keys, BLOCK], "left")
-    return out.select(*df.columns, *[F.coalesce(f"_i_{n}", f"_c_{n}").alias(n) for n in marks])

@@ -49,13 +49,14 @@ def resolve_types(df: DataFrame, type_map: DataFrame, col: str = "data_type",
     """Adds resolved_type, type_warnings (array) and type_category.
 
     ``type_map`` has (declared_type, warehouse_type) rows with distinct upper-case
-    keys. It is joined without a hint: the planner broadcasts it when it is small,
-    and a skewed base type is split by the adaptive join otherwise.
+    keys. Only valid base types are ever looked up, so at most len(valid) of its
+    rows are broadcast, and the declared columns are not shuffled on their type.
     """
     raw = F.col(col)
     typed = df.withColumn("_t", parse_type(raw)).withColumn("_base", canonical_type(F.col("_t.base"), synonyms))
-    joined = typed.join(
-        type_map.select(F.col("declared_type").alias("_base"), F.col("warehouse_type").alias("_mapped")), "_base", "left")
+    entries = type_map.where(F.col("declared_type").isin(*valid)).groupBy(F.col("declared_type").alias("_base")).agg(
+        F.max("warehouse_type").alias("_mapped"))
+    joined = typed.join(F.broadcast(entries), "_base", "left")
 
     shown = F.coalesce(raw, F.lit("None"))
     base, mapped, params = F.col("_base"), F.col("_mapped"), F.col("_t.params")

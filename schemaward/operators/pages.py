@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,10 +90,13 @@ def _meaningful(key: Column, value: Column) -> Column:
 
 
 def drop_blank_rows(cells: DataFrame) -> DataFrame:
-    """rows whose values are all '', false or null are dropped."""
-    keys = ["page_id", "table_ord", "row_ord"]
-    filled = cells.where(_meaningful(F.col("key"), F.col("value"))).select(*keys).distinct()
-    return cells.join(filled, keys, "left_semi")
+    """rows whose values are all '', false or null are dropped.
+
+    The window spans one table row, which its header bounds; the cells shuffle once.
+    """
+    row = Window.partitionBy("page_id", "table_ord", "row_ord")
+    filled = F.bool_or(_meaningful(F.col("key"), F.col("value"))).over(row)
+    return cells.withColumn("_filled", filled).where("_filled").drop("_filled")
 
 
 def primary_table(cells: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
+MAX_HOT_KEYS = 100_000
 BLOCK = "_block"
 HOT = "_hot"
 
@@ -20,20 +21,22 @@ HOT = "_hot"
 def time_blocks(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds a block number per row, 0 for ordinary keys and 0..n in time order for hot ones, and a hot flag.
 
-    At most rows / hot_rows keys are hot; the join carries no hint, so the planner
-    broadcasts that side only once its size is known.
+    A key is hot above ``hot_rows`` rows, or above 1/MAX_HOT_KEYS of all rows where
+    that is more. So there are never more than MAX_HOT_KEYS hot keys, however large
+    the input, and their cuts may be broadcast instead of shuffling the rows.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    share = df.agg((F.count("*") / MAX_HOT_KEYS).alias("share")).scalar()
     hot = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
-        .where(F.col("_n") > hot_rows)
+        .where(F.col("_n") > F.greatest(F.lit(float(hot_rows)), share))
         .withColumn("_cuts", 4 * F.ceil(F.col("_n") / hot_rows))
         .drop("_n")
     )
     at = F.floor((micros - F.col("_lo")).cast("double") * F.col("_cuts") / (F.col("_hi") - F.col("_lo") + 1))
     return (
-        df.join(hot, keys, "left")
+        df.join(F.broadcast(hot), keys, "left")
         .withColumn(HOT, F.col("_cuts").isNotNull())
         .withColumn(BLOCK, F.coalesce(at, F.lit(0)).cast("long"))
         .drop("_lo", "_hi", "_cuts")

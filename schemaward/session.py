@@ -24,6 +24,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def fit_partitions(spark: SparkSession, path: str) -> SparkSession:
+    """Raises the shuffle partitions so that one holds about PARTITION_BYTES of the input under ``path``.
+
+    Only file sizes are read. The setting never goes down: coalescing small
+    partitions is the adaptive planner's work.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = -(-files.getContentSummary(target).getLength() // PARTITION_BYTES)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path under the cluster's shared folder.
 

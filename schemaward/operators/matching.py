@@ -56,11 +56,15 @@ def without_ddl(grid: DataFrame, ddl_state: DataFrame) -> DataFrame:
     return grid.join(usable.select(*_OBJECT), _OBJECT, "left_anti")
 
 
+def column_names(ddl: Column) -> Column:
+    """Column names of a DDL text, in DDL order."""
+    return F.transform(ddl_column_array(ddl), lambda c: c["name"])
+
+
 def choices_by_ddl(ddl: DataFrame) -> DataFrame:
-    """Column names per distinct DDL text, in DDL order; texts without columns fall out."""
+    """Column names per distinct DDL text; texts without columns fall out."""
     texts = ddl.groupBy("current_ddl_hash").agg(F.first("current_ddl").alias("current_ddl"))
-    names = F.transform(ddl_column_array(F.col("current_ddl")), lambda c: c["name"])
-    return texts.select("current_ddl_hash", names.alias("choices")).where(F.size("choices") > 0)
+    return texts.select("current_ddl_hash", column_names(F.col("current_ddl")).alias("choices")).where(F.size("choices") > 0)
 
 
 def match_candidates(specs: DataFrame, objects: DataFrame) -> DataFrame:
@@ -103,21 +107,24 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
     unchanged DDL keep their match; everything else is matched again.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
-    choices = choices_by_ddl(objects)
-    mapped_objects = objects.drop("current_ddl").join(choices.select("current_ddl_hash"), "current_ddl_hash", "left_semi")
+    usable = objects.where(F.size(column_names(F.col("current_ddl"))) > 0)
     # a target named twice on a page is mapped from its last row
     named = columns_to_map(specs).groupBy("page_id", "target_field_name").agg(
         F.max_by(F.struct(*[c for c in specs.columns if c not in ("page_id", "target_field_name")]), "row_ord").alias("s"))
     flagged = resolve_types(named.select("page_id", "target_field_name", "s.*"), type_map).join(titles, "page_id", "left")
-    rows = with_prev_map(flagged.join(mapped_objects, "page_id"), prev)
-    handled = columns_to_map(specs).select("page_id", "target_field_name").join(mapped_objects.select("page_id", *_OBJECT), "page_id")
-    override = F.coalesce(F.col("old.user_override"), F.lit(False))
+    found = flagged.join(usable.select("page_id", *_OBJECT, "current_ddl_hash"), "page_id").withColumn("new", F.lit(True))
+    # one full outer join on unique keys serves both the previous match and the rows no longer mapped
+    rest = [c for c in S.COLUMN_MAP.names if c not in KEY]
+    rows = found.join(prev.select(*KEY, F.struct(*rest).alias("old")), KEY, "full_outer")
+    new, override = F.col("new").isNotNull(), F.coalesce(F.col("old.user_override"), F.lit(False))
     unchanged = F.coalesce((F.col("old.ddl_hash_at_mapping") == F.col("current_ddl_hash"))
                            & F.col("old.mapping_status").isin("MAPPED_EXACT", "MAPPED_FUZZY"), F.lit(False))
-    rows = rows.withColumn("kept", override | unchanged).withColumn("override", override) \
-        .withColumn("name", F.upper("source_field_name"))
-    best = best_matches(rows.where(~F.col("kept")), choices, settings)
-    rows = rows.join(best, ["name", "current_ddl_hash"], "left")
+    rows = rows.withColumn("search", new & ~override & ~unchanged)
+    best = best_matches(rows.where("search"), choices_by_ddl(usable), settings)
+    # rows without a search get a name of their own that matches nothing: null keys would all meet in one task
+    own = F.concat(F.lit("\0"), F.col("page_id").cast("string"), F.lit("\0"), "target_field_name")
+    rows = rows.withColumn("name", F.when(F.col("search"), F.upper("source_field_name")).otherwise(own)) \
+        .withColumn("current_ddl_hash", F.coalesce("current_ddl_hash", F.lit(""))).join(best, ["name", "current_ddl_hash"], "left")
 
     score = F.col("match_score")
     status = mapping_status(score, settings.exact_only)
@@ -129,22 +136,18 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
         .when(status == "MAPPED_EXACT", F.concat(F.lit("Exact match found for "), shown))
         .otherwise(F.concat(F.lit("Fuzzy match ("), _score_text(score), F.lit(") for "), shown))
     )
-
-    def pick(name: str, value: Column) -> Column:
-        return F.when(F.col("kept"), F.col(f"old.{name}")).otherwise(value).alias(name)
-
-    new = rows.select(
-        "page_id", F.coalesce("page_title", F.concat(F.lit("Page ID:"), F.col("page_id").cast("string"))).alias("page_title"),
-        "source_field_name", "target_field_name", "data_type", "resolved_type",
-        is_yes(F.col("is_primary_key")).alias("is_primary_key"), "definition", "comments", *_OBJECT,
-        pick("matched_column", F.col("matched_column")), pick("match_score", score),
-        pick("match_strategy", F.when(score.isNotNull(), F.lit(settings.strategy))),
-        pick("mapping_status", status),
-        F.col("current_ddl_hash").alias("ddl_hash_at_mapping"), now.alias("last_mapped_on"),
-        pick("notes", notes), F.col("override").alias("user_override"), F.lit(True).alias("is_active"),
-    ).select(*S.COLUMN_MAP.names)
-    # new rows are whole, and their keys are known without scoring
-    return prev.join(handled, KEY, "left_anti").select(*S.COLUMN_MAP.names).unionByName(new)
+    title = F.coalesce("page_title", F.concat(F.lit("Page ID:"), F.col("page_id").cast("string")))
+    always = {
+        "page_title": title, "is_primary_key": is_yes(F.col("is_primary_key")), "ddl_hash_at_mapping": F.col("current_ddl_hash"),
+        "last_mapped_on": now, "user_override": override, "is_active": F.lit(True),
+        **{c: F.col(c) for c in ("source_field_name", "data_type", "resolved_type", "definition", "comments")},
+    }
+    searched = {
+        "matched_column": F.col("matched_column"), "match_score": score, "mapping_status": status, "notes": notes,
+        "match_strategy": F.when(score.isNotNull(), F.lit(settings.strategy)),
+    }
+    values = {c: F.when(new, v) for c, v in always.items()} | {c: F.when(F.col("search"), v) for c, v in searched.items()}
+    return rows.select(*KEY, *[values[c].otherwise(F.col(f"old.{c}")).alias(c) for c in rest]).select(*S.COLUMN_MAP.names)
 
 
 def orphan_mappings(column_map: DataFrame, specs: DataFrame, objects: DataFrame | None = None) -> DataFrame:

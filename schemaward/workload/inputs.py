@@ -196,6 +196,16 @@ from (select page_id, {d.joined(row, 'o_orderkey')} as body, {d.joined(odd, 'o_o
  from (select *, {_block('o_orderkey')} as page_id from @orders) o group by page_id) p"""
 
 
+def spec_pages(d):
+    """Definition pages: the declared columns of every page as an HTML table."""
+    cells = ["source_table", "source_field_name", "add_source_to_target", "target_field_name", "data_type", "is_primary_key", "definition", "comments"]
+    row = "'<tr>' || " + " || ".join(f"'<td>' || {c} || '</td>'" for c in cells) + " || '</tr>'"
+    return f"""
+select page_id, 'Page ' || cast(page_id as string) as title, '<h1>Definition</h1><table><tr><th>Source table</th><th>Source field name</th><th>Add Source To Target?</th>' ||
+ '<th>Target field name</th><th>Data-type</th><th>Primary Key</th><th>Definition</th><th>Comments</th></tr>' || body || '</table>' as html
+from (select page_id, {d.joined(row, 'row_ord')} as body from @colspecs group by page_id) p"""
+
+
 def page_columns(d):
     """Physical columns behind each page: close, shortened, prefixed and foreign names."""
     return f"""
@@ -270,7 +280,7 @@ from @colspecs where data_type in ('varchar(128)', 'timestamp', 'bool', 'integer
 
 RECIPES = {f.__name__: f for f in (
     colspecs, resolver, inventory, titles, wiki_pages, prev_report, page_docs, doc_fields, doc_hashes, verified_report,
-    page_metadata, snapshots, order_pages, page_columns, page_ddl, ddl_state, prev_map, resolver_entries, type_map_raw, type_map)}
+    page_metadata, snapshots, order_pages, spec_pages, page_columns, page_ddl, ddl_state, prev_map, resolver_entries, type_map_raw, type_map)}
 
 _NAME = re.compile(r"@(\w+)")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from schemaward import constants as K
 from schemaward import schemas as S
 from schemaward.functions import similarity as M
-from schemaward.operators import matching
+from schemaward.operators import matching, pages
 from schemaward.plans import jobs
 from schemaward.workload.inputs import AS_OF
 from schemaward.workload.registry import query
@@ -149,6 +149,14 @@ def match_candidates(c):
         "row_ord", "fqdn", "env", F.size("choices").cast("long").alias("choices"))
 
 
+@query(f"""select c.page_id, c.target_field_name, o.fqdn, o.env, p.mapping_status as old_status, p.user_override as old_override from @colspecs c join ({_OBJECTS}) o on c.page_id = o.page_id
+ left join @prev_map p on p.page_id = c.page_id and p.target_field_name = c.target_field_name and p.fqdn = o.fqdn and p.env = o.env and p.object_type = o.object_type""")
+def previous_mappings(c):
+    now = c["colspecs"].select("page_id", "target_field_name").join(_objects(c).drop("current_ddl", "current_ddl_hash"), "page_id")
+    return matching.with_prev_map(now, c["prev_map"]).select(
+        "page_id", "target_field_name", "fqdn", "env", F.col("old.mapping_status").alias("old_status"), F.col("old.user_override").alias("old_override"))
+
+
 # best match per declared name and page, first in DDL order on ties
 _BEST = f"""select name, ddl_page, matched_column, score from (
  select name, ddl_page, c.name_2 as matched_column, s.score, row_number() over (partition by name, ddl_page order by s.score desc, c.p_partkey) as n from
@@ -163,8 +171,8 @@ def best_matches(c):
     objects = _objects(c)
     wanted = matching.columns_to_map(c["colspecs"]).join(objects.select("page_id", "current_ddl_hash").distinct(), "page_id")
     best = matching.best_matches(wanted, matching.choices_by_ddl(objects), matching.MatchSettings(strategy="RATIO"))
-    pages = objects.select("page_id", "current_ddl_hash").distinct()
-    return best.where("matched_column is not null").join(pages, "current_ddl_hash").select(
+    used = objects.select("page_id", "current_ddl_hash").distinct()
+    return best.where("matched_column is not null").join(used, "current_ddl_hash").select(
         "name", "page_id", "matched_column", F.round("match_score", 6).alias("score"))
 
 
@@ -211,11 +219,23 @@ def deactivate_orphans(c):
         "page_id", "target_field_name", "fqdn", "env", "mapping_status", "is_active", "last_mapped_on")
 
 
-@query(f"""select {', '.join(_OUT)} from ({_NEW_MAP}) n union all
+_JOB = f"""select {', '.join(_OUT)} from ({_NEW_MAP}) n union all
  select r.page_id, r.target_field_name, r.fqdn, r.env, r.object_type, r.matched_column, r.match_score, r.match_strategy,
   case when o.page_id is not null and not r.user_override then 'INACTIVE_ORPHANED' else r.mapping_status end, r.user_override, o.page_id is null or r.user_override,
   case when o.page_id is not null then timestamp '{AS_OF}' else r.last_mapped_on end
- from ({_REST}) r left join ({_ORPHANS}) o on r.page_id = o.page_id and r.target_field_name = o.target_field_name and r.fqdn = o.fqdn and r.env = o.env and r.object_type = o.object_type""")
+ from ({_REST}) r left join ({_ORPHANS}) o on r.page_id = o.page_id and r.target_field_name = o.target_field_name and r.fqdn = o.fqdn and r.env = o.env and r.object_type = o.object_type"""
+
+
+@query(_JOB)
 def mapping_job(c):
     names = c["colspecs"].select("page_id", F.concat(F.lit("Page "), "page_id").alias("page_title")).distinct()
     return _out(jobs.map_specs(c["colspecs"], names, c["resolver"], K.ENVIRONMENTS, c["ddl_state"], c["prev_map"], c["type_map"], AS_OF))
+
+
+@query(_JOB)
+def mapping_from_stored_pages(c):
+    """From page HTML: parsed documents as stored content, then the mapping run over the state tables."""
+    content = pages.to_parsed_json(c["spec_pages"]).withColumn("parsed_date", F.lit(AS_OF).cast("timestamp_ntz"))
+    meta = c["spec_pages"].select("page_id", F.col("title").alias("api_title"), F.lit("PARSED_OK").alias("extraction_status"),
+                                  F.lit(True).alias("user_verified"))
+    return _out(jobs.map_run(meta, content, c["resolver"], K.ENVIRONMENTS, c["ddl_state"], c["prev_map"], c["type_map"], AS_OF))

@@ -94,3 +94,13 @@ def mappable_pages(c):
     content = c["customer"].select(F.col("c_custkey").alias("page_id"),
                                    F.concat(F.lit('{"page_id":'), "c_custkey", F.lit("}")).alias("parsed_json"))
     return ingest.mappable(c["page_metadata"], content).select("page_id", "api_title", "parsed_json")
+
+
+_TRIMMED = """select page_id, cast(row_number() over (partition by page_id order by row_ord) as bigint) - 1 as row_ord, trim(source_table) as source_table, source_field_name,
+ target_field_name, data_type, trim(add_source_to_target) as add_source_to_target, is_primary_key, definition, comments from @colspecs"""
+
+
+@query(_TRIMMED)
+def declared_columns_from_pages(c):
+    records = pages.primary_table(ingest.explode_parsed(pages.to_parsed_json(c["spec_pages"])))
+    return pages.colspecs(records).withColumn("row_ord", F.col("row_ord").cast("long"))

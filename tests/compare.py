@@ -1,6 +1,6 @@
 """Runs registered queries against their comparison SQL in DuckDB.
 
-    python tests/compare.py [sf] [name ...]
+    python tests/compare.py [sf or folder] [name ...]
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def main():
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    sf_dir, sqls, bad = f"/root/testdata/{sf}", E.oracle_sql(), 0
+    sf_dir, sqls, bad = sf if sf.startswith("/") else f"/root/testdata/{sf}", E.oracle_sql(), 0
     con = duck(sf_dir)
     for name, fn in E.queries().items():
         if names and name not in names:

@@ -18,7 +18,7 @@ _FULL = r"^[A-Z_]+\s*\(\s*\d+(?:\s*,\s*\d+)?\s*\)$"
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
     """Fixed table as a literal map, so that no join is planned for it."""
-    return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[key]
+    return F.expr(f"map({', '.join(repr(x) for kv in table.items() for x in kv)})")[key]
 
 
 def _count(c: Column, char: str) -> Column:

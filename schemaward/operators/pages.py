@@ -174,12 +174,15 @@ def page_labels(pages: DataFrame) -> DataFrame:
 def colspecs(records: DataFrame) -> DataFrame:
     """Declared columns from the first table's records (page_id, row_ord, record map).
 
-    The primary-key flag is read from either of its two spellings.
+    The primary-key flag is read from either of its two headers; where the page
+    parser has already made it 'true' or 'false', it reads as 'yes' or ''.
     """
     def value(key: str) -> Column:
         return F.coalesce(F.col("record")[key], F.lit(""))
 
-    pk = F.coalesce(F.col("record")["is_primary_key"], F.col("record")["primary_key"], F.lit(""))
+    flag = F.col("record")["is_primary_key"]
+    pk = F.coalesce(F.when(flag == "true", "yes").when(flag == "false", "").otherwise(flag),
+                    F.col("record")["primary_key"], F.lit(""))
     return records.select(
         "page_id", "row_ord",
         *[value(k).alias(k) for k in ("source_table", "source_field_name", "target_field_name", "data_type",

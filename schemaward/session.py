@@ -35,6 +35,8 @@ def fit_partitions(spark: SparkSession, path: str) -> SparkSession:
     Only file sizes are read. The setting never goes down: coalescing small
     partitions is the adaptive planner's work.
     """
+    if getattr(spark, "_jvm", None) is None:
+        return spark
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     wanted = -(-files.getContentSummary(target).getLength() // PARTITION_BYTES)

@@ -285,16 +285,18 @@ RECIPES = {f.__name__: f for f in (
 _NAME = re.compile(r"@(\w+)")
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or a recipe as DataFrame."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark_sql(spark, sf_dir, RECIPES[name](SparkText))
+def frame(spark: SparkSession, sf_dir: str, name: str, made: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A driver table or a recipe as DataFrame; ``made`` keeps those a query has built already."""
+    made = {} if made is None else made
+    if name not in made:
+        made[name] = (spark.read.parquet(f"{sf_dir}/{name}.parquet") if name in TABLES
+                      else _spark_sql(spark, sf_dir, RECIPES[name](SparkText), made))
+    return made[name]
 
 
-def spark_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def _spark_sql(spark: SparkSession, sf_dir: str, text: str, made: dict[str, DataFrame]) -> DataFrame:
     text = text.replace("timestamp '", "timestamp_ntz '")
-    used = {n: frame(spark, sf_dir, n) for n in set(_NAME.findall(text))}
+    used = {n: frame(spark, sf_dir, n, made) for n in set(_NAME.findall(text))}
     return spark.sql(_NAME.sub(r"{\1}", text.replace("{", "{{").replace("}", "}}")), **used)
 
 

@@ -105,6 +105,16 @@ def parse_results(c):
     return meta.select("page_id", "extraction_status", "last_parsed_content_hash", "structured_data_file", "notes")
 
 
+@query(f"""select c_custkey as page_id, case when o.status = 'PARSED_OK' then '{{"page_title":"' || c_name || '","page_id":' || cast(c_custkey as varchar) || ',"metadata":{{"table_name":"' || c_name ||
+ '","schema_name":null,"database_name":null,"primary_keys":[],"foreign_keys":[]}},"tables":[]}}' else '{{}}' end as parsed_json,
+ case when o.status = 'PARSED_OK' then timestamp '{AS_OF}' else timestamp '2024-01-01 00:00:00' end as parsed_date
+ from customer c left join ({_OUTCOME}) o on c.c_custkey = o.page_id""")
+def stored_parsed_content(c):
+    before = c["customer"].select(F.col("c_custkey").alias("page_id"), F.lit("{}").alias("parsed_json"),
+                                  F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("parsed_date"))
+    return jobs.parse_run(c["page_metadata"], c["page_docs"], before, AS_OF)[1]
+
+
 # keyed merges: orders are the state, line items bring changed and new keys
 _STATE = "select o_orderkey, o_orderstatus, o_totalprice, o_orderpriority from orders"
 _DELTA = """select case when l_orderkey % 4 = 0 then l_orderkey + 1000000000 else l_orderkey end as o_orderkey, 'N' as o_orderstatus,

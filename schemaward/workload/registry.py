@@ -17,9 +17,10 @@ class Context:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return frame(self.spark, self.sf_dir, name)
+        return frame(self.spark, self.sf_dir, name, self._made)
 
 
 def query(sql: str | None = None, name: str | None = None):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaward.llm import substrings
+from schemaward.llm import quality, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +27,17 @@ def op2_substring_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeated_windows(docs, width=35).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query
+def op9_simhash(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, size=3).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@_query
+def op3_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.apply_rules(docs, _table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")

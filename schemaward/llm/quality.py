@@ -1,22 +1,21 @@
 """Quality rules whose cutoffs are certified on labelled holdouts. DataFrame functions only.
 
-Each rule rejects a document at or above a cutoff of one share. Half of the labelled documents propose the cutoff of a
-rule in a stratum, the other half must certify it: the exact binomial bound on the good documents that it would reject
-has to stay within the rule's part of ``alpha``, at a level divided by all strata, rules and cutoffs.
+Each rule rejects a document at or above a cutoff of one share. Half of the labelled documents propose the cutoffs of a
+stratum, the other half must certify them: the exact binomial bound on the share of good documents that they reject has
+to stay within ``alpha``, at a level divided by the number of strata.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from schemaward.llm.batches import fresh, store
 
 WHITE = r"[\x20\x09-\x0D]+"
-RULES = ("symbol_share", "upper_share", "mark_share", "dup_line_share")
+RULES = ("symbol_share", "upper_share", "mark_share", "dup_line_share", "stutter_share")
 CUTOFFS = tuple(round(0.02 * k, 2) for k in range(1, 41))
+FACTORS = (1.0, 1.1, 1.25, 1.5, 2.0, 3.0)  # what a proposed cutoff is multiplied by until the holdout certifies it
 FALSE_REJECT_COST = 20    # low-quality documents that one rejected good document outweighs when a cutoff is proposed
 STRATA_BROADCAST = 10_000  # strata up to which the cutoffs are broadcast; more are joined by shuffle
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -39,7 +38,7 @@ def measure(docs: DataFrame, text: str = "text", window: int = 8) -> DataFrame:
     ln = fresh(docs.columns, "_lines")
     out = out.withColumns({
         "n_words": n.cast("long"), "word_chars": chars.cast("long"), "n_symbols": F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("long"),
-        "_upper": F.regexp_count(whole, F.lit(r"\p{Lu}")), "_marks": F.regexp_count(whole, F.lit("[!?]")), ln: lines, h: windows,
+        "_stutter": F.size(F.filter(w, lambda x, i: (i > 0) & (F.col(w)[F.greatest(i - 1, F.lit(0))] == x))), "_upper": F.regexp_count(whole, F.lit(r"\p{Lu}")), "_marks": F.regexp_count(whole, F.lit("[!?]")), ln: lines, h: windows,
     })
     out = out.withColumns({
         "n_dup_lines": (F.size(ln) - F.size(F.array_distinct(ln))).cast("long"), "_n_lines": F.size(ln),
@@ -53,8 +52,8 @@ def measure(docs: DataFrame, text: str = "text", window: int = 8) -> DataFrame:
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     return out.withColumns({
         "symbol_share": share("n_symbols", "word_chars"), "upper_share": share("_upper", "word_chars"), "mark_share": share("_marks", "word_chars"),
-        "dup_line_share": share("n_dup_lines", "_n_lines"), "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
-    }).drop("_upper", "_marks", "_n_lines")
+        "stutter_share": share("_stutter", "n_words"), "dup_line_share": share("n_dup_lines", "_n_lines"), "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
+    }).drop("_upper", "_marks", "_n_lines", "_stutter")
 
 
 def _log_cdf(k: Column, n: Column, p: Column) -> Column:
@@ -67,37 +66,39 @@ def _log_cdf(k: Column, n: Column, p: Column) -> Column:
     return F.when(k <= 0, first).otherwise(F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1))), F.struct(first.alias("term"), first.alias("sum")), add, lambda a: a["sum"]))
 
 
-def certified_cutoffs(labelled: DataFrame, stratum: str, label: str = "quality", key: str = "doc_id", alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
-    """(stratum, cutoffs: map of rule to cutoff) from measured, labelled rows.
+def certified_cutoffs(labelled: DataFrame, alpha: float = 0.03, delta: float = 0.05) -> DataFrame:
+    """(stratum, cutoffs: map of rule to cutoff) from rows of stratum, good (0 or 1), holdout and the shares of RULES.
 
-    With probability 1 - ``delta`` every stratum loses at most ``alpha`` of its good documents to all rules together:
-    a rule gets alpha / len(RULES), a test the level delta / (strata * rules * cutoffs), and the chance of as few
-    rejections as the holdout shows is summed exactly. The cutoff is the lowest certified one that is not below the
-    proposal of the other half. Strata with too few labels certify nothing and reject nothing.
+    The fit half proposes a cutoff for each rule that rejects low-quality documents at little cost in good ones. The
+    holdout tests all rules of a stratum together, with the cutoffs multiplied by FACTORS from the largest down; such
+    rejections are nested, so this fixed order needs no correction of its own, and the level of a test is delta over
+    the number of strata. A factor passes if, were the true share of rejected good documents alpha, so few rejections
+    had at most that chance, summed exactly. With probability 1 - ``delta`` no stratum loses more than ``alpha`` of its
+    good documents. Strata with too few labels certify nothing and reject nothing.
     """
-    rows = labelled.where(F.col(label).isin(0, 1)).select(
-        F.col(f"`{stratum}`").alias("stratum"), F.col(label).alias("good"), (F.crc32(F.col(key).cast("string").cast("binary")) % 2 == 0).alias("holdout"),
-        F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES])).alias("r"))
+    every = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES])).alias("r")
     level = sum((F.col("r.value") >= c).cast("int") for c in CUTOFFS)
     # one row for each level at most, however many documents
-    counts = store(rows.groupBy("stratum", F.col("r.rule").alias("rule"), level.alias("level")).agg(*[
-        F.sum(F.when(c, 1).otherwise(0)).alias(n) for n, c in (
-            ("good_fit", (F.col("good") == 1) & ~F.col("holdout")), ("bad_fit", (F.col("good") == 0) & ~F.col("holdout")), ("good_held", (F.col("good") == 1) & F.col("holdout")))]), "levels")
-    strata = max(1, counts.select("stratum").distinct().count())
-    grid = F.explode(F.sequence(F.lit(1), F.lit(len(CUTOFFS)))).alias("cut")
-    totals = counts.groupBy("stratum", "rule").agg(F.sum("good_held").alias("n"), F.collect_list(F.struct("level", "good_fit", "bad_fit", "good_held")).alias("levels"))
-    above = lambda c: F.aggregate(F.filter("levels", lambda x: x["level"] >= F.col("cut")), F.lit(0).cast("long"), lambda a, x: a + x[c])
-    every = Window.partitionBy("stratum", "rule")
-    tests = totals.select("stratum", "rule", "n", "levels", grid).select("stratum", "rule", "cut", "n", above("good_held").alias("k"), (above("bad_fit") - FALSE_REJECT_COST * above("good_fit")).alias("gain"))
-    tests = tests.withColumn("proposed", F.max_by("cut", F.struct("gain", "cut")).over(every)).withColumn("best", F.max("gain").over(every))
-    part = F.lit(alpha / len(RULES))
-    tests = tests.where((F.col("best") > 0) & (F.col("cut") >= F.col("proposed")) & (F.col("n") > 0) & (F.col("k") < F.col("n") * part))
-    passed = tests.where(_log_cdf(F.col("k"), F.col("n"), part) <= F.log(F.lit(delta / (strata * len(RULES) * len(CUTOFFS)))))
-    chosen = passed.groupBy("stratum", "rule").agg(F.element_at(F.array(*[F.lit(c) for c in CUTOFFS]), F.min("cut")).alias("cutoff"))
-    return chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
-
-
-def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id", alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
+    counts = labelled.where("not holdout").select("stratum", "good", every).groupBy("stratum", F.col("r.rule").alias("rule"), level.alias("level")).agg(
+        F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
+    worth = counts.where("level > 0").select("stratum", "rule", "level", (F.col("bad") - FALSE_REJECT_COST * F.col("good")).alias("gain"))
+    worth = worth.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("level")))).groupBy("stratum", "rule", "cut").agg(F.sum("gain").alias("gain"))
+    best = worth.groupBy("stratum", "rule").agg(F.max("gain").alias("gain"), F.max_by("cut", F.struct("gain", "cut")).alias("cut")).where("gain > 0")
+    value = F.element_at(F.array(*[F.lit(c) for c in CUTOFFS]), F.col("cut"))
+    proposed = store(best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", value))).alias("cutoffs")), "proposed")
+    strata = max(1, proposed.count())
+    side = proposed.select(F.col("stratum").alias("s"), "cutoffs")
+    held = labelled.where("holdout and good = 1").join(F.broadcast(side) if strata <= STRATA_BROADCAST else side, F.col("stratum").eqNullSafe(F.col("s")))
+    worst = F.array_max(F.array(*[F.col(r) / F.col("cutoffs")[r] for r in RULES]))
+    tested = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.when(worst >= t, 1).otherwise(0)) for t in FACTORS]).alias("k"))
+    tested = tested.select("stratum", "n", F.posexplode("k").alias("at", "k")).where(F.col("k") < F.col("n") * alpha)
+    passed = tested.where(_log_cdf(F.col("k"), F.col("n"), F.lit(alpha)) <= F.log(F.lit(delta / strata)))
+    chosen = passed.groupBy(F.col("stratum").alias("s")).agg(F.element_at(F.array(*[F.lit(t) for t in FACTORS]), F.min("at") + 1).alias("factor"))
+    out = proposed.join(chosen, F.col("stratum").eqNullSafe(F.col("s")))
+    return out.select("stratum", F.transform_values("cutoffs", lambda _, v: v * F.col("factor")).alias("cutoffs"))
+
+
+def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id", alpha: float = 0.03, delta: float = 0.05) -> DataFrame:
     """``docs`` with measures, base_failed, failed_rules (names) and kept.
 
     Labels of one key count once, with their lowest quality; null keys, labels other than 0 and 1 and labels without a
@@ -107,8 +108,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum:
     lk, lq = fresh(docs.columns, "_lk"), fresh(docs.columns, "_lq")
     marks = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(lk)).agg(F.min("quality").alias(lq))
     wanted = docs.select(*dict.fromkeys([f"`{key}`", f"`{stratum}`", f"`{text}`"]))
-    labelled = measure(wanted.join(marks, wanted[key] == F.col(lk)), text)
-    cutoffs = store(certified_cutoffs(labelled, stratum, lq, key, alpha, delta), "cutoffs")
+    labelled = measure(wanted.join(marks, wanted[key] == F.col(lk)), text).where(F.col(lq).isin(0, 1)).select(
+        F.col(f"`{stratum}`").alias("stratum"), F.col(lq).alias("good"), (F.crc32(F.col(lk).cast("string").cast("binary")) % 2 == 0).alias("holdout"), *RULES)
+    cutoffs = store(certified_cutoffs(store(labelled, "labelled"), alpha, delta), "cutoffs")
     cs, cc = fresh(docs.columns, "_cs"), fresh(docs.columns, "_cc")
     side = cutoffs.select(F.col("stratum").alias(cs), F.col("cutoffs").alias(cc))
     if cutoffs.count() <= STRATA_BROADCAST:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaward.llm import quality, simhash, substrings
+from schemaward.llm import quality, simhash, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,22 @@ def op3_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.apply_rules(docs, _table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@_query
+def op1_url_filter(spark, sf_dir):
+    return urls.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op1_url_filter"] = """
+with rules(verdict, host, path) as (values """ + ", ".join(str(r) for r in URL_RULES) + r"""),
+parts as (select page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') as path from pages)
+select page_id, p.host, p.path,
+  (select r.host || r.path from rules r where (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path) order by length(r.host || r.path) desc limit 1) as rule,
+  coalesce((select r.verdict from rules r where (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path) order by length(r.host || r.path) desc limit 1), 'allow') as verdict
+from parts p
+"""

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from schemaward.llm.batches import chunks, fresh, small_batches, spread, store, text_buffer, word_spans
 from schemaward.llm.components import smallest_reachable
@@ -101,11 +102,12 @@ def near_links(distinct: DataFrame) -> DataFrame:
     within two bits share such a spelling, and all that share one lie within two bits of each other, so the smallest
     of at most 65 stands for all and no pairs are formed.
     """
-    variants = _variants(distinct)
     close = "bit_count(a ^ b) <= 2"
-    shared = store(variants.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "buckets")
-    two = shared.where("n = 2").where(close).select("a", "b")
-    members = variants.join(shared.where("n > 2").select("key", "n"), "key")
+    # the 64 variants of a value arise in as many tasks as the shuffle has, and cross it once
+    spread_out = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    shared = _variants(spread_out).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
+    members = store(shared, "buckets")
+    two = members.where("n = 2").groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where(close).select("a", "b")
     few = members.where(F.col("n") <= PAIR_BUCKET)
     pairs = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key").where("a < b").where(close).select("a", "b")
     crowd = members.where(F.col("n") > PAIR_BUCKET).select("fp").distinct()

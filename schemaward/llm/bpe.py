@@ -80,6 +80,7 @@ class Pieces:
             self.token = {i: t for t, i in self.vocab.items()}
             self.longest = max(map(len, self.vocab))
             self.pairs: dict[int, bool] = {}
+            self.alone: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -96,6 +97,13 @@ class Pieces:
     def _encode_bytes(self, raw: bytes) -> list[int]:
         return [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(_byte_letters()))]
 
+    def _stands(self, t: int) -> bool:
+        """Whether the encoding of the token's bytes is this token."""
+        known = self.alone.get(t)
+        if known is None:
+            known = self.alone[t] = self._encode_bytes(self.token[t]) == [t]
+        return known
+
     def _joins(self, a: int, b: int) -> bool:
         """Whether the encoding of the two tokens' bytes is just these two tokens."""
         key = a << 32 | b
@@ -119,7 +127,7 @@ class Pieces:
         for i in range(1, len(raw) + 1):
             for j in range(max(0, i - self.longest), i):
                 t = self.vocab.get(raw[j:i])
-                if t is not None and (self._encode_bytes(raw[:i]) == [t] if j == 0 else self._joins(last[j], t)):
+                if t is not None and (self._stands(t) if j == 0 else self._joins(last[j], t)):
                     last[i], count[i] = t, count[j] + 1
                     break
         out = [count[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
@@ -184,15 +192,19 @@ class Pieces:
         end = np.append(begin[1:], len(points))
         if not len(begin):
             return text, rows, begin, end[:0], np.zeros(0, np.int64)
+        slots = self.span_slots(text, points, begin, end, begin[np.searchsorted(begin, [a for a, _ in special])] if special else None)
+        return text, rows, begin, end, slots
+
+    def span_slots(self, text: str, points: np.ndarray, begin: np.ndarray, end: np.ndarray, special: np.ndarray | None = None) -> np.ndarray:
+        """Table slots of spans of a chunk; spans that start at ``special`` are special tokens."""
         up, down = _POWERS.get(len(points))
         sums = np.zeros(len(points) + 1, np.uint64)
         np.cumsum(_point_values()[points] * up, out=sums[1:])
         keys = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-        if special:  # a special token inside a text and the same characters cut apart never share an entry
-            keys[np.searchsorted(begin, [a for a, _ in special])] ^= np.uint64(0x5851F42D4C957F2D)
+        if special is not None:  # a special token and the same characters cut apart never share an entry
+            keys[np.searchsorted(begin, special)] ^= np.uint64(0x5851F42D4C957F2D)
         distinct, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        slots = self._slots(distinct, lambda k: text[begin[where[k]]: end[where[k]]])
-        return text, rows, begin, end, slots[inverse]
+        return self._slots(distinct, lambda k: text[begin[where[k]]: end[where[k]]])[inverse]
 
     def _slots(self, keys: np.ndarray, piece) -> np.ndarray:
         if len(self.keys) > TABLE_PIECES:
@@ -219,6 +231,38 @@ class Pieces:
             at = np.searchsorted(self.keys, keys)
         return self.slots[at]
 
+    def count_prefixes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token count of every character prefix of all rows of a chunk, and where each row's begin (one more entry)."""
+        text, rows, begin, end, slots = self.pieces(data, offsets)
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        if not len(points):
+            return np.zeros(0, np.int64), rows
+        counts = self.counts[slots]
+        base = np.cumsum(counts) - counts
+        first = np.minimum(np.searchsorted(begin, rows[:-1]), len(begin) - 1)
+        base -= np.repeat(base[first], np.diff(np.searchsorted(begin, rows)))
+        out = np.repeat(base, end - begin) + self.pflat[spread(self.pstarts[slots], end - begin)]
+        # a prefix that ends with a whole run of white space keeps the run in one piece, though text behind it takes the last
+        space = _classes()[points] == _SPACE
+        runs = np.flatnonzero(space[begin[:-1]] & space[end[:-1] - 1] & space[begin[1:]]) if len(begin) > 1 else np.zeros(0, np.int64)
+        if len(runs):
+            inside = np.isin(begin[runs + 1], rows, invert=True)
+            runs = runs[inside & ~np.isin(begin[runs + 1], self._ends_of_special(text))]
+        if len(runs):
+            whole = self.span_slots(text, points, begin[runs], begin[runs + 1] + 1)
+            out[begin[runs + 1]] = base[runs] + self.counts[whole]
+        if self._special is not None and any(t in text for t in self.special):
+            for lo, hi in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True):
+                part, before = lo, 0
+                for m in self._special.finditer(text, lo, hi):
+                    for k in range(m.start() + 1, m.end()):  # a special token's proper prefixes are ordinary text
+                        out[k - 1] = before + len(self.tokenizer.encode(text[part:k], add_special_tokens=False).ids)
+                    part, before = m.end(), int(out[m.end() - 1])
+        return out, rows
+
+    def _ends_of_special(self, text: str) -> np.ndarray:
+        return np.array([m.end() for m in self._special.finditer(text)] if self._special else [], np.int64)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in order, and where each row's begin (one more entry at the end)."""
         parts, ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]

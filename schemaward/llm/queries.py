@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaward.llm import quality, simhash, substrings, urls
+from schemaward.llm import packing, quality, simhash, substrings, token_counts, token_files, urls
+from schemaward.llm.batches import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +61,22 @@ select page_id, p.host, p.path,
   coalesce((select r.verdict from rules r where (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path) order by length(r.host || r.path) desc limit 1), 'allow') as verdict
 from parts p
 """
+
+
+@_query
+def op8_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@_query
+def op6_token_files(spark, sf_dir):
+    folder = scratch(spark, "token-files")
+    token_files.write_token_files(_table(spark, sf_dir, "documents").select("doc_id", "text"), folder)
+    return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op5_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

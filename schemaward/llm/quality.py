@@ -98,23 +98,38 @@ def certified_cutoffs(labelled: DataFrame, alpha: float = 0.03, delta: float = 0
     return out.select("stratum", F.transform_values("cutoffs", lambda _, v: v * F.col("factor")).alias("cutoffs"))
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id", alpha: float = 0.03, delta: float = 0.05) -> DataFrame:
-    """``docs`` with measures, base_failed, failed_rules (names) and kept.
+def fit_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id", alpha: float = 0.03, delta: float = 0.05) -> DataFrame:
+    """(stratum, cutoffs) from measured documents and their labels (``key``, quality).
 
     Labels of one key count once, with their lowest quality; null keys, labels other than 0 and 1 and labels without a
-    document count nothing. A null stratum is one of its own. Without labels only the base rules reject. Columns of an
-    added name are replaced, others pass through.
+    document count nothing. Only the shares meet the labels, never a text.
     """
-    lk, lq = fresh(docs.columns, "_lk"), fresh(docs.columns, "_lq")
-    marks = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(lk)).agg(F.min("quality").alias(lq))
-    wanted = docs.select(*dict.fromkeys([f"`{key}`", f"`{stratum}`", f"`{text}`"]))
-    labelled = measure(wanted.join(marks, wanted[key] == F.col(lk)), text).where(F.col(lq).isin(0, 1)).select(
-        F.col(f"`{stratum}`").alias("stratum"), F.col(lq).alias("good"), (F.crc32(F.col(lk).cast("string").cast("binary")) % 2 == 0).alias("holdout"), *RULES)
-    cutoffs = store(certified_cutoffs(store(labelled, "labelled"), alpha, delta), "cutoffs")
-    cs, cc = fresh(docs.columns, "_cs"), fresh(docs.columns, "_cc")
+    marks = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("label_key")).agg(F.min("quality").alias("good")).where(F.col("good").isin(0, 1))
+    shares = measured.select(F.col(f"`{key}`").alias("key"), F.col(f"`{stratum}`").alias("stratum"), *RULES)
+    labelled = shares.join(marks, F.col("key") == F.col("label_key")).select(
+        "stratum", "good", (F.crc32(F.col("key").cast("string").cast("binary")) % 2 == 0).alias("holdout"), *RULES)
+    return store(certified_cutoffs(store(labelled, "labelled"), alpha, delta), "cutoffs")
+
+
+def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
+    """``measured`` with failed_rules (names) and kept; strata without cutoffs meet the base rules alone."""
+    cs, cc = fresh(measured.columns, "_cs"), fresh(measured.columns, "_cc")
     side = cutoffs.select(F.col("stratum").alias(cs), F.col("cutoffs").alias(cc))
     if cutoffs.count() <= STRATA_BROADCAST:
         side = F.broadcast(side)
-    out = measure(docs, text).join(side, F.col(f"`{stratum}`").eqNullSafe(F.col(cs)), "left")
+    out = measured.join(side, F.col(f"`{stratum}`").eqNullSafe(F.col(cs)), "left")
     failed = F.filter(F.array(*[F.when(F.col(r) >= F.col(cc)[r], F.lit(r)) for r in RULES]), lambda x: x.isNotNull())
     return out.withColumn("failed_rules", failed).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop(cs, cc)
+
+
+def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id", keep_text: bool = True) -> DataFrame:
+    """``docs`` with measures, base_failed, failed_rules (names) and kept.
+
+    The measures of all documents are written without their texts and fitted on; with ``keep_text`` the texts are
+    measured again for the result, which costs less than to move them. A null stratum is one of its own. Without labels
+    only the base rules reject; repeated rows are judged alike. Columns of an added name are replaced, others pass
+    through.
+    """
+    measured = store(measure(docs, text).drop(text), "measured")
+    cutoffs = fit_cutoffs(measured, labels, stratum, key)
+    return judge(measure(docs, text) if keep_text else measured, cutoffs, stratum)

@@ -40,7 +40,7 @@ def op9_simhash(spark, sf_dir):
 @_query
 def op3_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality.apply_rules(docs, _table(spark, sf_dir, "labels")).select(
+    return quality.apply_rules(docs, _table(spark, sf_dir, "labels"), keep_text=False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
 
 

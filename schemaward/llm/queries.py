@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaward.llm import chat, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
+from schemaward.llm import chat, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
 from schemaward.llm.batches import scratch, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,9 @@ def op4_toxicity(spark, sf_dir):
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held)
     model = toxicity.train(docs, labels)
     return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@_query
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "start", "n_matched", "item_words", "answer")

@@ -21,7 +21,7 @@ from schemaward.llm.batches import chunks, small_batches, span_hashes, spread, s
 
 RANK = 64            # dimensions of the latent space
 PASSAGE = 32         # words of the fixed passages that the space is learnt from
-COSINE = 0.65        # a sliding passage this near an item is compared word by word
+COSINE = 0.5         # a sliding passage this near an item is compared word by word
 COPIED = 0.8         # share of an item's words, in order, that makes a copy
 PARAPHRASED = 0.6    # share that makes a paraphrase if the answer stands there too
 ANSWER = 5           # last words of an item that count as its answer
@@ -83,7 +83,7 @@ def _numbered(docs: DataFrame, items: Items, text: str) -> DataFrame:
 
 def _passages(column) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Words and passage of each word (gaps left out), and the number of passages, for pieces of a batch."""
-    raw, ends = text_buffer_of_binary(column)
+    raw, ends = _numbers_of(column)
     for i, j in chunks(ends, SLICE * 16):
         words = raw[ends[i]: ends[j]]
         sizes = np.diff(ends[i: j + 1])
@@ -94,7 +94,7 @@ def _passages(column) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         yield words[known].astype(np.int64), passage[known], int(passages.sum())
 
 
-def text_buffer_of_binary(column) -> tuple[np.ndarray, np.ndarray]:
+def _numbers_of(column) -> tuple[np.ndarray, np.ndarray]:
     """32-bit numbers and row offsets of a binary column."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -140,10 +140,9 @@ def _summed(numbered: DataFrame, size: int, add) -> np.ndarray:
 
 
 def _weighted(words: np.ndarray, passage: np.ndarray, n: int, idf: np.ndarray) -> np.ndarray:
-    """TF-IDF weight of each word occurrence in its passage, passages scaled to length one."""
-    pair, back, tf = np.unique(passage * len(idf) + words, return_inverse=True, return_counts=True)
-    squares = np.bincount(pair // len(idf), (tf * idf[pair % len(idf)]) ** 2, n)
-    return idf[words] / np.sqrt(np.maximum(squares, 1e-30))[passage]
+    """TF-IDF weight of each word occurrence, scaled so that passages of any length count alike."""
+    weights = idf[words]
+    return weights / np.sqrt(np.maximum(np.bincount(passage, weights * weights, n), 1e-30))[passage]
 
 
 def latent_space(numbered: DataFrame, vocabulary: int, rank: int = RANK, seed: int = 7) -> np.ndarray:
@@ -188,7 +187,9 @@ def latent_space(numbered: DataFrame, vocabulary: int, rank: int = RANK, seed: i
                 total += (near.T @ near).ravel()
 
     values, vectors = np.linalg.eigh(_summed(numbered, rank * rank, gram).reshape(rank, rank))
-    return idf[:, None] * (basis @ vectors[:, ::-1])
+    # every direction counts alike: the common words of the language fill the first ones and would make all passages near
+    scale = np.where(values > values.max(initial=0) * 1e-9, 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
+    return idf[:, None] * (basis @ (vectors * scale)) * np.sqrt(max(counts[-1], 1))
 
 
 def lcs(item: np.ndarray, words: np.ndarray) -> int:
@@ -204,6 +205,26 @@ def lcs(item: np.ndarray, words: np.ndarray) -> int:
     return len(item) - state.bit_count()
 
 
+def lcs_many(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
+    """``lcs`` of many pairs at once; items of up to 64 words advance together, one 64-bit state each."""
+    out = np.zeros(len(items), np.int64)
+    short = [k for k, x in enumerate(items) if len(x) <= 64]
+    for k in range(0, len(short), 4096):
+        part = short[k: k + 4096]
+        left, right = np.full((len(part), 64), -3, np.int32), np.full((len(part), max(len(windows[p]) for p in part)), -2, np.int32)
+        for n, p in enumerate(part):
+            left[n, : len(items[p])], right[n, : len(windows[p])] = items[p], windows[p]
+        state = np.full(len(part), ~np.uint64(0))
+        for t in range(right.shape[1]):
+            hit = state & np.packbits(left == right[:, t: t + 1], axis=1, bitorder="little").view("<u8")[:, 0]
+            state = (state + hit) | (state - hit)
+        out[part] = 64 - np.bitwise_count(state).astype(np.int64)
+    for k, x in enumerate(items):
+        if len(x) > 64:
+            out[k] = lcs(x, windows[k])
+    return out
+
+
 def _window(n_words: int) -> int:
     """Length of the sliding passages for an item: the next of 8, 12, 16, 24, 32, 48, .. words."""
     size = 8
@@ -216,7 +237,7 @@ class Searcher:
     """Compares all sliding passages of documents with the items."""
 
     def __init__(self, items: Items, space: np.ndarray):
-        self.items, self.space = items, np.vstack([space, np.zeros((1, space.shape[1]))])  # the last row is a gap's
+        self.items, self.space = items, np.vstack([space, np.zeros((1, space.shape[1]))]).astype(np.float32)  # the last row is a gap's
         self.scales: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         latent = np.array([self.space[w].sum(axis=0) for w in items.words]).reshape(len(items.words), -1)
         norms = np.linalg.norm(latent, axis=1)
@@ -227,95 +248,117 @@ class Searcher:
         self.scales = {size: (np.array(ks), latent[ks].astype(np.float32)) for size, ks in by.items()}
         self.most = max(by, default=8)
 
-    def _near(self, words: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-        """(row, item, first word, end word, cosine) of the sliding passages near an item."""
-        sums = np.zeros((len(words) + 1, self.space.shape[1]))
+    def _near(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """(row, item, first word, end word, cosine) of the sliding passages near an item, as columns."""
+        sums = np.zeros((len(words) + 1, self.space.shape[1]), np.float32)
         np.cumsum(self.space[words], axis=0, out=sums[1:])
-        sizes = np.diff(ends)
+        sizes, found = np.diff(ends), [np.zeros((5, 0))]
         for size, (items, latent) in self.scales.items():
             slack = np.maximum(sizes - size, 0)
-            stride = size // 4
+            stride = size // 3
             many = np.where(sizes > 0, -(-slack // stride) + 1, 0)
             row = np.repeat(np.arange(len(sizes)), many)
             first = ends[:-1][row] + np.minimum(spread(np.zeros(len(sizes), np.int64), many) * stride, slack[row])
             stop = np.minimum(first + size, ends[1:][row])
             for a in range(0, len(first), 1 << 14):
-                vectors = (sums[stop[a: a + (1 << 14)]] - sums[first[a: a + (1 << 14)]]).astype(np.float32)
+                here = slice(a, a + (1 << 14))
+                vectors = sums[stop[here]] - sums[first[here]]
                 vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
                 cosine = vectors @ latent.T
-                for p, k in zip(*np.nonzero(cosine >= COSINE), strict=True):
-                    yield int(row[a + p]), int(items[k]), int(first[a + p]), int(stop[a + p]), float(cosine[p, k])
+                p, k = np.nonzero(cosine >= COSINE)
+                found.append(np.array([row[a + p], items[k], first[a + p], stop[a + p], cosine[p, k]], np.float64))
+        return np.concatenate(found, axis=1)
 
     def search(self, words: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple]:
         """(row, item) -> best match (start, matched words, item words, share, cosine, answer) that makes a leak."""
-        found: dict[tuple[int, int], list[list]] = {}
-        for row, item, a, b, cosine in self._near(words, ends):
-            runs = found.setdefault((row, item), [])
-            pad = (b - a) // 4
-            a, b = max(int(ends[row]), a - pad), min(int(ends[row + 1]), b + pad)
-            runs.append([a, b, cosine])
-        out = {}
-        for (row, item), runs in found.items():
-            wanted, best = self.items.words[item], None
-            for a, b, cosine in sorted(runs, key=lambda r: -r[2]):
-                common = lcs(wanted, words[a:b])
-                share = common / len(wanted)
-                tail = wanted[-ANSWER:]
-                answer = lcs(tail, words[a:b]) == len(tail)
-                if (share >= COPIED or share >= PARAPHRASED and answer) and (best is None or common > best[1]):
-                    best = (a - int(ends[row]), common, len(wanted), share, cosine, answer)
-                if best and best[3] >= COPIED:
-                    break
-            if best:
-                out[row, item] = best
+        near = self._near(words, ends)
+        row, item, a, b = near[:4].astype(np.int64)
+        pad = (b - a) // 4
+        a, b = np.maximum(ends[row], a - pad), np.minimum(ends[row + 1], b + pad)
+        wanted = [self.items.words[k] for k in item]
+        common = lcs_many(wanted, [words[x:y] for x, y in zip(a, b, strict=True)])
+        share = common / np.array([len(w) for w in wanted]).clip(1)
+        out: dict[tuple[int, int], tuple] = {}
+        for k in np.flatnonzero(share >= PARAPHRASED):
+            tail, key = wanted[k][-ANSWER:], (int(row[k]), int(item[k]))
+            answer = lcs(tail, words[a[k]: b[k]]) == len(tail)
+            if (share[k] >= COPIED or answer) and (key not in out or common[k] > out[key][1]):
+                out[key] = (int(a[k] - ends[row[k]]), int(common[k]), len(wanted[k]), float(share[k]), float(near[4, k]), answer)
         return out
 
 
+    def matches(self, numbers: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple]:
+        """``search`` over all rows of a batch, very long ones in overlapping slices."""
+        out: dict[tuple[int, int], tuple] = {}
+        for i, j in chunks(ends, SLICE):
+            if ends[j] - ends[i] <= 2 * SLICE:
+                pieces = [(numbers[ends[i]: ends[j]], ends[i: j + 1] - ends[i], 0)]
+            else:
+                size = SLICE + 2 * self.most
+                cuts = [(a, min(a + size, int(ends[j]))) for a in range(int(ends[i]), int(ends[j]), SLICE)]
+                pieces = [(numbers[a:b], np.array([0, b - a]), a - int(ends[i])) for a, b in cuts]
+            for words, cut, base in pieces:
+                for (row, item), m in self.search(words, cut).items():
+                    key = (i + row, item)
+                    if key not in out or m[1] > out[key][1]:
+                        out[key] = (m[0] + base, *m[1:])
+        return out
+
+
+def _searchers(source: DataFrame, benchmark: DataFrame, text: str) -> Iterator[tuple[DataFrame, Searcher]]:
+    """For each block of at most about ITEMS items: the documents as word numbers, and what searches them.
+
+    Whatever the benchmark's size, a block of it fits a task.
+    """
+    blocks = max(1, -(-benchmark.count() // ITEMS))
+    for k in range(blocks):
+        mine = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).select("item_id", "text").orderBy("item_id", "text").collect()
+        items = Items([r["item_id"] for r in mine], [r["text"] or "" for r in mine])
+        numbered = store(_numbered(source, items, text), "numbered")
+        yield numbered, Searcher(items, latent_space(numbered, max(1, len(items.vocabulary))))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without its text, one row per document and benchmark item that it holds, with the columns of MATCH.
 
-    start is the first word (runs of letters and digits, lower-cased) of the passage; n_matched words of the item stand
-    there in order, lcs_share of all; a match is a copy (share of COPIED or more) or a paraphrase (share of PARAPHRASED
-    or more, and the item's last ANSWER words in order). Null and empty texts and items match nothing; repeated rows
-    match alike; an item id given twice is two items; columns of an added name are replaced, others pass through.
+    start is where, in words (runs of letters and digits, lower-cased), the passage around the match begins; n_matched
+    words of the item stand there in order, lcs_share of all; a match is a copy (share of COPIED or more) or a
+    paraphrase (share of PARAPHRASED or more, and the item's last ANSWER words in order). Null and empty texts and
+    items match nothing; repeated rows match alike; an item id given twice is two items; columns of an added name are
+    replaced, others pass through.
     """
     small_batches(docs.sparkSession)
-    names = [f.name for f in MATCH.fields]
-    keep = [c for c in docs.columns if c != text and c.lower() not in {*names, "words"}]
+    keep = [c for c in docs.columns if c != text and c.lower() not in {*(f.name for f in MATCH.fields), "words"}]
     source = docs.select(*[f"`{c}`" for c in keep], f"`{text}`")
     schema = T.StructType([docs.schema[c] for c in keep] + MATCH.fields)
-    blocks = max(1, -(-benchmark.count() // ITEMS))
+    kinds = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.bool_()]
     out = None
-    for k in range(blocks):
-        # at most about ITEMS items at a time: whatever the benchmark's size, a block of it fits a task
-        mine = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).select("item_id", "text").orderBy("item_id", "text").collect()
-        items = Items([r["item_id"] for r in mine], [r["text"] or "" for r in mine])
-        numbered = store(_numbered(source, items, text), "numbered")
-        searcher = Searcher(items, latent_space(numbered, max(1, len(items.vocabulary))))
+    for numbered, searcher in _searchers(source, benchmark, text):
 
         def run(batches: Iterator[pa.RecordBatch], searcher: Searcher = searcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                numbers, ends = text_buffer_of_binary(batch.column(batch.schema.get_field_index("words")))
-                rows: list[tuple] = []
-                for i, j in chunks(ends, SLICE):
-                    if ends[j] - ends[i] <= 2 * SLICE:
-                        pieces = [(i, numbers[ends[i]: ends[j]], ends[i: j + 1] - ends[i], 0)]
-                    else:  # a very long text, in overlapping slices
-                        step, size = SLICE, SLICE + 2 * searcher.most
-                        pieces = [(i, numbers[a: min(a + size, ends[j])], np.array([0, min(a + size, ends[j]) - a]), a - ends[i]) for a in range(ends[i], ends[j], step)]
-                    best: dict[tuple[int, int], tuple] = {}
-                    for first, words, cut, base in pieces:
-                        for (row, item), m in searcher.search(words, cut).items():
-                            key = (first + row, item)
-                            if key not in best or m[1] > best[key][1]:
-                                best[key] = (m[0] + int(base), *m[1:])
-                    rows += [(row, searcher.items.ids[item], *m) for (row, item), m in sorted(best.items())]
-                if rows:
-                    chosen = batch.take(pa.array([r[0] for r in rows]))
-                    cells = list(zip(*rows, strict=True))[1:]
-                    kinds = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.bool_()]
+                found = searcher.matches(*_numbers_of(batch.column(batch.schema.get_field_index("words"))))
+                if found:
+                    rows = [(row, searcher.items.ids[item], *m) for (row, item), m in sorted(found.items())]
+                    chosen, cells = batch.take(pa.array([r[0] for r in rows])), list(zip(*rows, strict=True))[1:]
                     yield pa.RecordBatch.from_arrays([chosen.column(chosen.schema.get_field_index(c)) for c in keep] + [pa.array(c, t) for c, t in zip(cells, kinds, strict=True)], names=schema.names)
 
         part = numbered.mapInArrow(run, schema)
         out = part if out is None else out.unionAll(part)
     return out
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, by the rule of ``find_leaks``; texts stay where they are."""
+    small_batches(docs.sparkSession)
+    out = docs
+    for _, searcher in _searchers(docs.select(f"`{text}`"), benchmark, text):
+
+        def run(batches: Iterator[pa.RecordBatch], searcher: Searcher = searcher) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hashes, ends = _words(batch.column(batch.schema.get_field_index(text)))
+                leaks = {row for row, _ in searcher.matches(searcher.items.number(hashes), ends)}
+                yield batch.take(pa.array([k for k in range(batch.num_rows) if k not in leaks], pa.int64())) if leaks else batch
+
+        out = out.mapInArrow(run, docs.schema)
+    return out

@@ -133,3 +133,14 @@ def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum:
     measured = store(measure(docs, text).drop(text), "measured")
     cutoffs = fit_cutoffs(measured, labels, stratum, key)
     return judge(measure(docs, text) if keep_text else measured, cutoffs, stratum)
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``apply_rules`` keeps, with their own columns.
+
+    The running number holds the filter above the measures: pushed below them it would spell their expressions out
+    again inside each other.
+    """
+    row = fresh([*docs.columns, *ADDED], "_row")
+    judged = apply_rules(docs.drop(*ADDED), labels, text, stratum, key).withColumn(row, F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col(row) >= 0)).select([f"`{c}`" for c in docs.columns if c.lower() not in ADDED])

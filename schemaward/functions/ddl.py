@@ -1,30 +1,56 @@
-"""Columns of a CREATE TABLE statement, with native string expressions only."""
+"""Columns of a CREATE TABLE statement, with native string expressions only.
+
+Every pattern runs in one pass over the text: quantifiers are possessive or over single characters, so neither long
+literals nor thousands of columns cost stack or a second look.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from schemaward.functions.text import strip
-
-_BODY = (r"(?is)^\s*create\s+(?:or\s+replace\s+)?(?:transient\s+|temporary\s+)?table\s+"
-         r"(?:if\s+not\s+exists\s+)?[\w.\x22$]+\s*\((.*)\)[^)]*$")
-_STRINGS = r"'(?:[^']|'')*'"
-_CASTS = r"(?i)CAST\s*\([^()]*(?:\([^()]*\)[^()]*)*\)"
-_CONSTRAINT = r"(?i)^(CONSTRAINT|PRIMARY|FOREIGN|UNIQUE)\b"
-_NAME = r'^"?([\w$]+)"?'
-_TYPE = r'(?i)^"?[\w$]+"?\s+([A-Z_]\w*(?:\s*\([\d\s,]+\))?)'
+# a quoted name is kept; line comments, block comments and literals go
+_NOISE = r"(\x22[^\x22]*+\x22(?:\x22[^\x22]*+\x22){0,50})|--[^\n]*+|/\*[\s\S]*?\*/|'[^']*+'"
+_PART = r"(?:\x22[^\x22]*+\x22|[\w$]++)"
+_HEAD = (r"(?i)^\s*+create\s++(?:or\s++(?:replace|alter)\s++)?(?:(?:local|global)\s++)?(?:(?:transient|temporary|temp|volatile)\s++)?table\s++"
+         rf"(?:if\s++not\s++exists\s++)?{_PART}(?:\s*+\.\s*+{_PART})*\s*+\(")
+# marks that stand for "(", ")" and "," where they do not structure the column list
+_OPEN, _CLOSE, _COMMA, _NAME_OPEN, _NAME_CLOSE, _NAME_COMMA = "\u0002", "\u0003", "\u0004", "\u0005", "\u0006", "\u0007"
+_NUMBERS = r"\(\s*+(\d++)\s*+\)"
+_TWO_NUMBERS = r"\(\s*+(\d++)\s*+,\s*+(\d++)\s*+\)"
+_NESTING = 32
+_CONSTRAINT = r"(?i)^(?:CONSTRAINT|PRIMARY|FOREIGN|UNIQUE|CHECK)\b"
+_QUOTED = r"^\x22([^\x22]*+(?:\x22\x22[^\x22]*+){0,50})\x22"
+_PLAIN = r"^([\w$]++)"
+_PARAMS = f"(?:\\s*+{_OPEN}[\\d{_COMMA}]++{_CLOSE})?"
+_WORDS = r"(?:DOUBLE\s++PRECISION|(?:NATIONAL\s++)?CHAR(?:ACTER)?\s++VARYING|NCHAR\s++VARYING|BIT\s++VARYING|[A-Z_]\w*+)"
+_TYPE = rf"(?i)^(?:{_QUOTED[1:].replace('(', '(?:', 1)}|[\w$]++)\s++({_WORDS}{_PARAMS}(?:\s++WITH(?:OUT)?\s++(?:LOCAL\s++)?TIME\s++ZONE)?)"
 
 
 def ddl_column_array(ddl: Column) -> Column:
-    """array<struct<ordinal, name, type>>; empty for views and other statements."""
-    body = F.regexp_extract(F.regexp_replace(ddl, _STRINGS, "''"), _BODY, 1)
-    items = F.transform(F.split(F.regexp_replace(body, _CASTS, "X"), r",(?![^()]*\))"), strip)
+    """array<struct<ordinal, name, type>>; empty for views and other statements.
+
+    Comments and literals are no part of it. Names are plain or quoted, with any characters inside the quotes; types
+    may have two words, a length or precision, and a time zone clause. Anything else in parentheses is skipped, up to
+    _NESTING levels deep.
+    """
+    bare = F.regexp_replace(ddl, _NOISE, "$1 ")
+    # inside quotes every second part of the split, brackets and commas are letters of the name
+    hidden = F.transform(F.split(bare, '"', -1), lambda x, i: F.when(i % 2 == 1, F.translate(x, "(),", _NAME_OPEN + _NAME_CLOSE + _NAME_COMMA)).otherwise(x))
+    text = F.array_join(hidden, '"')
+    head = F.regexp_extract(text, f"({_HEAD})", 1)
+    rest = F.substring(text, F.length(head) + 1, F.length(text))
+    sized = F.regexp_replace(F.regexp_replace(rest, _NUMBERS, f"{_OPEN}$1{_CLOSE}"), _TWO_NUMBERS, f"{_OPEN}$1{_COMMA}$2{_CLOSE}")
+    # innermost brackets first; the bracket that closes the column list has lost its opening one and stays
+    flat = F.aggregate(F.sequence(F.lit(1), F.lit(_NESTING)), sized, lambda s, _: F.when(s.contains("("), F.regexp_replace(s, r"\([^()]*+\)", " ")).otherwise(s))
+    body = F.when((F.length(head) > 0) & flat.contains(")"), F.substring_index(flat, ")", 1)).otherwise("")
+    items = F.transform(F.split(body, ","), lambda x: F.trim(F.regexp_replace(x, r"\s++", " ")))
     items = F.filter(items, lambda x: (x != "") & ~x.rlike(_CONSTRAINT) & x.rlike(_TYPE))
+    quoted = lambda x: F.replace(F.translate(F.regexp_extract(x, _QUOTED, 1), _NAME_OPEN + _NAME_CLOSE + _NAME_COMMA, "(),"), F.lit('""'), F.lit('"'))
     columns = F.transform(items, lambda x, i: F.struct(
         (i + 1).alias("ordinal"),
-        F.upper(F.regexp_extract(x, _NAME, 1)).alias("name"),
-        F.upper(F.regexp_replace(F.regexp_extract(x, _TYPE, 1), r"\s+", "")).alias("type"),
+        F.upper(F.when(x.startswith('"'), quoted(x)).otherwise(F.regexp_extract(x, _PLAIN, 1))).alias("name"),
+        F.upper(F.translate(F.regexp_replace(F.regexp_extract(x, _TYPE, 1), f" ?{_OPEN}", _OPEN), _OPEN + _CLOSE + _COMMA, "(),")).alias("type"),
     ))
     return F.coalesce(columns, F.array().cast("array<struct<ordinal:int,name:string,type:string>>"))
 

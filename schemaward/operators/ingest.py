@@ -66,7 +66,10 @@ def ingest_metadata(prev: DataFrame, docs: DataFrame, report: DataFrame, as_of:
     doc = flat.select("page_id", "doc_present", "doc_ok", "new_hash", F.struct(*_FROM_DOC).alias("doc"))
     kept = ["hash_id", "extraction_status", "last_parsed_content_hash", "structured_data_file", *_FROM_DOC]
     old = prev.select("page_id", F.struct(*kept).alias("old"))
-    verified = report.where("status = 'HIT' and user_verified and page_id is not null")
+    hits = report.where("status = 'HIT' and user_verified and page_id is not null")
+    # several titles may lead to one page: the entry checked last speaks for it, then the last title
+    fields = [c for c in report.columns if c != "page_id"]
+    verified = hits.groupBy("page_id").agg(F.max_by(F.struct(*fields), F.struct("last_checked_on", "given_title", F.struct(*fields))).alias("_r")).select("page_id", "_r.*")
     rows = verified.join(doc, "page_id", "left").join(old, "page_id", "left")
 
     present = F.coalesce("doc_present", F.lit(False))
@@ -88,7 +91,7 @@ def ingest_metadata(prev: DataFrame, docs: DataFrame, report: DataFrame, as_of:
         add_note(F.col("notes"), failure).alias("notes"),
     ).select(*S.PAGE_METADATA.names)
     # the report alone tells which state rows are replaced: the documents are read once
-    return prev.join(verified.select("page_id"), "page_id", "left_anti").unionByName(clean_strings(changes))
+    return prev.join(hits.select("page_id"), "page_id", "left_anti").unionByName(clean_strings(changes))
 
 
 def parse_queue(meta: DataFrame) -> DataFrame:

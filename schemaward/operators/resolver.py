@@ -142,6 +142,8 @@ def entry_faults(raw: DataFrame) -> DataFrame:
 
 def _occurrences(raw: DataFrame) -> DataFrame:
     """One row per use of a name, as canonical key or alias, with its target signature."""
+    if "path" in raw.columns:  # ordinals begin anew in every document
+        raw = raw.withColumn("entry_ord", F.struct("path", "entry_ord"))
     entries = apply_overrides(raw).withColumn("sig", F.to_json("targets"))
     uses = F.concat(F.array(F.struct(F.col("source_name").alias("name"), F.lit(0).alias("is_alias"))),
                     F.transform("aliases", lambda a: F.struct(a.alias("name"), F.lit(1).alias("is_alias"))))

@@ -60,12 +60,14 @@ def merge_report(titles: DataFrame, prev: DataFrame, found: DataFrame, as_of: st
     now = F.lit(as_of).cast("timestamp_ntz")
     fields = ["status", "found_title", "page_id", "notes", "attempts_made"]
     kept = ["first_checked_on", "last_checked_on", "user_verified", *fields]
-    old = prev.groupBy("given_title").agg(F.max_by(F.struct(*kept), F.coalesce("last_checked_on", now)).alias("old"))
+    # the latest entry of a title; of equally late ones an approved one
+    late = F.struct(F.coalesce("last_checked_on", now), F.coalesce("user_verified", F.lit(False)), F.struct(*kept))
+    old = prev.groupBy("given_title").agg(F.max_by(F.struct(*kept), late).alias("old"))
     new = found.select("given_title", F.struct(*fields).alias("new"))
     joined = titles.join(old, "given_title", "left").join(new, "given_title", "left")
     verified = F.coalesce("old.user_verified", F.lit(False))
     if approvals is not None:
-        joined = joined.join(approvals.select("given_title", F.col("user_verified").alias("_ok")), "given_title", "left")
+        joined = joined.join(approvals.groupBy("given_title").agg(F.max("user_verified").alias("_ok")), "given_title", "left")
         verified = F.coalesce("_ok", verified)
     frozen = F.coalesce((F.col("old.status") == "HIT") & F.col("old.user_verified"), F.lit(False))
     default = {"status": F.lit("PENDING"), "notes": F.lit(""), "attempts_made": F.lit(0)}

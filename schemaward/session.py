@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime re-planning does the joins' skew splitting; the rest keeps results
-# independent of the machine's time zone and Arrow batches small enough for long pages.
+# independent of the machine's time zone and Arrow batches small enough for long pages, by rows and by bytes.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
@@ -26,34 +27,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-PARTITION_BYTES = 128 * 1024 * 1024
-
-
-def fit_partitions(spark: SparkSession, path: str) -> SparkSession:
-    """Raises the shuffle partitions so that one holds about PARTITION_BYTES of the input under ``path``.
-
-    Only file sizes are read. The setting never goes down: coalescing small
-    partitions is the adaptive planner's work.
-    """
-    if getattr(spark, "_jvm", None) is None:
-        return spark
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = -(-files.getContentSummary(target).getLength() // PARTITION_BYTES)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh path under the cluster's shared folder.
+    """A fresh path under ``spark.checkpoint.dir``, the folder that the driver and all executors share.
 
-    Local sessions without ``spark.checkpoint.dir`` get a temporary folder; on a
-    cluster a missing setting is an error, since executors share no local disk.
+    Whether a ``file:`` folder is shared (a mount) cannot be told from its name, so the setting is trusted as given. Only
+    a plain local session may leave it out and gets a temporary folder; anywhere else a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="schemaward-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

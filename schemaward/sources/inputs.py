@@ -41,9 +41,10 @@ def read_resolver_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_type_map_raw(spark: SparkSession, path: str) -> DataFrame:
-    """S5, unvalidated: (map_key, map_value) as written."""
+    """S5, unvalidated: (path, entry_ord, map_key, map_value) as written."""
     entries = F.map_entries(F.from_json("value", "map<string,string>"))
-    return _documents(spark, path).select(F.inline(entries).alias("map_key", "map_value"))
+    return _documents(spark, path).select("path", F.posexplode(entries).alias("entry_ord", "e")).select(
+        "path", "entry_ord", F.col("e.key").alias("map_key"), F.col("e.value").alias("map_value"))
 
 
 def read_type_map(spark: SparkSession, path: str) -> DataFrame:
@@ -52,9 +53,13 @@ def read_type_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def type_map_from_raw(raw: DataFrame) -> DataFrame:
-    """Upper-case keys, one row each; blank values are reported by the validation, not used."""
+    """Upper-case keys, one row each: of colliding keys the last one written, as far as ``raw`` says where it stands.
+
+    Blank values are reported by the validation, not used.
+    """
+    place = [c for c in ("path", "entry_ord") if c in raw.columns]
     return (raw.where(F.trim("map_value") != "")
-            .groupBy(F.upper("map_key").alias("declared_type")).agg(F.max("map_value").alias("warehouse_type")))
+            .groupBy(F.upper("map_key").alias("declared_type")).agg(F.max_by("map_value", F.struct(*place, "map_value")).alias("warehouse_type")))
 
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:

@@ -148,7 +148,10 @@ select c_name as given_title, case when c_custkey % 13 = 0 then 'MISS' else 'HIT
  case when c_custkey % 29 = 1 then null else c_custkey end as page_id, case when c_custkey % 2 = 0 then 'checked' else '' end as notes,
  timestamp '2024-03-01 00:00:00' as first_checked_on, timestamp '2024-04-01 00:00:00' as last_checked_on,
  c_custkey % 10 <> 3 as user_verified, cast(1 + c_custkey % 5 as int) as attempts_made
-from @customer"""
+from @customer
+union all
+select c_name || ' again', 'HIT', c_name || ' found again', c_custkey, 'second title of the page', timestamp '2024-03-02 00:00:00', timestamp '2024-04-01 00:00:00', true, cast(2 as int)
+from @customer where c_custkey % 7 = 2"""
 
 
 def page_metadata(d):

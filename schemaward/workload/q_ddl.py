@@ -151,6 +151,22 @@ def ddl_columns_of_snapshots(c):
     return cols.withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
+# literals beyond any stack, comments with commas, quoted names with blanks and brackets, two-word types, calls within calls
+_AWKWARD = """select c_custkey, unnest([1, 2, 3, 4, 5]) as ordinal, unnest(['COL ' || c_custkey || ', (A', 'B', 'C', 'D', 'E']) as name,
+ unnest(['VARCHAR(' || (1 + c_custkey % 9) || ')', 'DOUBLE PRECISION', 'TIMESTAMP(3) WITH TIME ZONE', 'CHARACTER VARYING(12)', 'NUMBER(38,' || (c_custkey % 5) || ')']) as type from @customer"""
+
+
+@query(f"select c_custkey, cast(ordinal as bigint) as ordinal, name, type from ({_AWKWARD}) x")
+def ddl_columns_awkward(c):
+    head = F.when(F.col("c_custkey") % 2 == 0, 'create or alter table "My Db"."s"."t, (" (').otherwise("CREATE LOCAL TEMPORARY TABLE IF NOT EXISTS db.t (")
+    key = F.col("c_custkey")
+    text = F.concat(
+        head, F.lit('"Col '), key, F.lit(', (a" varchar( '), 1 + key % 9, F.lit(" ) default '"), F.repeat(F.lit("long, ''text( "), (2000 + key % 100).cast("int")),
+        F.lit("', -- a note, not a column int\n b double precision /* x, y int */ not null,\nc timestamp(3) with time zone default f(g(1, h(2, 3)), 'z'), d character varying ( 12 ),"),
+        F.lit("\n constraint pk primary key (b, c), e number(38 , "), key % 5, F.lit("), unique (b), check (b > (1 + (2)))) cluster by (b, c)"))
+    return ddl_columns(c["customer"].select("c_custkey", text.alias("ddl"))).withColumn("ordinal", F.col("ordinal").cast("long"))
+
+
 @query("""select page_id, cast(row_number() over (partition by page_id order by p_partkey) as bigint) as ordinal, name, 'VARCHAR(16)' as type from @page_columns""")
 def ddl_columns_of_pages(c):
     return ddl_columns(c["page_ddl"]).withColumn("ordinal", F.col("ordinal").cast("long"))

@@ -26,13 +26,13 @@ def _ratio(a: str, b: str) -> str:
 
 # two names per part: the declared one and its physical column, as words
 _PAIRS = """select p_partkey, upper(p_name) || ' ' || p_type as a, case p_partkey % 4 when 0 then p_type || ' ' || upper(p_name) when 1 then upper(p_name)
- when 2 then replace(upper(p_name), 'E', '') || ' X' else substr(upper(p_name), 1, 4) end as b from @part"""
+ when 2 then replace(upper(p_name), 'E', '') || ' X' else upper(p_brand) end as b from @part"""
 
 
 def _pairs(c):
     name = F.upper("p_name")
     b = (F.when(F.col("p_partkey") % 4 == 0, F.concat("p_type", F.lit(" "), name)).when(F.col("p_partkey") % 4 == 1, name)
-         .when(F.col("p_partkey") % 4 == 2, F.concat(F.replace(name, F.lit("E"), F.lit("")), F.lit(" X"))).otherwise(name.substr(1, 4)))
+         .when(F.col("p_partkey") % 4 == 2, F.concat(F.replace(name, F.lit("E"), F.lit("")), F.lit(" X"))).otherwise(F.upper("p_brand")))
     return c["part"].select("p_partkey", F.concat(name, F.lit(" "), "p_type").alias("a"), b.alias("b"))
 
 

@@ -49,7 +49,7 @@ def read_resolver_entries(c):
     return R.read_resolver_raw(c.spark, path).select("entry_key", "entry_json")
 
 
-@query("select upper(map_key) as declared_type, max(map_value) as warehouse_type from @type_map_raw where trim(map_value) <> '' group by 1")
+@query("select upper(map_key) as declared_type, arg_max(map_value, n) as warehouse_type from @type_map_raw where trim(map_value) <> '' group by 1")
 def read_type_map(c):
     path = shared_dir(c.spark)
     item = F.concat(F.lit('"'), "map_key", F.lit('":"'), "map_value", F.lit('"'))

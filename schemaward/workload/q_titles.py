@@ -68,7 +68,8 @@ _INGEST = """select r.page_id, r.given_title, case when ok then f.api_title else
  case when ok then f.labels else m.labels end as labels
  from @verified_report r left join (select page_id, present, ok, api_title, labels from @doc_fields) f on r.page_id = f.page_id
  left join @doc_hashes h0 on false left join (select page_id, hash_id from @doc_hashes) h on r.page_id = h.page_id left join @page_metadata m on r.page_id = m.page_id
- where r.status = 'HIT' and r.user_verified and r.page_id is not null""".replace(" left join @doc_hashes h0 on false", "").replace(
+ where r.status = 'HIT' and r.user_verified and r.page_id is not null
+ qualify row_number() over (partition by r.page_id order by r.last_checked_on desc, r.given_title desc) = 1""".replace(" left join @doc_hashes h0 on false", "").replace(
     "case when not present or present is null then", "case when not f.present then")
 
 
@@ -153,6 +154,32 @@ def replace_rows_by_key(c):
     return merge.replace_by_key(_state(c).drop("o_orderpriority"), _delta(c), ["o_orderkey"])
 
 
+_MANY = """select case when l_orderkey % 4 = 0 then l_orderkey + 1000000000 else l_orderkey end as o_orderkey, 'L' || l_linenumber as o_orderstatus,
+ case when l_linenumber % 3 <> 0 then l_extendedprice end as o_totalprice, l_linenumber as step from lineitem"""
+
+
+def _many(c):
+    key = F.when(F.col("l_orderkey") % 4 == 0, F.col("l_orderkey") + 1000000000).otherwise(F.col("l_orderkey"))
+    return c["lineitem"].select(key.alias("o_orderkey"), F.concat(F.lit("L"), "l_linenumber").alias("o_orderstatus"),
+                                F.when(F.col("l_linenumber") % 3 != 0, F.col("l_extendedprice")).alias("o_totalprice"), F.col("l_linenumber").alias("step"))
+
+
+@query(f"""select coalesce(s.o_orderkey, d.o_orderkey) as o_orderkey, coalesce(d.o_orderstatus, s.o_orderstatus) as o_orderstatus,
+ coalesce(d.o_totalprice, s.o_totalprice) as o_totalprice, s.o_orderpriority from ({_STATE}) s full join (select o_orderkey,
+  arg_max(o_orderstatus, (step, o_orderstatus, o_totalprice)) as o_orderstatus, arg_max(o_totalprice, (step, o_totalprice)) filter (o_totalprice is not null) as o_totalprice
+  from ({_MANY}) m group by o_orderkey) d on s.o_orderkey = d.o_orderkey""")
+def upsert_repeated_keys(c):
+    changes = _many(c).withColumn("given", F.when(F.col("o_totalprice").isNull(), F.array(F.lit("o_orderstatus"))).otherwise(F.array(F.lit("o_orderstatus"), F.lit("o_totalprice"))))
+    return merge.upsert(_state(c), changes, ["o_orderkey"], supplied="given", order="step")
+
+
+@query(f"""select o_orderkey, r.o_orderstatus as o_orderstatus, r.o_totalprice as o_totalprice from (select o_orderkey,
+  arg_max({{'o_orderstatus': o_orderstatus, 'o_totalprice': o_totalprice}}, (step, o_orderstatus, coalesce(o_totalprice, 0))) as r from ({_MANY}) m group by o_orderkey) d
+ union all select o_orderkey, o_orderstatus, o_totalprice from ({_STATE}) s where o_orderkey not in (select o_orderkey from ({_MANY}) m)""")
+def replace_repeated_keys(c):
+    return merge.replace_by_key(_state(c).drop("o_orderpriority"), _many(c), ["o_orderkey"], order="step")
+
+
 @query("select page_id, row_ord from @colspecs where page_id not in (select page_id from @page_metadata)")
 def orphan_page_rows(c):
     return merge.orphan_keys(c["colspecs"], c["page_metadata"], ["page_id"]).select("page_id", "row_ord")

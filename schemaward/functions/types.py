@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +9,11 @@ from schemaward import constants as K
 from schemaward.functions.text import strip
 
 # Known dialect limit: base word(s), then at most two integer parameters.
-_SYNTAX = r"^[A-Z_][A-Z0-9_ ]*(\(\s*\d+(\s*,\s*\d+)?\s*\))?$"
-_FULL = r"^[A-Z_]+\s*\(\s*\d+(?:\s*,\s*\d+)?\s*\)$"
+_PARAMETERS = r"\(\s*\d+(\s*,\s*\d+)?\s*\)"
+_SYNTAX = rf"^[A-Z_][A-Z0-9_ ]*({_PARAMETERS})?$"
+_SIZED = rf"^[A-Z_]+\s*{_PARAMETERS}$"
+# what can be wrong with a declared type, and the category it puts the type in
+FAULTS = {"absent": "MISSING", "syntax": "MALFORMED", "brackets": "MALFORMED", "base": "MALFORMED", "mapping": "UNMAPPED"}
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
@@ -67,39 +67,23 @@ def resolve_types(df: DataFrame, type_map: DataFrame, col: str = "data_type",
     unknown = usable & ~base.isin(*valid)
     unmapped = usable & ~unknown & mapped.isNull()
     rebuilt = (
-        F.when(F.upper(strip(mapped)).rlike(_FULL), mapped)
+        F.when(F.upper(strip(mapped)).rlike(_SIZED), mapped)
         .when(params.isNotNull(), F.concat(mapped, F.lit("("), params, F.lit(")")))
         .when((F.upper(mapped) == "NUMBER") & base.isin(*K.INTEGER_LIKE), F.lit("NUMBER(38,0)"))
         .otherwise(mapped)
     )
-    warnings = F.array_compact(F.array(
-        F.when(blank, F.concat(F.lit("Missing or invalid data type input: '"), shown, F.lit("'"))),
-        F.when(broken & ~F.col("_t.wellformed"),
-               F.concat(F.lit("Malformed data type format: '"), shown, F.lit("'. Defaulting to VARCHAR."))),
-        F.when(broken & ~balanced,
-               F.concat(F.lit("Mismatched parentheses in type '"), shown, F.lit("'. Parameters will be discarded."))),
-        F.when(unknown, F.concat(F.lit("Base type '"), base, F.lit("' (from '"), shown,
-                                 F.lit("') is not a known base type. Defaulting to VARCHAR."))),
-        F.when(unmapped, F.concat(F.lit("Data type '"), shown, F.lit("' (base: '"), base,
-                                  F.lit("') not found in map. Defaulting to VARCHAR."))),
-    ))
+    found = {"absent": blank, "syntax": broken & ~F.col("_t.wellformed"), "brackets": broken & ~balanced, "base": unknown, "mapping": unmapped}
+    faults = F.array_compact(F.array(*[F.when(found[code], F.lit(code)) for code in FAULTS]))
+    said = F.transform(faults, lambda f: F.concat(f, F.lit(": "), shown))
     return (
         joined
         .withColumn("resolved_type", F.when(usable & ~unknown & ~unmapped, rebuilt).otherwise(K.DEFAULT_TYPE))
-        .withColumn("type_warnings", warnings)
-        .withColumn("type_category", warning_category(F.col("type_warnings")))
+        .withColumn("type_warnings", said)
+        .withColumn("type_category", fault_category(faults))
         .select(*df.columns, "resolved_type", "type_warnings", "type_category")
     )
 
 
-def warning_category(warnings: Column) -> Column:
-    """MALFORMED, UNMAPPED, MISSING or MAPPED from the warnings of one type."""
-    def any_has(*texts: str) -> Column:
-        return F.exists(warnings, lambda w: reduce(or_, [w.contains(t) for t in texts]))
-
-    return (
-        F.when(any_has("Malformed", "Mismatched", "not a known base type"), "MALFORMED")
-        .when(any_has("not found in map"), "UNMAPPED")
-        .when(F.size(warnings) > 0, "MISSING")
-        .otherwise("MAPPED")
-    )
+def fault_category(faults: Column) -> Column:
+    """The category of a type's first fault, MAPPED without any."""
+    return F.coalesce(_lookup(FAULTS, F.get(faults, F.lit(0))), F.lit("MAPPED"))

@@ -107,12 +107,16 @@ def primary_table(cells: DataFrame) -> DataFrame:
 def pivot_cells(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One record per table row; wide columns for given keys, else a map column.
 
-    A group is one table row, so it is bounded by the header of its table.
+    A repeated header gives the value of its last column. A group is one table row,
+    so it is bounded by the header of its table.
     """
     by = cells.groupBy("page_id", "table_ord", "row_ord")
     if keys is None:
-        return by.agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("record"))
-    return by.pivot("key", keys).agg(F.first("value"))
+        cells = by.agg(F.array_sort(F.collect_list(F.struct("col_ord", "key", "value"))).alias("_c"))
+        names = F.array_distinct(F.transform("_c", lambda x: x["key"]))
+        last = F.transform(names, lambda k: F.element_at(F.filter("_c", lambda x: x["key"] == k), -1)["value"])
+        return cells.withColumn("record", F.map_from_arrays(names, last)).drop("_c")
+    return by.pivot("key", keys).agg(F.max_by("value", "col_ord"))
 
 
 def _record(keys: Column, cells: Column) -> Column:

@@ -60,30 +60,24 @@ def test_resolver_rules(spark, doc, extra, rules):
     assert _rules(spark, doc, extra) == rules
 
 
-TICKER = """
-    create or replace TABLE QUOTES (
-        SYMBOL VARCHAR(6) NOT NULL DEFAULT '',
-        LABEL VARCHAR(32) NOT NULL DEFAULT 'a, b (c',
-        SEEN_AT TIMESTAMP_NTZ(3),
-        MADE_AT TIMESTAMP_LTZ(3) NOT NULL DEFAULT CAST('0001-01-01 00:00:00' AS TIMESTAMP_LTZ(3)),
-        OP NUMBER(38,0) NOT NULL DEFAULT 0,
-        primary key (SYMBOL, OP)
-    );"""
-COMMENTED = """CREATE TABLE D.S.T (
-    Id NUMBER(38,0) NOT NULL COMMENT 'the, key', AMOUNT DECIMAL(18, 2), "OK" BOOLEAN DEFAULT TRUE,
-    CONSTRAINT PK PRIMARY KEY (ID), FOREIGN KEY (ID) REFERENCES O(OID), UNIQUE (AMOUNT));"""
-
-
-@pytest.mark.parametrize("ddl, columns", [
-    (TICKER, ["SYMBOL VARCHAR(6)", "LABEL VARCHAR(32)", "SEEN_AT TIMESTAMP_NTZ(3)", "MADE_AT TIMESTAMP_LTZ(3)", "OP NUMBER(38,0)"]),
-    (COMMENTED, ["ID NUMBER(38,0)", "AMOUNT DECIMAL(18,2)", "OK BOOLEAN"]),
-    ("CREATE OR REPLACE TABLE A.B.C (\n C1 VARCHAR,\n C2 INTEGER COMMENT 'x',\n C3 TIMESTAMP_NTZ NOT NULL\n);",
-     ["C1 VARCHAR", "C2 INTEGER", "C3 TIMESTAMP_NTZ"]),
-    ("create table x (a number(38, 9), b varchar(16777216))", ["A NUMBER(38,9)", "B VARCHAR(16777216)"]),
-    ("CREATE VIEW D.S.V AS\nSELECT ID, NAME FROM T;", []),
-    ("create or replace view V (a, b) as select 1, 2", []),
-    ("DROP TABLE D.S.T", []), ("", []), (None, []),
-])
+LONG = "create table lake.notes (body text default '" + "it''s, (long) " * 9000 + "', size int)"
+WIDE = "create table wide (" + ", ".join(f"f{i} decimal({i % 30 + 1}, 2) default round(power({i}, 2), 1)" for i in range(5000)) + ")"
+CASES = [
+    ('create or alter table "Plant 7"."Read, (ings)" ("Probe No" char(4), "a,b (c" real not null, "in""ch" float)', ["PROBE NO CHAR(4)", "A,B (C REAL", 'IN"CH FLOAT']),
+    ("create temp table t (a int, -- left, over int\n b date /* c, d int\n */, e bigint)", ["A INT", "B DATE", "E BIGINT"]),
+    ("create local temporary table if not exists t (a double precision, b timestamp ( 6 ) with time zone, c character  varying(7), d time without time zone)",
+     ["A DOUBLE PRECISION", "B TIMESTAMP(6) WITH TIME ZONE", "C CHARACTER VARYING(7)", "D TIME WITHOUT TIME ZONE"]),
+    ("create table t (a int default greatest(1, least(2, abs(-3))), b numeric( 5 ,1 ), check (a > (b + (1))), unique (a, b)) cluster by (a, b) comment = 'x)'",
+     ["A INT", "B NUMERIC(5,1)"]),
+    ("create transient table s.t(only_one boolean)", ["ONLY_ONE BOOLEAN"]),
+    (LONG, ["BODY TEXT", "SIZE INT"]),
+    (WIDE, [f"F{i} DECIMAL({i % 30 + 1},2)" for i in range(5000)]),
+    ("create materialized view v (a) as select (1)", []), ("create table t as select f(a int) from u", []), ("create table t (a int", []),
+    ("alter table t add (a int)", []), ("", []), (None, []),
+]
+
+
+@pytest.mark.parametrize("ddl, columns", CASES)
 def test_ddl_columns(spark, ddl, columns):
     df = ddl_columns(spark.createDataFrame([(1, ddl)], "id int, ddl string"))
     got = df.orderBy("ordinal").collect()

@@ -239,7 +239,7 @@ class Searcher:
     def __init__(self, items: Items, space: np.ndarray):
         self.items, self.space = items, np.vstack([space, np.zeros((1, space.shape[1]))]).astype(np.float32)  # the last row is a gap's
         self.scales: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        latent = np.array([self.space[w].sum(axis=0) for w in items.words]).reshape(len(items.words), -1)
+        latent = np.array([self.space[w].sum(axis=0) for w in items.words]).reshape(len(items.words), space.shape[1])
         norms = np.linalg.norm(latent, axis=1)
         latent /= np.maximum(norms, 1e-30)[:, None]
         by: dict[int, list[int]] = {}

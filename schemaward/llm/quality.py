@@ -136,7 +136,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum:
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that ``apply_rules`` keeps, with their own columns.
+    """The rows of ``docs`` that ``apply_rules`` keeps, with their own columns but those of an added name.
 
     The running number holds the filter above the measures: pushed below them it would spell their expressions out
     again inside each other.

@@ -28,6 +28,15 @@ ADDED = T.StructType([T.StructField("piece", T.IntegerType()), T.StructField("st
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence, how many such sequences) for a histogram of lengths from 1 to ``capacity``.
 
+    Exact complements of up to three, two or one lengths are tried, as triples may spend the short lengths that best fit
+    needs later; the plan of fewest sequences is taken.
+    """
+    return min((_plan(counts, capacity, most) for most in (3, 2, 1)), key=lambda p: sum(times for _, times in p))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """A plan with exact complements of up to ``most`` lengths, best fit behind them.
+
     Every step uses a pattern as often as its rarest length allows, so each step exhausts a length, or all but a rest
     below its multiplicity in the pattern: the plan has a few patterns per length at most.
     """
@@ -47,11 +56,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
             out.append((pattern, times))
         return times > 0
 
-    def pair(total: int, most: int) -> tuple[int, int] | None:
-        """The most uneven two available lengths of that sum, none above ``most``."""
+    def pair(total: int, longest: int) -> tuple[int, int] | None:
+        """The most uneven two available lengths of that sum, none above ``longest``."""
         if total < 2:
             return None
-        a = np.arange(min(most, total - 1), (total + 1) // 2 - 1, -1)
+        a = np.arange(min(longest, total - 1), (total + 1) // 2 - 1, -1)
         hit = np.flatnonzero((left[a] > 0) & (left[total - a] > 0) & ((a != total - a) | (left[a] > 1)))
         return (int(a[hit[0]]), int(total - a[hit[0]])) if len(hit) else None
 
@@ -63,10 +72,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
                 return ()
             if gap <= first and left[gap] > 0:
                 return (gap,)
-            two = pair(gap, first)
+            two = pair(gap, first) if most > 1 else None
             if two:
                 return two
-            for a in np.flatnonzero(left[: min(first, gap - 2) + 1])[::-1].tolist() if gap > 2 else ():
+            for a in np.flatnonzero(left[: min(first, gap - 2) + 1])[::-1].tolist() if gap > 2 and most > 2 else ():
                 if 3 * a < gap:
                     break
                 left[a] -= 1

@@ -50,6 +50,12 @@ def with_current_ddl(grid: DataFrame, ddl_state: DataFrame) -> DataFrame:
     return grid.join(usable.select(*_OBJECT, "current_ddl", "current_ddl_hash"), _OBJECT)
 
 
+def with_current_hash(grid: DataFrame, ddl_state: DataFrame) -> DataFrame:
+    """C16 without the texts: adds the fingerprint; objects without stored DDL fall out."""
+    usable = ddl_state.where("current_ddl <> '' and current_ddl_hash <> ''")
+    return grid.join(usable.select(*_OBJECT, "current_ddl_hash"), _OBJECT)
+
+
 def without_ddl(grid: DataFrame, ddl_state: DataFrame) -> DataFrame:
     """C16, the skip list: objects without stored DDL."""
     usable = ddl_state.where("current_ddl <> '' and current_ddl_hash <> ''")
@@ -99,15 +105,16 @@ def _score_text(score: Column) -> Column:
 
 
 def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: DataFrame, type_map: DataFrame,
-                as_of: str, settings: MatchSettings = MatchSettings()) -> DataFrame:
+                as_of: str, settings: MatchSettings = MatchSettings(), choices: DataFrame | None = None) -> DataFrame:
     """M7: next mapping state.
 
-    ``objects``: page_id, object key, current_ddl_hash, current_ddl (see ``with_current_ddl``);
-    ``titles``: page_id, page_title. User overrides and good matches against an
+    ``objects``: page_id, object key, current_ddl_hash, and current_ddl (see ``with_current_ddl``) unless ``choices``
+    (see ``choices_by_ddl``) are given; ``titles``: page_id, page_title. User overrides and good matches against an
     unchanged DDL keep their match; everything else is matched again.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
-    usable = objects.where(F.size(column_names(F.col("current_ddl"))) > 0)
+    choices = choices_by_ddl(objects) if choices is None else choices
+    usable = objects.join(choices.select("current_ddl_hash"), "current_ddl_hash", "left_semi")
     # a target named twice on a page is mapped from its last row
     named = columns_to_map(specs).groupBy("page_id", "target_field_name").agg(
         F.max_by(F.struct(*[c for c in specs.columns if c not in ("page_id", "target_field_name")]), "row_ord").alias("s"))
@@ -120,7 +127,7 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
     unchanged = F.coalesce((F.col("old.ddl_hash_at_mapping") == F.col("current_ddl_hash"))
                            & F.col("old.mapping_status").isin("MAPPED_EXACT", "MAPPED_FUZZY"), F.lit(False))
     rows = rows.withColumn("search", new & ~override & ~unchanged)
-    best = best_matches(rows.where("search"), choices_by_ddl(usable), settings)
+    best = best_matches(rows.where("search"), choices, settings)
     # rows without a search get a name of their own that matches nothing: null keys would all meet in one task
     own = F.concat(F.lit("\0"), F.col("page_id").cast("string"), F.lit("\0"), "target_field_name")
     rows = rows.withColumn("name", F.when(F.col("search"), F.upper("source_field_name")).otherwise(own)) \

@@ -22,6 +22,7 @@ _OUTLINE = T.StructType([
         T.StructField("rows", T.ArrayType(T.StructType([
             T.StructField("row_ord", T.IntegerType()), T.StructField("cells", T.ArrayType(T.StringType()))]))),
     ]))),
+    T.StructField("failure", T.StringType()),
 ])
 _BLOCKS = pa.map_(pa.string(), pa.string())
 _TABLES = pa.list_(pa.struct([
@@ -46,21 +47,29 @@ def _outline(html: str | None) -> tuple[list, list]:
     return list(page.labelled(_LABELS).items()), tables
 
 
+def _safe_outline(html: str | None) -> tuple[list, list, str | None]:
+    """The outline, or why there is none: one page that cannot be read must not end the job."""
+    try:
+        return *_outline(html), None
+    except Exception as e:
+        return [], [], f"{type(e).__name__}: {e}"
+
+
 def outline_pages(pages: DataFrame) -> DataFrame:
-    """The Python half of H12: html replaced by labelled blocks and raw header and cell texts.
+    """The Python half of H12: html replaced by labelled blocks, raw header and cell texts, and the failure if any.
 
     One output row per page with its other columns passed through, so nothing is
     shuffled, and everything after the tokenizer stays in native expressions.
     """
     kept = [f for f in pages.schema.fields if f.name != "html"]
-    names = [f.name for f in kept] + ["blocks", "tables"]
+    names = [f.name for f in kept] + ["blocks", "tables", "failure"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE):
                 some = batch.slice(at, _SLICE)
-                made = [_outline(h) for h in some.column(some.num_columns - 1).to_pylist()]
-                arrays = [*some.columns[:-1], pa.array([m[0] for m in made], _BLOCKS), pa.array([m[1] for m in made], _TABLES)]
+                made = [_safe_outline(h) for h in some.column(some.num_columns - 1).to_pylist()]
+                arrays = [*some.columns[:-1], pa.array([m[0] for m in made], _BLOCKS), pa.array([m[1] for m in made], _TABLES), pa.array([m[2] for m in made], pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     return pages.select(*[f.name for f in kept], "html").mapInArrow(run, T.StructType([*kept, *_OUTLINE.fields]))
@@ -129,7 +138,7 @@ def _record(keys: Column, cells: Column) -> Column:
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """A6 up to the struct: html and title replaced by ``page``, the nested parsed document.
+    """A6 up to the struct: html and title replaced by ``page``, the nested parsed document, and ``failure``.
 
     Everything happens inside the page's own row, without a shuffle.
     ``pages``: page_id, title, html; other columns are passed through.

@@ -35,8 +35,7 @@ def parity_status(left: Column, right: Column) -> Column:
 
 
 def _side(env: str) -> Column:
-    fields = F.struct(F.col("current_ddl_hash").alias("hash"), F.col("current_ddl").alias("ddl"),
-                      F.col("fqdn").alias("fqdn"), F.col("object_type").alias("object_type"))
+    fields = F.struct(F.col("current_ddl_hash").alias("hash"), F.col("fqdn").alias("fqdn"), F.col("object_type").alias("object_type"))
     return F.max(F.when(F.col("env") == env.upper(), fields))
 
 
@@ -50,8 +49,20 @@ def env_parity(ddl_state: DataFrame, source: str, target: str) -> DataFrame:
     """C11: existing objects of two environments compared by (fqdn, object_type)."""
     return _compare(existing(ddl_state), ["fqdn", "object_type"], source, target).select(
         "fqdn", "object_type", "status",
-        F.col("l.hash").alias("source_hash"), F.col("r.hash").alias("target_hash"),
-        F.col("l.ddl").alias("source_ddl"), F.col("r.ddl").alias("target_ddl"))
+        F.col("l.hash").alias("source_hash"), F.col("r.hash").alias("target_hash"))
+
+
+def mismatch_texts(ddl_state: DataFrame, source: str, target: str) -> DataFrame:
+    """Both texts of the objects that differ between two environments: fqdn, object_type, source_ddl, target_ddl.
+
+    The comparison moves fingerprints only; texts are fetched for the mismatches alone.
+    """
+    keys = ["fqdn", "object_type"]
+    differing = env_parity(ddl_state, source, target).where("status = 'DDL_HASH_MISMATCH'").select(*keys)
+
+    def side(env: str, name: str) -> DataFrame:
+        return known_envs(existing(ddl_state), [env]).select(*keys, F.col("current_ddl").alias(name))
+    return differing.join(side(source, "source_ddl"), keys).join(side(target, "target_ddl"), keys)
 
 
 def logical_parity(ddl_state: DataFrame, resolver: DataFrame, source: str, target: str) -> DataFrame:

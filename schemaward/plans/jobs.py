@@ -27,13 +27,16 @@ def parse_run(meta: DataFrame, docs: DataFrame, content: DataFrame, as_of: str)
     bodies = queue.join(ingest.page_bodies(docs), "page_id", "left").withColumn(
         "outcome", F.coalesce("outcome", F.lit("API_ERROR")))
     parsed = pages.parsed_pages(bodies)
-    results = parsed.select("page_id", "outcome", F.col("page.metadata.table_name").alias("table_name"),
-                            F.lit(None).cast("string").alias("detail"))
+    broken = (F.col("outcome") == "OK") & F.col("failure").isNotNull()
+    parsed = parsed.withColumn("outcome", F.when(broken, "PARSE_ERROR").otherwise(F.col("outcome")))
+    results = parsed.select("page_id", "outcome", F.col("page.metadata.table_name").alias("table_name"), F.when(broken, F.col("failure")).alias("detail"))
     fresh = parsed.where("outcome = 'OK'").select(
         "page_id", F.to_json("page", {"ignoreNullFields": "false"}).alias("parsed_json"),
         F.lit(as_of).cast("timestamp_ntz").alias("parsed_date"))
-    read = bodies.where("outcome = 'OK'").select("page_id")
-    return ingest.apply_parse_result(meta, results, as_of), content.join(read, "page_id", "left_anti").unionByName(fresh)
+    # one full outer join on unique keys, so that the pages are tokenized once for the stored content
+    old = content.select("page_id", F.struct("parsed_json", "parsed_date").alias("old"))
+    stored = old.join(fresh.select("page_id", F.struct("parsed_json", "parsed_date").alias("new")), "page_id", "full_outer")
+    return ingest.apply_parse_result(meta, results, as_of), stored.select("page_id", F.coalesce("new", "old").alias("c")).select("page_id", "c.*")
 
 
 def check_sources(specs: DataFrame, flat_resolver: DataFrame, envs: list[str], inventory: DataFrame) -> DataFrame:
@@ -72,6 +75,10 @@ def map_specs(specs: DataFrame, names: DataFrame, flat_resolver: DataFrame, envs
               prev_map: DataFrame, type_map: DataFrame, as_of: str,
               settings: MatchSettings = MatchSettings()) -> DataFrame:
     """The mapping job on declared columns: W2, C16, M7, M8."""
-    objects = matching.with_current_ddl(matching.page_objects(specs, envs, flat_resolver), ddl_state)
-    mapped = matching.map_columns(specs, objects, prev_map, names, type_map, as_of, settings)
+    grid = matching.with_current_hash(matching.page_objects(specs, envs, flat_resolver), ddl_state)
+    # a text is read once however many pages refer to it; objects without columns are skipped by both steps
+    wanted = ddl_state.join(grid.select("current_ddl_hash").distinct(), "current_ddl_hash", "left_semi")
+    choices = matching.choices_by_ddl(wanted)
+    objects = grid.join(choices.select("current_ddl_hash"), "current_ddl_hash", "left_semi")
+    mapped = matching.map_columns(specs, objects, prev_map, names, type_map, as_of, settings, choices)
     return matching.deactivate_orphans(mapped, specs, as_of, objects)

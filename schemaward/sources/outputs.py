@@ -20,12 +20,13 @@ def write_state(df: DataFrame, name: str, path: str) -> None:
     df.select(*S.state_schema(name).names).write.mode("errorifexists").parquet(path)
 
 
-def write_tables_json(pages: DataFrame, path: str) -> None:
-    """Parsed pages as JSON files under one folder per sanitised table name.
+def write_tables_json(pages: DataFrame, path: str, buckets: int = 256) -> None:
+    """Parsed pages as JSON lines with their sanitised table name, in at most ``buckets`` folders by that name.
 
-    Spread by name and page, so that pages sharing a name are written by many tasks.
+    One folder per table would be one per page, all of which the driver lists at the commit. A bucket is written by as
+    many tasks as its pages need, spread by name and page.
     ``pages``: page_id and ``page`` from ``parsed_pages``.
     """
     name = F.coalesce(F.nullif("page.metadata.table_name", F.lit("")), F.lit("untitled_table"))
-    keyed = pages.withColumn("file_key", file_key(name))
-    keyed.repartition("file_key", "page_id").write.mode("overwrite").partitionBy("file_key").json(path)
+    keyed = pages.withColumn("file_key", file_key(name)).withColumn("bucket", F.pmod(F.xxhash64("file_key"), F.lit(buckets)))
+    keyed.repartition("bucket", F.pmod(F.xxhash64("page_id"), F.lit(16))).write.mode("overwrite").partitionBy("bucket").json(path)

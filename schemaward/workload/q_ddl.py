@@ -109,6 +109,17 @@ def environment_parity(c):
     return P.env_parity(_folded(c), "DEV", "SPC").select("fqdn", "object_type", "status", "source_hash", "target_hash")
 
 
+_DRIFT = f"""select a.fqdn, a.object_type, a.ddl as a, b.ddl as b from (select * from ({_FOLDED}) f where env = 'DEV' and obj_exists) a
+ join (select * from ({_FOLDED}) f where env = 'SPC' and obj_exists) b on a.fqdn = b.fqdn and a.object_type = b.object_type where a.h is distinct from b.h"""
+
+
+@query(f"""with p as ({_DRIFT}), l as (select fqdn, object_type, unnest(string_split(coalesce(a, ''), chr(10))) as line, -1 as side from p
+  union all select fqdn, object_type, unnest(string_split(coalesce(b, ''), chr(10))), 1 from p)
+ select fqdn, object_type, case when sum(side) < 0 then '-' else '+' end as sign, line, cast(abs(sum(side)) as bigint) as copies from l group by fqdn, object_type, line having sum(side) <> 0""")
+def parity_changed_lines(c):
+    return P.line_diff(P.mismatch_texts(_folded(c), "DEV", "SPC"), ["fqdn", "object_type"], "source_ddl", "target_ddl")
+
+
 _SIDE = "select s.*, r.source_name from (select * from @ddl_state where obj_exists and env = '{e}') s join @resolver r on r.fqdn = s.fqdn and r.env = s.env and r.object_type = s.object_type"
 
 
@@ -191,6 +202,16 @@ def schema_diff(c):
     return P.schema_diff(old, new, ["fqdn", "env"]).select("fqdn", "env", "name", "change", "old_type", "new_type")
 
 
+@query(f"""select coalesce(a.fqdn, b.fqdn) as fqdn, coalesce(a.object_type, b.object_type) as object_type, coalesce(a.name, b.name) as name,
+ case when a.name is null then 'ADDED' when b.name is null then 'REMOVED' when a.type <> b.type then 'TYPE_CHANGED' else 'MOVED' end as change, a.type as old_type, b.type as new_type
+ from (select fqdn, object_type, {_cols_sql('a')} from ({_DRIFT}) p where a is not null) a full join (select fqdn, object_type, {_cols_sql('b')} from ({_DRIFT}) p where b is not null) b
+ on a.fqdn = b.fqdn and a.object_type = b.object_type and a.name = b.name where a.name is null or b.name is null or a.type <> b.type or a.ordinal <> b.ordinal""")
+def parity_schema_diff(c):
+    both = P.mismatch_texts(_folded(c), "DEV", "SPC")
+    old, new = (ddl_columns(both.select("fqdn", "object_type", F.col(side).alias("ddl"))) for side in ("source_ddl", "target_ddl"))
+    return P.schema_diff(old, new, ["fqdn", "object_type"]).select("fqdn", "object_type", "name", "change", "old_type", "new_type")
+
+
 @query("""select page_id, 'T_' || cast(page_id as varchar) as table_name, 'CREATE TABLE T_' || cast(page_id as varchar) || ' (' || chr(10) ||
  string_agg('    ' || upper(target_field_name) || ' ' || case when data_type in ('NUMBER(38, 0)', 'integer', 'Float or Number', 'BIGINT') then 'NUMBER(38,0)' when data_type = 'varchar(128)' then 'VARCHAR(128)'
   when data_type = 'timestamp' then 'TIMESTAMP_LTZ' when data_type = 'bool' then 'BOOLEAN' else 'VARCHAR(16777216)' end || case when is_primary_key = 'yes' then ' NOT NULL' else '' end, ',' || chr(10) order by row_ord)

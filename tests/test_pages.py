@@ -101,3 +101,21 @@ def test_document(spark):
     assert page.extra == "kept" and page.page.metadata.table_name == "Orders"
     assert page.page.metadata.foreign_keys == ["x", "y"] and page.page.metadata.primary_keys == []
     assert [c for c in page.page.tables[0]["columns"]] == [{"a_b": "false"}]
+
+
+def test_one_unreadable_page_does_not_end_the_job(monkeypatch):
+    def outline(html):
+        if html == "bad":
+            raise ValueError("no outline")
+        return [], []
+    monkeypatch.setattr(pages, "_outline", outline)
+    assert pages._safe_outline("good") == ([], [], None)
+    assert pages._safe_outline("bad") == ([], [], "ValueError: no outline")
+
+
+def test_repeated_headers_give_the_last_value(spark):
+    cells = spark.createDataFrame([(1, 1, 1, k, key, v) for k, (key, v) in enumerate([("k", "a"), ("x", "b"), ("k", "c")])],
+                                  "page_id long, table_ord int, row_ord int, col_ord int, key string, value string")
+    assert pages.pivot_cells(cells).first().record == {"k": "c", "x": "b"}
+    wide = pages.pivot_cells(cells, ["k", "x"]).first()
+    assert (wide.k, wide.x) == ("c", "b")

@@ -89,3 +89,16 @@ def test_history_marks_changes(spark):
     assert got == [True, False, True, False]
     folded = fold_ddl(spark.createDataFrame(snaps, SNAP))
     assert internal_changes(folded).count() == 1
+
+
+def test_bursts_are_split(spark):
+    from schemaward.plans import skew
+    burst = [("D.S.B", "DEV", "TABLE", dt.datetime(2000, 1, 1), True, "x")]
+    burst += [("D.S.B", "DEV", "TABLE", T0 + dt.timedelta(microseconds=1200 * k), True, f"v{k // 50}") for k in range(4000)]
+    burst += [("D.S.C", "DEV", "TABLE", T0, True, "y")]
+    rows = skew.time_blocks(spark.createDataFrame(burst, SNAP), S.OBJECT_KEY, "checked_on", 100)
+    sizes = {(r.fqdn, r[skew.BLOCK]): r["count"] for r in rows.groupBy("fqdn", skew.BLOCK).count().collect()}
+    assert sum(sizes.values()) == len(burst) and max(sizes.values()) <= 100 and sizes["D.S.C", 0] == 1
+    order = [r[skew.BLOCK] for r in rows.where("fqdn = 'D.S.B'").orderBy("checked_on").collect()]
+    assert order == sorted(order)
+    assert _rows(fold_ddl(spark.createDataFrame(burst, SNAP), 100)) == _simulate(burst)

@@ -14,7 +14,7 @@ def _documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
-    """JSON arrays of titles to (path, ord, given_title); documents that are no list are rejected."""
+    """JSON arrays of titles to (path, ord, given_title); documents that are no list are faults, see ``document_faults``."""
     titles = F.from_json("value", "array<string>")
     docs = _documents(spark, path).where(F.ltrim("value").startswith("["))
     return docs.select("path", F.posexplode(titles).alias("ord", "given_title"))
@@ -31,13 +31,26 @@ def read_report(spark: SparkSession, path: str, document: bool = False) -> DataF
 
 
 def read_resolver_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Resolver documents to raw entries (entry_ord, entry_key, entry_json).
+    """Resolver documents to raw entries (path, entry_ord, entry_key, entry_json).
 
-    Entries keep their order, and exact duplicates of a key keep both rows.
+    Entries keep their order, exact duplicates of a key keep both rows, and an entry that is a JSON string keeps its
+    quotes, so that a string is never taken for the object it may spell. See ``document_faults`` for broken documents.
     """
-    entries = F.map_entries(F.from_json("value", "map<string,string>"))
-    return _documents(spark, path).select("path", F.posexplode(entries).alias("entry_ord", "e")).select(
-        "path", "entry_ord", F.col("e.key").alias("entry_key"), F.col("e.value").alias("entry_json"))
+    texts = F.map_entries(F.from_json("value", "map<string,string>"))
+    kinds = F.map_entries(F.from_json("value", "map<string,variant>"))
+    string = F.schema_of_variant("e.kind.value") == "STRING"
+    pairs = F.arrays_zip(texts.alias("entry"), kinds.alias("kind"))
+    return _documents(spark, path).select("path", F.posexplode(pairs).alias("entry_ord", "e")).select(
+        "path", "entry_ord", F.col("e.entry.key").alias("entry_key"),
+        F.when(string, F.expr("substr(to_json(array(e.entry.value)), 2, length(to_json(array(e.entry.value))) - 2)")).otherwise(F.col("e.entry.value")).alias("entry_json"))
+
+
+def document_faults(spark: SparkSession, path: str, kind: str = "object") -> DataFrame:
+    """Documents that cannot be used at all, as (path, reason): not JSON, or no ``kind`` ("object" or "list")."""
+    value = F.try_parse_json("value")
+    wanted = F.startswith(F.ltrim("value", F.lit(" \t\r\n")), F.lit("{" if kind == "object" else "["))
+    reason = F.when(value.isNull(), "not JSON").when(~wanted, f"not a JSON {kind}")
+    return _documents(spark, path).select("path", reason.alias("reason")).where("reason is not null")
 
 
 def read_type_map_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -41,7 +41,7 @@ def report_round_trip(c):
     return R.read_report(c.spark, path)
 
 
-@query("select entry_key, case when entry_json = '\"just text\"' then 'just text' else entry_json end as entry_json from @resolver_entries")
+@query("select entry_key, entry_json from @resolver_entries")
 def read_resolver_entries(c):
     path = shared_dir(c.spark)
     item = F.concat(F.lit('"'), "entry_key", F.lit('":'), "entry_json")
@@ -49,6 +49,18 @@ def read_resolver_entries(c):
     return R.read_resolver_raw(c.spark, path).select("entry_key", "entry_json")
 
 
+@query(f"""select cast(d as bigint) as doc, case d % 4 when 1 then 'not a JSON list' else 'not JSON' end as reason
+ from (select distinct o_orderkey // {DOC_SIZE} as d from orders) x where d % 4 > 0""")
+def document_faults(c):
+    path = shared_dir(c.spark)
+    good = _documents(c["orders"], "o_orderkey", F.concat(F.lit('"'), "o_orderpriority", F.lit('"')), "[", "]")
+    kind, value = F.col("doc") % 4, F.col("value")
+    broken = (F.when(kind == 1, F.concat(F.lit('{"a": '), value, F.lit("}"))).when(kind == 2, F.substring(value, F.lit(1), F.length(value) - 1))
+              .when(kind == 3, F.concat(F.lit("titles: "), value)).otherwise(F.concat(F.lit(" "), value)))
+    _write_documents(good.withColumn("value", broken), path)
+    return R.document_faults(c.spark, path, "list").select(F.regexp_extract("path", "doc=([0-9]+)", 1).cast("long").alias("doc"), "reason")
+
+
 @query("select upper(map_key) as declared_type, arg_max(map_value, n) as warehouse_type from @type_map_raw where trim(map_value) <> '' group by 1")
 def read_type_map(c):
     path = shared_dir(c.spark)

@@ -117,3 +117,23 @@ def test_cleaning_and_labels(spark):
     row = df.select(clean_text(F.col("a")).alias("a"), label_value(F.col("b"), "Database name:").alias("b"),
                     label_value(F.col("c"), "Table name:").alias("c"), label_value(F.col("b"), "Schema name:").alias("d")).first()
     assert tuple(row) == ("na ve caf x_y-z.1", "LAKE", None, None)
+
+
+def test_string_entries_stay_strings(spark, tmp_path):
+    from schemaward.sources.inputs import document_faults, read_resolver_raw, read_type_map
+    (tmp_path / "a.json").write_text(json.dumps({"A": json.dumps({"defaults": {"environments": ["DEV"], "fqdn": "a.b.c"}}), "B": {"aliases": ["x"]}}))
+    raw = read_resolver_raw(spark, str(tmp_path / "a.json"))
+    assert sorted(r.rule for r in R.validate_resolver(raw).where("key = 'A'").collect()) == ["V1"]
+    (tmp_path / "b.json").write_text('{"A": 1')
+    (tmp_path / "c.json").write_text('["A"]')
+    got = {r.path[-6:]: r.reason for r in document_faults(spark, str(tmp_path)).collect()}
+    assert got == {"b.json": "not JSON", "c.json": "not a JSON object"}
+    (tmp_path / "t.json").write_text('{"num": "VARCHAR", "NUM": "NUMBER", "x": " "}')
+    assert [tuple(r) for r in read_type_map(spark, str(tmp_path / "t.json")).collect()] == [("NUM", "NUMBER")]
+
+
+def test_earlier_entries_are_judged_over_documents(spark):
+    entry = json.dumps({"aliases": ["B"], "defaults": {"environments": ["DEV"], "fqdn": "a.b.c"}})
+    rows = [("doc1", 5, "A", entry), ("doc2", 0, "B", entry)]
+    raw = spark.createDataFrame(rows, "path string, entry_ord long, entry_key string, entry_json string")
+    assert "V6" in {r.rule for r in R.validate_resolver(raw).collect()}

@@ -1,8 +1,5 @@
 """Names, word lists and tables that results must agree on."""
 
-# Environments checked by default, in report order.
-ENVIRONMENTS = ["DEV", "SPC", "BFM", "PRU"]
-
 # Fallback for every declared type that cannot be resolved.
 DEFAULT_TYPE = "VARCHAR(16777216)"
 

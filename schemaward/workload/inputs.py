@@ -15,6 +15,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 AS_OF = "2025-01-15 12:00:00"
+ENVIRONMENTS = ["DEV", "SPC", "BFM", "PRU"]  # names of the recipes' environments
 
 
 class SparkText:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from schemaward import constants as K
 from schemaward import schemas as S
 from schemaward.functions.ddl import ddl_columns
 from schemaward.operators import ddl_history as H
@@ -12,7 +11,7 @@ from schemaward.operators import parity as P
 from schemaward.operators import render
 from schemaward.functions.types import resolve_types
 from schemaward.functions.text import is_yes
-from schemaward.workload.inputs import AS_OF
+from schemaward.workload.inputs import AS_OF, ENVIRONMENTS
 from schemaward.workload.registry import query
 
 # snapshot rows with the fold state after each, in plain windows
@@ -133,7 +132,7 @@ def logical_parity(c):
 
 @query("select fqdn, string_agg(distinct object_type, ',' order by object_type) as object_types from @ddl_state where obj_exists and env in ('DEV', 'SPC', 'BFM', 'PRU') group by fqdn")
 def object_types_per_name(c):
-    found = P.known_envs(P.existing(c["ddl_state"]), K.ENVIRONMENTS)
+    found = P.known_envs(P.existing(c["ddl_state"]), ENVIRONMENTS)
     return P.types_per_fqdn(found).select("fqdn", F.array_join("object_types", ",").alias("object_types"))
 
 

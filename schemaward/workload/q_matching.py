@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from schemaward import constants as K
 from schemaward import schemas as S
 from schemaward.functions import similarity as M
 from schemaward.operators import matching, pages
 from schemaward.plans import jobs
-from schemaward.workload.inputs import AS_OF
+from schemaward.workload.inputs import AS_OF, ENVIRONMENTS
 from schemaward.workload.registry import query
 
 
@@ -122,7 +121,7 @@ _OBJECTS = f"""select s.page_id, r.fqdn, r.env, r.object_type, d.current_ddl_has
 
 
 def _objects(c):
-    return matching.with_current_ddl(matching.page_objects(c["colspecs"], K.ENVIRONMENTS, c["resolver"]), c["ddl_state"])
+    return matching.with_current_ddl(matching.page_objects(c["colspecs"], ENVIRONMENTS, c["resolver"]), c["ddl_state"])
 
 
 @query(_SOURCE)
@@ -138,7 +137,7 @@ def objects_with_ddl(c):
 @query(f"""select s.page_id, r.fqdn, r.env, r.object_type from ({_SOURCE}) s join @resolver r on r.source_name = s.source_name and r.env in ('DEV', 'SPC', 'BFM', 'PRU')
  join @ddl_state d on d.fqdn = r.fqdn and d.env = r.env and d.object_type = r.object_type and d.current_ddl is null""")
 def objects_without_ddl(c):
-    grid = matching.page_objects(c["colspecs"], K.ENVIRONMENTS, c["resolver"])
+    grid = matching.page_objects(c["colspecs"], ENVIRONMENTS, c["resolver"])
     return matching.without_ddl(grid, c["ddl_state"]).select("page_id", *S.OBJECT_KEY)
 
 
@@ -229,7 +228,7 @@ _JOB = f"""select {', '.join(_OUT)} from ({_NEW_MAP}) n union all
 @query(_JOB)
 def mapping_job(c):
     names = c["colspecs"].select("page_id", F.concat(F.lit("Page "), "page_id").alias("page_title")).distinct()
-    return _out(jobs.map_specs(c["colspecs"], names, c["resolver"], K.ENVIRONMENTS, c["ddl_state"], c["prev_map"], c["type_map"], AS_OF))
+    return _out(jobs.map_specs(c["colspecs"], names, c["resolver"], ENVIRONMENTS, c["ddl_state"], c["prev_map"], c["type_map"], AS_OF))
 
 
 @query(_JOB)
@@ -238,4 +237,4 @@ def mapping_from_stored_pages(c):
     content = pages.to_parsed_json(c["spec_pages"]).withColumn("parsed_date", F.lit(AS_OF).cast("timestamp_ntz"))
     meta = c["spec_pages"].select("page_id", F.col("title").alias("api_title"), F.lit("PARSED_OK").alias("extraction_status"),
                                   F.lit(True).alias("user_verified"))
-    return _out(jobs.map_run(meta, content, c["resolver"], K.ENVIRONMENTS, c["ddl_state"], c["prev_map"], c["type_map"], AS_OF))
+    return _out(jobs.map_run(meta, content, c["resolver"], ENVIRONMENTS, c["ddl_state"], c["prev_map"], c["type_map"], AS_OF))

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from schemaward import constants as K
 from schemaward import schemas as S
 from schemaward.operators import catalog, resolver as R
 from schemaward.plans import jobs
-from schemaward.workload.inputs import AS_OF
+from schemaward.workload.inputs import AS_OF, ENVIRONMENTS
 from schemaward.workload.registry import query
 
 _ENVS = "(values ('DEV'), ('SPC'), ('BFM'), ('PRU')) e(env)"
@@ -122,7 +121,7 @@ def unused_resolver_entries(c):
 
 @query(_GRID)
 def environment_grid(c):
-    return R.env_grid(R.distinct_sources(c["colspecs"]), K.ENVIRONMENTS, c["resolver"])
+    return R.env_grid(R.distinct_sources(c["colspecs"]), ENVIRONMENTS, c["resolver"])
 
 
 _ITEMS = f"""select 'resolved_fqdns' as section, fqdn as item from (select distinct fqdn from ({_USED}) u) r
@@ -164,13 +163,13 @@ def object_counts(c):
 
 @query(_CHECKED)
 def existence_check(c):
-    checked = jobs.check_sources(c["colspecs"], c["resolver"], K.ENVIRONMENTS, c["inventory"])
+    checked = jobs.check_sources(c["colspecs"], c["resolver"], ENVIRONMENTS, c["inventory"])
     return checked.select("source_name", "env", "fqdn", "object_type", "obj_exists")
 
 
 @query(f"select distinct env, fqdn, object_type, fqdn || ' (' || env || ', ' || object_type || ')' as label from ({_CHECKED}) x where not obj_exists")
 def missing_objects(c):
-    return catalog.missing_objects(jobs.check_sources(c["colspecs"], c["resolver"], K.ENVIRONMENTS, c["inventory"]))
+    return catalog.missing_objects(jobs.check_sources(c["colspecs"], c["resolver"], ENVIRONMENTS, c["inventory"]))
 
 
 # the check merged into an earlier state: stored DDL of every object, new DDL read for existing ones
@@ -190,5 +189,5 @@ _NEW_DDL = """select fqdn, env, object_type, replace(current_ddl, 'VARCHAR(16)',
 def source_check_state(c):
     wide = F.replace("current_ddl", F.lit("VARCHAR(16)"), F.when(F.length("fqdn") % 2 == 0, "VARCHAR(32)").otherwise("VARCHAR(16)"))
     ddl = c["ddl_state"].select(*S.OBJECT_KEY, wide.alias("ddl"))
-    return jobs.check_and_store(c["colspecs"], c["resolver"], K.ENVIRONMENTS, c["inventory"], ddl, c["ddl_state"], AS_OF).select(
+    return jobs.check_and_store(c["colspecs"], c["resolver"], ENVIRONMENTS, c["inventory"], ddl, c["ddl_state"], AS_OF).select(
         *S.OBJECT_KEY, "obj_exists", "current_ddl_hash", "previous_ddl_hash", "ddl_changed_on", "last_extracted_on", "last_checked_on", "notes")

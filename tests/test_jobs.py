@@ -8,6 +8,7 @@ from schemaward import constants as K
 from schemaward import schemas as S
 from schemaward.operators import ingest, resolver, titles
 from schemaward.plans import jobs
+from schemaward.workload.inputs import ENVIRONMENTS
 
 HTML = ("<p>Table name: Orders</p><table><tr><th>Source table</th><th>Source field name</th><th>Add Source To Target?</th>"
         "<th>Target field name</th><th>Data type</th><th>Is primary key</th></tr>"
@@ -54,12 +55,12 @@ def test_chain(spark):
                                 "fqdn string, env string, object_type string, ddl string")
     from schemaward.operators.pages import colspecs, primary_table
     specs = colspecs(primary_table(ingest.explode_parsed(content)))
-    state = jobs.check_and_store(specs, flat, K.ENVIRONMENTS, objects, ddl, spark.createDataFrame([], S.DDL_STATE), "2024-02-02 00:00:00")
+    state = jobs.check_and_store(specs, flat, ENVIRONMENTS, objects, ddl, spark.createDataFrame([], S.DDL_STATE), "2024-02-02 00:00:00")
     found = {r.env: r for r in state.collect()}
     assert found["DEV"].obj_exists and not found["PRU"].obj_exists and found["PRU"].notes == "TABLE does not exist."
 
     types = spark.createDataFrame(list(K.DEFAULT_TYPE_MAP.items()), "declared_type string, warehouse_type string")
-    mapped = jobs.map_run(meta2, content, flat, K.ENVIRONMENTS, state, spark.createDataFrame([], S.COLUMN_MAP), types, "2024-02-03 00:00:00").collect()
+    mapped = jobs.map_run(meta2, content, flat, ENVIRONMENTS, state, spark.createDataFrame([], S.COLUMN_MAP), types, "2024-02-03 00:00:00").collect()
     assert [(r.target_field_name, r.env, r.matched_column, r.mapping_status, r.resolved_type, r.is_primary_key) for r in mapped] == [
         ("id", "DEV", "ORDER_ID", "MAPPED_EXACT", "NUMBER(38,0)", True)]
 

@@ -8,6 +8,7 @@ from schemaward import schemas as S
 from schemaward.functions.hashing import ddl_hash
 from schemaward.operators import matching, merge, parity
 from schemaward.plans import jobs
+from schemaward.workload.inputs import ENVIRONMENTS
 from schemaward.sources import inputs, outputs
 
 SPECS = ("page_id long, row_ord long, source_table string, source_field_name string, target_field_name string, data_type string, "
@@ -24,7 +25,7 @@ def _inputs(spark, ddls):
                                   "fqdn string, env string, object_type string, current_ddl string").withColumn("current_ddl_hash", ddl_hash(F.col("current_ddl")))
     types = spark.createDataFrame(list(K.DEFAULT_TYPE_MAP.items()), "declared_type string, warehouse_type string")
     names = spark.createDataFrame([(1, "Page")], "page_id long, page_title string")
-    return names, resolver, K.ENVIRONMENTS, state, types
+    return names, resolver, ENVIRONMENTS, state, types
 
 
 def _run(spark, specs, ddls, prev, as_of, **settings):

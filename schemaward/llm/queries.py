@@ -30,6 +30,17 @@ def op2_substring_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+ORACLES["op2_substring_dedup"] = r"""
+with w as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
+h as (select r, list_transform(range(1, len(ws) - 33), lambda i: md5(array_to_string(ws[i:i + 34], ' '))) as hs from w where len(ws) >= 35),
+win as (select r, unnest(hs) as h, generate_subscripts(hs, 1) as i from h),
+gone as (select r, i from win where h in (select h from win group by h having count(*) > 1)),
+cover as (select r, list(distinct k) as ks from (select r, unnest(range(i, i + 35)) as k from gone) group by r),
+kept as (select doc_id, len(ws) as n_words, coalesce(len(ks), 0) as n_removed, case when ks is null then ws else list_filter(ws, lambda x, k: not list_contains(ks, k)) end as ks from w left join cover using (r))
+select doc_id, n_words::bigint as n_words, n_removed::bigint as n_removed, sha256(array_to_string(ks, ' ')) as kept_sha256 from kept
+"""
+
+
 @_query
 def op9_simhash(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")

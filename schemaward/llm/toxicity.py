@@ -91,7 +91,7 @@ class Model:
         self.buckets, self.weights, self.bias = buckets, weights, bias
 
     @staticmethod
-    def fit(rows: list[list[int]], toxic: np.ndarray, buckets: np.ndarray, counterfactual: float = 10.0, ridge: float = 1e-4, rounds: int = 300) -> Model:
+    def fit(rows: list[list[int]], toxic: np.ndarray, buckets: np.ndarray, counterfactual: float = 10.0, ridge: float = 1e-5, rounds: int = 400) -> Model:
         """Logistic regression with a counterfactual penalty, by full-batch Adam; deterministic."""
         buckets = np.sort(buckets)
         sizes = np.array([len(r) for r in rows], np.int64)

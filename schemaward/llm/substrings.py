@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from schemaward.llm.batches import fresh, rolling_hashes, small_batches, span_hashes, text_buffer, word_spans
 
-BLOCK_ROWS = 1024          # documents of a block
+BLOCK_ROWS = 256           # documents of a block; small, so that blocks spread evenly over tasks
 BUCKET_WINDOWS = 1 << 20   # windows a bucket should get
 ADDED = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemaward.llm.batches import chunks, small_batches, span_hashes, spread, store, text_buffer
+from schemaward.llm.batches import chunks, fresh, small_batches, span_hashes, spread, store, text_buffer
 
 RANK = 64            # dimensions of the latent space
 PASSAGE = 32         # words of the fixed passages that the space is learnt from
@@ -68,9 +68,9 @@ class Items:
 
 
 def _numbered(docs: DataFrame, items: Items, text: str) -> DataFrame:
-    """``docs`` without its text, with words: the numbers of all its words as little-endian 32-bit, -1 for a gap."""
-    keep = [c for c in docs.columns if c not in (text, "words")]
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("words", T.BinaryType())])
+    """``docs`` without its text, and last the numbers of all its words as little-endian 32-bit, -1 for a gap."""
+    keep = [c for c in docs.columns if c != text]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(fresh(docs.columns, "words"), T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,7 +132,7 @@ def _summed(numbered: DataFrame, size: int, add) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"part": pa.array(sums.keys(), pa.int32()), "value": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
 
     shape = "part int, value binary"
-    out = numbered.select("words").mapInArrow(task, shape).repartition("part").mapInArrow(merge, shape).collect()  # 32 rows in all
+    out = numbered.select(f"`{numbered.columns[-1]}`").mapInArrow(task, shape).repartition("part").mapInArrow(merge, shape).collect()  # 32 rows in all
     total = np.zeros(size)
     for r in out:
         total[edges[r["part"]]: edges[r["part"] + 1]] += np.frombuffer(r["value"])
@@ -328,7 +328,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     replaced, others pass through.
     """
     small_batches(docs.sparkSession)
-    keep = [c for c in docs.columns if c != text and c.lower() not in {*(f.name for f in MATCH.fields), "words"}]
+    keep = [c for c in docs.columns if c != text and c.lower() not in {f.name for f in MATCH.fields}]
     source = docs.select(*[f"`{c}`" for c in keep], f"`{text}`")
     schema = T.StructType([docs.schema[c] for c in keep] + MATCH.fields)
     kinds = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.bool_()]
@@ -337,7 +337,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
 
         def run(batches: Iterator[pa.RecordBatch], searcher: Searcher = searcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = searcher.matches(*_numbers_of(batch.column(batch.schema.get_field_index("words"))))
+                found = searcher.matches(*_numbers_of(batch.column(batch.num_columns - 1)))
                 if found:
                     rows = [(row, searcher.items.ids[item], *m) for (row, item), m in sorted(found.items())]
                     chosen, cells = batch.take(pa.array([r[0] for r in rows])), list(zip(*rows, strict=True))[1:]

@@ -120,15 +120,16 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int,
 
 
 def cut_pieces(docs: DataFrame, capacity: int = 2048, text: str = "text", path: str | None = None, end_id: int = 0) -> DataFrame:
-    """One row per piece: the other columns of ``docs``, piece, start, length, ids, and _part and _rank.
+    """One row per piece: the other columns of ``docs``, piece, start, length, ids, and last _part and _rank.
 
     A document is its ids and the end id; longer ones than ``capacity`` are cut into full pieces behind a first one
     that holds the remainder. _rank counts the pieces of one length inside one task (_part).
     """
     small_batches(docs.sparkSession)
     path = path or default_path()
-    keep = [c for c in docs.columns if c != text and c.lower() not in {*(f.name for f in ADDED), "_part", "_rank", "sequence_id", "offset"}]
-    schema = T.StructType([docs.schema[c] for c in keep] + ADDED.fields + [T.StructField("_part", T.IntegerType()), T.StructField("_rank", T.LongType())])
+    keep = [c for c in docs.columns if c != text and c.lower() not in {*(f.name for f in ADDED), "sequence_id", "offset"}]
+    part_name, rank_name = (fresh(docs.columns, x) for x in ("_part", "_rank"))
+    schema = T.StructType([docs.schema[c] for c in keep] + ADDED.fields + [T.StructField(part_name, T.IntegerType()), T.StructField(rank_name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, part, seen = pieces_of(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
@@ -165,16 +166,17 @@ def pack(docs: DataFrame, capacity: int = 2048, text: str = "text", path: str |
     """
     spark = docs.sparkSession
     made = store(cut_pieces(docs, capacity, text, path, end_id), "pieces")
-    counts = store(made.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("n")), "counts")
+    *columns, part, rank = made.columns
+    counts = store(made.groupBy(F.col(f"`{part}`").alias("part"), "length").agg(F.count(F.lit(1)).alias("n")), "counts")
     patterns = plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, capacity)  # at most ``capacity`` rows
-    n_rows = fresh(made.columns, "_p")
-    offsets = counts.selectExpr("_part", "length", "sum(n) over (partition by length order by _part rows between unbounded preceding and current row) - n as before")
-    per_part = offsets.groupBy(F.col("_part").alias(n_rows)).agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("_before"))
+    own = {x: fresh(made.columns, x) for x in ("_p", "_before", "_length", "_from", "_to", "_sequence")}
+    offsets = counts.selectExpr("part", "length", "sum(n) over (partition by length order by part rows between unbounded preceding and current row) - n as before")
+    per_part = offsets.groupBy(F.col("part").alias(own["_p"])).agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias(own["_before"]))
     if counts.count() <= OFFSETS_BROADCAST:
         per_part = F.broadcast(per_part)
     # a few slots for each length at most, whatever the data
-    slots = spark.createDataFrame(places(patterns), "_length long, _from long, _to long, _sequence long, offset long")
-    ranked = made.join(per_part, F.col("_part") == F.col(n_rows)).withColumn("_rank", F.col("_rank") + F.col("_before")[F.col("length")])
-    placed = ranked.join(F.broadcast(slots), (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    return placed.withColumn("sequence_id", F.col("_sequence") + F.col("_rank") - F.col("_from")).select(
-        *[f"`{c}`" for c in made.columns if c not in ("_part", "_rank")], "sequence_id", "offset")
+    slots = spark.createDataFrame(places(patterns), ", ".join(f"`{own[x]}` long" for x in ("_length", "_from", "_to", "_sequence")) + ", offset long")
+    number = F.col(f"`{rank}`")
+    ranked = made.join(per_part, F.col(f"`{part}`") == F.col(own["_p"])).withColumn(rank, number + F.col(own["_before"])[F.col("length")])
+    placed = ranked.join(F.broadcast(slots), (F.col("length") == F.col(own["_length"])) & (number >= F.col(own["_from"])) & (number < F.col(own["_to"])))
+    return placed.withColumn("sequence_id", F.col(own["_sequence"]) + number - F.col(own["_from"])).select(*[f"`{c}`" for c in columns], "sequence_id", "offset")

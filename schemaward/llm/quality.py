@@ -29,7 +29,7 @@ def measure(docs: DataFrame, text: str = "text", window: int = 8) -> DataFrame:
     ``window``-word windows found twice or more in the text; windows are first compared by 64-bit hashes in the row,
     only rows with an equal pair are sorted, so no row leaves its place.
     """
-    w, h, s = (fresh(docs.columns, x) for x in ("_words", "_hashes", "_sorted"))
+    w, h, s, upper, marks, n_lines, stutter = (fresh(docs.columns, x) for x in ("_words", "_hashes", "_sorted", "_upper", "_marks", "_n_lines", "_stutter"))
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     out = docs.drop(*ADDED).withColumn(w, F.filter(F.split(whole, WHITE), lambda x: x != ""))
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -38,10 +38,10 @@ def measure(docs: DataFrame, text: str = "text", window: int = 8) -> DataFrame:
     ln = fresh(docs.columns, "_lines")
     out = out.withColumns({
         "n_words": n.cast("long"), "word_chars": chars.cast("long"), "n_symbols": F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("long"),
-        "_stutter": F.size(F.filter(w, lambda x, i: (i > 0) & (F.col(w)[F.greatest(i - 1, F.lit(0))] == x))), "_upper": F.regexp_count(whole, F.lit(r"\p{Lu}")), "_marks": F.regexp_count(whole, F.lit("[!?]")), ln: lines, h: windows,
+        stutter: F.size(F.filter(w, lambda x, i: (i > 0) & (F.col(w)[F.greatest(i - 1, F.lit(0))] == x))), upper: F.regexp_count(whole, F.lit(r"\p{Lu}")), marks: F.regexp_count(whole, F.lit("[!?]")), ln: lines, h: windows,
     })
     out = out.withColumns({
-        "n_dup_lines": (F.size(ln) - F.size(F.array_distinct(ln))).cast("long"), "_n_lines": F.size(ln),
+        "n_dup_lines": (F.size(ln) - F.size(F.array_distinct(ln))).cast("long"), n_lines: F.size(ln),
         s: F.when(F.size(F.array_distinct(h)) < F.size(h), F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))),
     }).drop(w, ln, h)
     at = F.col(s)
@@ -51,9 +51,9 @@ def measure(docs: DataFrame, text: str = "text", window: int = 8) -> DataFrame:
     out = out.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop(s)
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     return out.withColumns({
-        "symbol_share": share("n_symbols", "word_chars"), "upper_share": share("_upper", "word_chars"), "mark_share": share("_marks", "word_chars"),
-        "stutter_share": share("_stutter", "n_words"), "dup_line_share": share("n_dup_lines", "_n_lines"), "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
-    }).drop("_upper", "_marks", "_n_lines", "_stutter")
+        "symbol_share": share("n_symbols", "word_chars"), "upper_share": share(upper, "word_chars"), "mark_share": share(marks, "word_chars"),
+        "stutter_share": share(stutter, "n_words"), "dup_line_share": share("n_dup_lines", n_lines), "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
+    }).drop(upper, marks, n_lines, stutter)
 
 
 def _log_cdf(k: Column, n: Column, p: Column) -> Column:

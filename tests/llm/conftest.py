@@ -17,7 +17,9 @@ def awkward(spark):
         (6, " ".join(WORDS * 4000), "de", "b"), (7, "same text here " * 10, "en", "b"), (7, "same text here " * 10, "en", "b"), (8, "same text here " * 10, "en", "c"),
         (9, "naïve Ünïcode 漢字 😀 don't   stop\u0085now", "en", "c"),
     ]
-    return spark.createDataFrame([(*r, "keep", 1, "k", 0.5) for r in rows], "doc_id long, text string, lang string, source string, _block string, n_words int, `_row` string, score double")
+    names = ["_row", "_upper", "_part", "_rank", "_from", "words", "part", "fp", "features", "offset", "rank"]
+    return spark.createDataFrame([(*r, "keep", 1, 0.5, *names) for r in rows],
+                                 "doc_id long, text string, lang string, source string, _block string, n_words int, score double, " + ", ".join(f"`{n}` string" for n in names))
 
 
 @pytest.fixture

@@ -2,7 +2,8 @@
 
 A linear model over the presence of words and word beginnings is fitted on a bounded sample of labelled documents. Each
 sampled document that names a group is also read with the group replaced by another of its list; the squared change of
-the score joins the loss, so a mention of a group carries no weight of its own.
+the score joins the loss, so a mention weighs the same whichever group it names. Identity terms have no beginnings among
+the features, so the swapped word is all of a mention that the model sees.
 """
 
 from __future__ import annotations
@@ -26,8 +27,12 @@ BEGINNINGS = (4, 5, 6)
 # groups of interchangeable terms, by language
 IDENTITY = (
     ("women", "men"), ("girls", "boys"), ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
-    ("immigrants", "refugees", "locals"), ("black", "white", "asian", "latino"), ("gay", "straight", "lesbian", "trans"),
+    ("woman", "man"), ("girl", "boy"), ("muslim", "christian", "jew", "hindu", "buddhist", "atheist"),
+    ("immigrants", "refugees", "locals"), ("immigrant", "refugee", "local"),
+    ("black", "white", "asian", "latino"), ("gay", "straight", "lesbian", "trans"),
     ("femmes", "hommes"), ("musulmans", "juifs"), ("frauen", "männer"), ("muslime", "juden"), ("mujeres", "hombres"), ("musulmanes", "judíos"),
+    ("femme", "homme"), ("musulman", "juif"), ("musulmane", "juive"), ("frau", "mann"), ("muslimin", "jüdin"), ("jude", "christ"), ("mujer", "hombre"),
+    ("musulmán", "judío"), ("musulmana", "judía"),
 )
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
@@ -46,9 +51,11 @@ def _features(column) -> tuple[np.ndarray, np.ndarray]:
         starts = np.flatnonzero(letter[1:-1] & (~letter[:-2] | cut[:-1]))
         ends_ = np.flatnonzero(letter[1:-1] & (~letter[2:] | cut[1:])) + 1
         row = np.searchsorted(off, starts, "right") - 1
-        found = [(row << 22) | (span_hashes(piece, starts, ends_) & np.uint64(BUCKETS - 1)).astype(np.int64)]
+        whole = span_hashes(piece, starts, ends_)
+        found = [(row << 22) | (whole & np.uint64(BUCKETS - 1)).astype(np.int64)]
+        other = ~np.isin(whole, _IDENTITY_HASHES)  # the beginnings of an identity term would stay when it is swapped
         for k in BEGINNINGS:
-            longer = ends_ - starts > k
+            longer = (ends_ - starts > k) & other
             s = starts[longer]
             found.append((row[longer] << 22) | ((span_hashes(piece, s, s + k) + np.uint64(k)) & np.uint64(BUCKETS - 1)).astype(np.int64))
         distinct = np.unique(np.concatenate(found))
@@ -65,9 +72,16 @@ def _identity_buckets() -> tuple[dict[int, int], np.ndarray]:
     return {place[t]: place[g[(k + 1) % len(g)]] for g in IDENTITY for k, t in enumerate(g)}, buckets
 
 
-def _word_bucket(term: str) -> int:
+def _word_hash(term: str) -> np.uint64:
     raw = np.frombuffer(term.lower().encode(), np.uint8)
-    return int(span_hashes(raw, np.array([0]), np.array([len(raw)]))[0] & np.uint64(BUCKETS - 1))
+    return span_hashes(raw, np.array([0]), np.array([len(raw)]))[0]
+
+
+def _word_bucket(term: str) -> int:
+    return int(_word_hash(term) & np.uint64(BUCKETS - 1))
+
+
+_IDENTITY_HASHES = np.array([_word_hash(t) for group in IDENTITY for t in group], np.uint64)
 
 
 def document_features(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -147,13 +147,15 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     """A model from labelled documents: ``labels`` is (``key``, ``label`` 0 or 1), other labels and null keys are left out.
 
     At most ``sample`` labelled keys, those with the smallest hashes, are used; they are few enough to be broadcast, so
-    no text is shuffled. A key with two labels counts as toxic. Without any toxic label every score is low.
+    no text is shuffled. Rows of one key count as one document, the one with the smallest features. A key with two
+    labels counts as toxic. Without any toxic label every score is low.
     """
     small_batches(docs.sparkSession)
     marks = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("k")).agg(F.max(label).alias("toxic"))
     marks = marks.orderBy(F.xxhash64("k"), "k").limit(sample)
-    read = docs.select(f"`{key}`", f"`{text}`").join(F.broadcast(marks), F.col(f"`{key}`") == F.col("k")).select("toxic", f"`{text}`")
-    seen = store(document_features(read, text), "features")
+    read = docs.select(f"`{key}`", f"`{text}`").join(F.broadcast(marks), F.col(f"`{key}`") == F.col("k")).select("k", "toxic", f"`{text}`")
+    one = document_features(read, text).groupBy("k", "toxic").agg(F.min("features").alias("features"))
+    seen = store(one.select("toxic", "features"), "features")
     total, positive = seen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     _, identity = _identity_buckets()
     counts = seen.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
@@ -168,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     chosen = [r["f"] for r in strong.orderBy(F.desc("g"), "f").limit(FEATURES).select("f").collect()]
     buckets = np.unique(np.array([*chosen, *identity.tolist()], np.int64))
     wanted = F.lit(buckets.astype(np.int32))
-    rows = seen.select("toxic", F.array_sort(F.array_intersect("features", wanted)).alias("f")).collect()  # at most ``sample`` rows of chosen features
+    rows = seen.select("toxic", F.array_sort(F.array_intersect("features", wanted)).alias("f")).collect()  # one row of chosen features for each of at most ``sample`` keys
     rows.sort(key=lambda r: (r["toxic"], r["f"]))
     return Model.fit([r["f"] for r in rows], np.array([r["toxic"] for r in rows], np.float64), buckets)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaward.llm import chat, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
+from schemaward.llm import alignment, chat, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
 from schemaward.llm.batches import scratch, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,8 @@ def op4_toxicity(spark, sf_dir):
 def op10_decontamination(spark, sf_dir):
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")).select(
         "doc_id", "item_id", "start", "n_matched", "item_words", "answer")
+
+
+@_query
+def op11_alignment(spark, sf_dir):
+    return alignment.align_documents(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *alignment.ADDED)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaward.llm import alignment, chat, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
+from schemaward.llm import alignment, chat, collocations, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
 from schemaward.llm.batches import scratch, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,29 @@ def op10_decontamination(spark, sf_dir):
 @_query
 def op11_alignment(spark, sf_dir):
     return alignment.align_documents(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *alignment.ADDED)
+
+
+@_query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLES["op12_collocations"] = r"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+w as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from p),
+g as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) as phrase from w, (values (1), (2), (3), (4)) t(k) where len(ws) >= k),
+f as (select lang, k, phrase, count(*) as c from g group by all having k = 1 or count(*) >= 30),
+total as (select lang, sum(c)::bigint as n from f where k = 1 group by lang),
+cand as (select lang, k, phrase, c as a, string_split(phrase, ' ') as ws from f where k > 1),
+inner_ones as (select lang, c.a as longer, i.k as k, unnest(list_transform(range(1, c.k - i.k + 2), lambda s: array_to_string(c.ws[s:s + i.k - 1], ' '))) as phrase
+  from cand c, (values (2), (3)) i(k) where c.k > i.k),
+above as (select lang, phrase, max(longer) as above from inner_ones group by all),
+kept as (select c.* from cand c left join above u using (lang, phrase) where u.above is null or 100 * u.above < 80 * c.a),
+cuts as (select lang, phrase, a, i, array_to_string(ws[1:i], ' ') as x, array_to_string(ws[i + 1:], ' ') as y from kept, (values (1), (2), (3)) t(i) where i < k),
+scored as (select q.lang, q.phrase, a, i, fl.c as l, fr.c as r, (2000000::hugeint * a) // (fl.c + fr.c) as score
+  from cuts q join f fl on fl.lang = q.lang and fl.phrase = x join f fr on fr.lang = q.lang and fr.phrase = y),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, i) = 1)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from best) join total using (lang) where rank <= 2000
+"""

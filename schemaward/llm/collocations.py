@@ -113,19 +113,25 @@ def _numbered(words: DataFrame) -> DataFrame:
     return rows.select("lang", "word", (offsets[task] + F.col("at").bitwiseAND((1 << 33) - 1) + 1).alias("id"))
 
 
-def _counted(edges: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """Frequent phrases of 2 to 4 words as (k, lo, hi, n), and the counts of all words (id, n).
+def _counted(edges: DataFrame, least: int) -> DataFrame:
+    """Frequent phrases of 2 to 4 words as (k, lo, hi, n), and all words (k = 1) with their counts.
 
-    One shuffle, on the first two words: edges, the flow of three-word nodes and of two-word nodes all live inside it.
+    Edges meet by their first two words: their weights, the flow of three-word nodes and that of two-word nodes are three
+    aggregations inside one shuffle, each handing on what is frequent beside its flow; only words need another, small one.
     """
-    dealt = edges.repartition("lo")
-    third, big = F.shiftright("hi", 32), F.col("n") >= least
-    four = dealt.groupBy("lo", "hi").agg(F.sum("n").alias("n")).where(big & (F.col("hi").bitwiseAND(0xFFFFFFFF) > 0)).select(F.lit(4).alias("k"), "lo", "hi", "n")
-    three = dealt.groupBy("lo", third.alias("w3")).agg(F.sum("n").alias("n")).where(big & (F.col("w3") > 0)).select(F.lit(3).alias("k"), "lo", F.shiftleft("w3", 32).alias("hi"), "n")
-    pairs = dealt.groupBy("lo").agg(F.sum("n").alias("n"))
-    two = pairs.where(big & (F.col("lo").bitwiseAND(0xFFFFFFFF) > 0)).select(F.lit(2).alias("k"), "lo", F.lit(0).cast("long").alias("hi"), "n")
-    one = pairs.groupBy(F.shiftright("lo", 32).alias("lo")).agg(F.sum("n").alias("n")).select(F.lit(1).alias("k"), F.shiftleft("lo", 32).alias("lo"), F.lit(0).cast("long").alias("hi"), "n")
-    return four.unionAll(three).unionAll(two).unionAll(one)
+    big, low = F.col("n") >= least, 0xFFFFFFFF
+
+    def handed(rows: DataFrame, passes: Column, flows: Column, *keys: Column) -> DataFrame:
+        kept = F.when(passes, F.struct(F.col("k"), F.col("lo").alias("at"), "hi", "n"))
+        onward = F.when(flows, F.struct((F.col("k") - 1).alias("k"), keys[0].alias("at"), keys[1].alias("hi"), F.col("n")))
+        return rows.select("lo", F.inline(F.array(kept, onward))).where("k is not null")
+
+    none = F.lit(0).cast("long")
+    four = edges.repartition("lo").groupBy("lo", "hi").agg(F.sum("n").alias("n")).withColumn("k", F.lit(4))
+    three = handed(four, big & (F.col("hi").bitwiseAND(low) > 0), F.lit(True), F.col("lo"), F.col("hi").bitwiseAND(~low)).groupBy("lo", "k", "hi").agg(F.sum("n").alias("n"))
+    two = handed(three, (F.col("k") == 4) | (big & (F.col("hi") > 0)), F.col("k") == 3, F.col("lo"), none).groupBy("lo", "k", "hi").agg(F.sum("n").alias("n"))
+    one = handed(two, (F.col("k") > 2) | (big & (F.col("lo").bitwiseAND(low) > 0)), F.col("k") == 2, F.col("lo").bitwiseAND(~low), none)
+    return one.groupBy("k", F.col("at").alias("lo"), "hi").agg(F.sum("n").alias("n"))
 
 
 def _compact(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemaward.llm import alignment, chat, collocations, decontaminate, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
+from schemaward.llm import alignment, chat, collocations, decontaminate, licenses, packing, quality, simhash, substrings, token_counts, token_files, toxicity, urls
 from schemaward.llm.batches import scratch, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,8 @@ best as (select * from scored qualify row_number() over (partition by lang, phra
 select lang, rank, phrase, a, l, r, n, score::bigint as score from (
   select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from best) join total using (lang) where rank <= 2000
 """
+
+
+@_query
+def op13_licenses(spark, sf_dir):
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")

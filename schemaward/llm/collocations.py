@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from schemaward.llm.batches import chunks, small_batches, span_hashes, store, text_buffer
 from schemaward.llm.simhash import _LOWER
 
-CHUNK = 4 << 20      # bytes of text whose edges are counted together before they travel
+CHUNK = 6 << 20      # bytes of text whose edges are counted together before they travel
 ROUNDS = 5           # contractions of unary paths
 PATH_WORDS = 64      # a path grows no further
 _WORD_BITS = 31      # numbers of frequent words
@@ -32,7 +32,7 @@ _END[[*range(0x0A, 0x0E), *b".,;:!?"]] = True
 _BLANK = _END.copy()
 _BLANK[[0x20, 0x09]] = True
 _CODED = T.StructType([
-    T.StructField("block", T.StringType()), T.StructField("codes", T.BinaryType()), T.StructField("lang", T.ArrayType(T.StringType())),
+    T.StructField("block", T.StringType()), T.StructField("size", T.LongType()), T.StructField("codes", T.BinaryType()), T.StructField("lang", T.ArrayType(T.StringType())),
     T.StructField("word", T.ArrayType(T.StringType())), T.StructField("n", T.ArrayType(T.LongType()))])
 
 
@@ -44,13 +44,23 @@ def _piece_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     edge[offsets] = True
     before, after = np.append(True, blank[:-1]) | edge[:-1], np.append(blank[1:], True) | edge[1:]
     starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(~blank & after) + 1
-    stop = np.concatenate([[0], np.cumsum(_END[data])])  # end marks up to a byte
-    row = np.cumsum(edge[:-1])
+    stop = np.cumsum(_END[data], dtype=np.int32)  # end marks up to a byte
+    row = np.cumsum(edge[:-1], dtype=np.int32)
     last = np.ones(len(starts), bool)
-    last[:-1] = (stop[starts[1:]] > stop[ends[:-1]]) | (row[starts[1:]] > row[starts[:-1]])
+    last[:-1] = (stop[starts[1:]] > stop[starts[:-1]]) | (row[starts[1:]] > row[starts[:-1]])
     return starts, ends, last
 
 
+def _packed(codes: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes; frequent words have small ones, so the upper planes are nearly empty."""
+    return pa.compress(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, 4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4")[:, 0]
+
+
 def _coded(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """One row per chunk of documents: their words as numbers in the chunk's own list of words by language, 0 between
     pieces, with the count of each word."""
@@ -68,13 +78,17 @@ def _coded(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 of = tongue[i:j][np.searchsorted(off, starts, "right") - 1]
                 keys = span_hashes(piece, starts, ends) ^ (of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 distinct, where, number, many = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                codes = np.zeros(len(starts) + int(last.sum()), "<i4")
-                codes[np.arange(len(starts)) + np.cumsum(last) - last] = number + 1
+                order = np.argsort(-many, kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                where, many = where[order], many[order]
+                codes = np.zeros(len(starts) + int(last.sum()), np.uint32)
+                codes[np.arange(len(starts)) + np.cumsum(last) - last] = rank[number] + 1
                 raw = piece.tobytes()
                 words = [raw[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
                 langs = [spoken[k] for k in of[where].tolist()]
                 yield pa.RecordBatch.from_pydict({
-                    "block": [uuid.uuid4().hex], "codes": pa.array([codes.tobytes()], pa.binary()), "lang": pa.array([langs], pa.list_(pa.string())),
+                    "block": [uuid.uuid4().hex], "size": [len(codes)], "codes": pa.array([_packed(codes)], pa.binary()), "lang": pa.array([langs], pa.list_(pa.string())),
                     "word": pa.array([words], pa.list_(pa.string())), "n": pa.array([many], pa.list_(pa.int64()))})
 
     return docs.select(f"`{text}`", f"`{lang}`").mapInArrow(run, _CODED)
@@ -215,25 +229,24 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     hold nothing, repeated rows count each time, other columns are not read. Words are told apart inside a chunk by
     64-bit hashes; everything after is exact. Ties of score and count go by the phrase's bytes.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, rows=2000)
     blocks = store(_coded(docs, text, lang), "coded")
     listed = blocks.select("block", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "w")).select("block", "at", "w.lang", "w.word", "w.n")
-    words = store(listed.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    numbers = store(_numbered(words.where(F.col("n") >= least)), "numbers")
+    totals = listed.groupBy("lang").agg(F.sum("n").alias("n"))
+    numbers = store(_numbered(listed.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)), "numbers")
     # no frequent phrase holds a rarer word, so rarer words only end pieces; a word of every document is a row per chunk
     back = listed.select("block", "at", "lang", "word").join(numbers.hint("merge"), ["lang", "word"]).select("block", "at", "id")
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [np.zeros(0, np.int64)] * 3
         if left.num_rows:
-            codes = np.frombuffer(left.column("codes")[0].as_py(), "<i4")
+            codes = _unpacked(left.column("codes")[0].as_py(), left.column("size")[0].as_py())
             ids = np.zeros(int(codes.max(initial=0)) + 1, np.int64)
             ids[right.column("at").to_numpy() + 1] = right.column("id").to_numpy()
             out = _edges(codes, ids)
         return pa.Table.from_pydict({n: pa.array(v, pa.int64()) for n, v in zip(("lo", "hi", "n"), out, strict=True)})
 
-    edges = blocks.select(F.col("block").alias("of"), "codes").groupBy("of").cogroup(back.groupBy("block")).applyInArrow(count, "lo long, hi long, n long")
+    edges = blocks.select(F.col("block").alias("of"), "size", "codes").groupBy("of").cogroup(back.groupBy("block")).applyInArrow(count, "lo long, hi long, n long")
     grams = store(_counted(edges, least), "grams")
     paths = store(_compact(grams.where("k = 4"), grams.where("k = 3")), "compacted")
     candidates = _phrases(paths, grams)

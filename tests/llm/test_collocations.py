@@ -56,7 +56,7 @@ def _rows():
     return rows + [("en", None), (None, ""), ("fr", " .,;\n"), ("und", "River stone. river stone"), ("fr", "é É \x00 ü" * 10)]
 
 
-@pytest.mark.parametrize(("least", "share", "top", "rounds", "chunk"), [(6, 80, 2000, 5, 4 << 20), (3, 80, 25, 8, 500), (3, 100, 2000, 0, 3000), (1, 50, 2000, 2, 4 << 20)])
+@pytest.mark.parametrize(("least", "share", "top", "rounds", "chunk"), [(6, 80, 2000, 5, 6 << 20), (3, 80, 25, 8, 500), (3, 100, 2000, 0, 3000), (1, 50, 2000, 2, 6 << 20)])
 def test_collocations_match_plain_counts(spark, monkeypatch, least, share, top, rounds, chunk):
     monkeypatch.setattr(collocations, "ROUNDS", rounds)
     monkeypatch.setattr(collocations, "CHUNK", chunk)

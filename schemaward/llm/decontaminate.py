@@ -8,6 +8,8 @@ word by word: the longest common subsequence with the item, and for paraphrases
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,37 @@ SLICE = 1 << 15      # words handled at once
 MATCH = T.StructType([T.StructField(n, t()) for n, t in (("item_id", T.LongType), ("start", T.LongType), ("n_matched", T.LongType), ("item_words", T.LongType),
                                                         ("lcs_share", T.DoubleType), ("cosine", T.DoubleType), ("answer", T.BooleanType))])
 _WORD = np.zeros(256, bool)
-_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+_WORD[[*range(48, 58), *range(97, 123)]] = True
+# scripts written without blanks between words: Thai, Lao, Myanmar, Khmer, kana, Han
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)]
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Kind of every code point: 1 letters, numbers and their marks, 2 those of scripts without blanks, each a word, 0 others."""
+    out = np.array([unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)], np.uint8)
+    for a, b in _UNSPACED:
+        out[a: b + 1] *= 2
+    return out
+
+
+def _word_edges(piece: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end byte of every word of a chunk; a word never crosses rows."""
+    lead, rows, single = None, off, None
+    if len(piece) and piece.max() >= 128:  # by characters, then back to bytes
+        lead = np.append(np.flatnonzero((piece & 0xC0) != 0x80), len(piece))
+        kind = _kinds()[np.frombuffer(piece.tobytes().decode().encode("utf-32-le"), np.uint32)]
+        rows, inner, single = np.searchsorted(lead, off), kind > 0, kind == 2
+    else:
+        inner = _WORD[piece]
+    word, cut = np.zeros(len(inner) + 2, bool), np.zeros(len(inner) + 1, bool)
+    word[1:-1], cut[rows] = inner, True
+    if single is not None:
+        cut[:-1] |= single
+        cut[1:] |= single
+    starts = np.flatnonzero(word[1:-1] & (~word[:-2] | cut[:-1]))
+    stops = np.flatnonzero(word[1:-1] & (~word[2:] | cut[1:])) + 1
+    return (starts, stops) if lead is None else (lead[starts], lead[stops])
 
 
 def _words(column) -> tuple[np.ndarray, np.ndarray]:
@@ -39,25 +71,21 @@ def _words(column) -> tuple[np.ndarray, np.ndarray]:
     parts, ends = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
     for i, j in chunks(offsets):
         piece, off = data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i]
-        word = np.zeros(len(piece) + 2, bool)
-        word[1:-1] = _WORD[piece]
-        cut = np.zeros(len(piece) + 1, bool)
-        cut[off] = True
-        starts = np.flatnonzero(word[1:-1] & (~word[:-2] | cut[:-1]))
-        stops = np.flatnonzero(word[1:-1] & (~word[2:] | cut[1:])) + 1
+        starts, stops = _word_edges(piece, off)
         parts.append(span_hashes(piece, starts, stops))
         ends.append(ends[-1][-1] + np.searchsorted(starts, off[1:]))
     return np.concatenate(parts), np.concatenate(ends)
 
 
 class Items:
-    """A block of benchmark items as word numbers of their own vocabulary."""
+    """A block of benchmark items as word numbers of their own vocabulary; ``copies`` says how often each is given."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int], texts: list[str], copies: list[int] | None = None):
         hashes, ends = _words(pa.array(texts, pa.string()))
         self.vocabulary, numbers = np.unique(hashes, return_inverse=True)
         keep = np.flatnonzero(np.diff(ends) > 0)  # an item without words is nowhere
         self.ids = [ids[k] for k in keep]
+        self.copies = [1 if copies is None else copies[k] for k in keep]
         self.words = [numbers[ends[k]: ends[k + 1]] for k in keep]
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
@@ -247,6 +275,12 @@ class Searcher:
             by.setdefault(_window(len(w)), []).append(k)
         self.scales = {size: (np.array(ks), latent[ks].astype(np.float32)) for size, ks in by.items()}
         self.most = max(by, default=8)
+        # which words stand in which item, a bit each; the last row is a gap's
+        held = np.zeros((len(self.space), len(items.words)), bool)
+        for k, w in enumerate(items.words):
+            held[w, k] = True
+        self.held = np.packbits(held, axis=1, bitorder="little")
+        self.lengths = np.array([len(w) for w in items.words], np.int64)
 
     def _near(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """(row, item, first word, end word, cosine) of the sliding passages near an item, as columns."""
@@ -269,24 +303,43 @@ class Searcher:
                 found.append(np.array([row[a + p], items[k], first[a + p], stop[a + p], cosine[p, k]], np.float64))
         return np.concatenate(found, axis=1)
 
+    def _possible(self, words: np.ndarray, item: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which candidates can be leaks at all: the words of the passage that stand in the item bound the common
+        subsequence from above, and a paraphrase needs every word of the answer."""
+        out = []
+        for k in range(0, len(item), 1 << 14):
+            i, lo, sizes = item[k: k + (1 << 14)], a[k: k + (1 << 14)], (b - a)[k: k + (1 << 14)]
+            w, of = words[spread(lo, sizes)], np.repeat(i, sizes)
+            inside = np.concatenate([[0], np.cumsum(self.held[w, of >> 3] >> (of & 7).astype(np.uint8) & 1, dtype=np.int64)])
+            end = np.cumsum(sizes)
+            bound = inside[end] - inside[end - sizes]
+            some = np.flatnonzero(bound >= PARAPHRASED * self.lengths[i] - 1e-9)
+            weak = some[bound[some] < COPIED * self.lengths[i[some]] - 1e-9]
+            lacks = [x for x in weak.tolist() if not np.isin(self.items.words[i[x]][-ANSWER:], words[lo[x]: lo[x] + sizes[x]]).all()]
+            out.append(k + np.setdiff1d(some, np.array(lacks, np.int64)))
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
     def search(self, words: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple]:
         """(row, item) -> best match (start, matched words, item words, share, cosine, answer) that makes a leak."""
         near = self._near(words, ends)
         row, item, a, b = near[:4].astype(np.int64)
         pad = (b - a) // 4
         a, b = np.maximum(ends[row], a - pad), np.minimum(ends[row + 1], b + pad)
+        left = self._possible(words, item, a, b)
+        row, item, a, b, cosine = row[left], item[left], a[left], b[left], near[4, left]
         wanted = [self.items.words[k] for k in item]
         common = lcs_many(wanted, [words[x:y] for x, y in zip(a, b, strict=True)])
         share = common / np.array([len(w) for w in wanted]).clip(1)
         out: dict[tuple[int, int], tuple] = {}
         for k in np.flatnonzero(share >= PARAPHRASED):
             tail, key = wanted[k][-ANSWER:], (int(row[k]), int(item[k]))
+            if share[k] < COPIED and key in out and common[k] <= out[key][1]:
+                continue
             answer = lcs(tail, words[a[k]: b[k]]) == len(tail)
             if (share[k] >= COPIED or answer) and (key not in out or common[k] > out[key][1]):
-                out[key] = (int(a[k] - ends[row[k]]), int(common[k]), len(wanted[k]), float(share[k]), float(near[4, k]), answer)
+                out[key] = (int(a[k] - ends[row[k]]), int(common[k]), len(wanted[k]), float(share[k]), float(cosine[k]), answer)
         return out
 
-
     def matches(self, numbers: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple]:
         """``search`` over all rows of a batch, very long ones in overlapping slices."""
         out: dict[tuple[int, int], tuple] = {}
@@ -308,12 +361,13 @@ class Searcher:
 def _searchers(source: DataFrame, benchmark: DataFrame, text: str) -> Iterator[tuple[DataFrame, Searcher]]:
     """For each block of at most about ITEMS items: the documents as word numbers, and what searches them.
 
-    Whatever the benchmark's size, a block of it fits a task.
+    Whatever the benchmark's size, a block of it fits a task; an item that is given many times is one row of it.
     """
-    blocks = max(1, -(-benchmark.count() // ITEMS))
+    once = store(benchmark.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("copies")), "items")
+    blocks = max(1, -(-once.count() // ITEMS))
     for k in range(blocks):
-        mine = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).select("item_id", "text").orderBy("item_id", "text").collect()
-        items = Items([r["item_id"] for r in mine], [r["text"] or "" for r in mine])
+        mine = once.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
+        items = Items([r["item_id"] for r in mine], [r["text"] or "" for r in mine], [r["copies"] for r in mine])
         numbered = store(_numbered(source, items, text), "numbered")
         yield numbered, Searcher(items, latent_space(numbered, max(1, len(items.vocabulary))))
 
@@ -339,7 +393,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
             for batch in batches:
                 found = searcher.matches(*_numbers_of(batch.column(batch.num_columns - 1)))
                 if found:
-                    rows = [(row, searcher.items.ids[item], *m) for (row, item), m in sorted(found.items())]
+                    rows = [(row, searcher.items.ids[item], *m) for (row, item), m in sorted(found.items()) for _ in range(searcher.items.copies[item])]
                     chosen, cells = batch.take(pa.array([r[0] for r in rows])), list(zip(*rows, strict=True))[1:]
                     yield pa.RecordBatch.from_arrays([chosen.column(chosen.schema.get_field_index(c)) for c in keep] + [pa.array(c, t) for c, t in zip(cells, kinds, strict=True)], names=schema.names)
 

@@ -11,6 +11,8 @@ from compare import compare, duck
 from conftest import WORDS
 from pyspark.sql import functions as F
 
+from test_near_copies import _classes
+
 import corpus_pipeline
 from schemaward.llm import chat, decontaminate, queries, urls
 from schemaward.llm.batches import store
@@ -107,7 +109,37 @@ def test_leaks_are_found_and_clean_documents_left(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS", 8)  # the benchmark in several blocks
     monkeypatch.setattr(decontaminate, "SLICE", 64)  # texts in overlapping slices
     again = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()}
-    assert {d for d, i in truth if d % 20} <= {d for d, _ in again} and len(again - truth) <= 2
+    assert {d for d, i in truth if d % 20} <= {d for d, _ in again} and len(again - truth) <= 2 and len(again & truth) >= 0.9 * len(truth)
+
+
+def test_words_of_any_script(spark):
+    """Verbatim items behind non-breaking blanks and dashes, in quotes, and in texts without blanks."""
+    items = ["which river runs through the old town near the northern harbour and why", "東京の古い川はどこを流れていますか北の港まで", "แม่น้ำสายเก่าไหลผ่านเมือง", "l’été à la mer où l’eau brûle les yeux des enfants"]
+    docs = ["before it " * 20 + items[0].replace(" ", "\u00a0") + " after it" * 20, "one two " * 20 + "—".join(items[0].split()) + "—three", "“" + items[0].upper() + "”…",
+            "本日は晴天なり" * 9 + items[1] + "明日は雨でしょう" * 9, "สวัสดี" * 12 + items[2] + "ลาก่อน" * 12, "Il dit «" + items[3].upper() + "»", "before it " * 40, "本日は晴天なり" * 30]
+    found = decontaminate.find_leaks(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 2), (5, 3)}
+
+
+def test_repeated_items_match_each_time(spark):
+    item = "quartz meadow signal harbour violin copper thistle orbit candle"
+    items = spark.createDataFrame([(1, item), (1, item), (1, item), (2, item)], "item_id long, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame([(7, "so " + item)], "doc_id long, text string"), items)
+    assert sorted(r.item_id for r in found.collect()) == [1, 1, 1, 2]
+
+
+def test_bounds_lose_no_leak(monkeypatch):
+    """The bounds before the word comparison change no answer."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(WORDS[:9], k=rng.randint(6, 40))) for _ in range(25)]
+    items = decontaminate.Items(list(range(25)), texts)
+    searcher = decontaminate.Searcher(items, np.random.default_rng(1).standard_normal((len(items.vocabulary), 6)))
+    monkeypatch.setattr(decontaminate, "COSINE", -1.0)
+    words = np.concatenate([items.words[rng.randrange(25)] if rng.random() < 0.3 else np.array(rng.choices(range(-1, len(items.vocabulary)), k=9)) for _ in range(60)])
+    ends = np.array([0, 100, 100, 260, len(words)])
+    got = searcher.search(words, ends)
+    monkeypatch.setattr(decontaminate.Searcher, "_possible", lambda self, words, item, a, b: np.arange(len(item)))
+    assert got == searcher.search(words, ends) and got
 
 
 def test_decontamination_awkward(spark, awkward, nothing):
@@ -132,8 +164,7 @@ def test_pipeline_stage_by_stage(spark):
     texts = [{r.doc_id: r.text for r in d.collect()} for d in seen[:5]]
     assert all(texts[1][k] == texts[0][k] for k in texts[1]) and not any(brute.base_measures(t)[-1] for t in texts[1].values())
     ids = sorted(texts[1])
-    heads = brute.classes([brute.fingerprint(texts[1][k]) for k in ids])
-    assert sorted(texts[2]) == sorted({ids[h] for h in heads})
+    assert sorted(texts[2]) == sorted(set(_classes(ids, [texts[1][k] for k in ids]).values()))
     order = sorted(texts[2])
     cut = {k: c for k, c in zip(order, brute.cut_windows([texts[2][k] for k in order], 35), strict=True)}
     assert texts[3] == {k: kept if gone else texts[2][k] for k, (n, gone, kept) in cut.items() if not gone or gone < n}

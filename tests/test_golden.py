@@ -72,6 +72,8 @@ CASES = [
     ("create transient table s.t(only_one boolean)", ["ONLY_ONE BOOLEAN"]),
     (LONG, ["BODY TEXT", "SIZE INT"]),
     (WIDE, [f"F{i} DECIMAL({i % 30 + 1},2)" for i in range(5000)]),
+    ("create table deep (a int default " + "(" * 500 + "1, 2" + ")" * 500 + ", b date, check (" + "f(x, (" * 40 + "1" + "))" * 40 + "))", ["A INT", "B DATE"]),
+    ('create table q ("' + 'x""' * 500 + '" int, """first" real, "two  blanks" date, "a/*b*/--c\'d" time)', ["X\"" * 500 + " INT", '"FIRST REAL', "TWO  BLANKS DATE", "A/*B*/--C'D TIME"]),
     ("create materialized view v (a) as select (1)", []), ("create table t as select f(a int) from u", []), ("create table t (a int", []),
     ("alter table t add (a int)", []), ("", []), (None, []),
 ]

@@ -73,6 +73,35 @@ def choices_by_ddl(ddl: DataFrame) -> DataFrame:
     return texts.select("current_ddl_hash", column_names(F.col("current_ddl")).alias("choices")).where(F.size("choices") > 0)
 
 
+def mapping_skips(specs: DataFrame, envs: list[str], resolver: DataFrame, ddl_state: DataFrame) -> DataFrame:
+    """Why pages, or pages in an environment, are not mapped: (page_id, env, reason), env null for reasons of the page.
+
+    Reasons: NO_FLAGGED_COLUMNS, NO_SOURCE_TABLE and SOURCE_UNKNOWN of a page; NO_OBJECT, NO_DDL and NO_DDL_COLUMNS of
+    a page in an environment. The environments are a list, so the grid is an explode.
+    """
+    def rows(df: DataFrame, reason: str, env: Column | None = None) -> DataFrame:
+        return df.select("page_id", (F.lit(None).cast("string") if env is None else env).alias("env"), F.lit(reason).alias("reason")).distinct()
+
+    pages = specs.groupBy("page_id").agg(F.max(F.coalesce(is_yes(F.col("add_source_to_target")), F.lit(False))).alias("flagged"))
+    named = pages.join(first_source(specs), "page_id", "left")
+    names = resolver.select("source_name").distinct().withColumn("known", F.lit(True))
+    placed = named.where("source_name is not null").join(names, "source_name", "left")
+    grid = placed.where("known").select("page_id", "source_name", F.explode(F.array(*[F.lit(e.upper()) for e in envs])).alias("env"))
+    found = grid.join(resolver.select("source_name", *_OBJECT), ["source_name", "env"], "left")
+    usable = ddl_state.where("current_ddl <> '' and current_ddl_hash <> ''")
+    with_ddl = found.where("fqdn is not null").join(usable.select(*_OBJECT, "current_ddl_hash"), _OBJECT, "left")
+    readable = choices_by_ddl(usable).select("current_ddl_hash", F.lit(True).alias("readable"))
+    read = with_ddl.where("current_ddl_hash is not null").join(readable, "current_ddl_hash", "left")
+    env = F.col("env")
+    parts = [rows(pages.where(~F.col("flagged")), "NO_FLAGGED_COLUMNS"), rows(named.where("source_name is null"), "NO_SOURCE_TABLE"),
+             rows(placed.where("known is null"), "SOURCE_UNKNOWN"), rows(found.where("fqdn is null"), "NO_OBJECT", env),
+             rows(with_ddl.where("current_ddl_hash is null"), "NO_DDL", env), rows(read.where("readable is null"), "NO_DDL_COLUMNS", env)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def match_candidates(specs: DataFrame, objects: DataFrame) -> DataFrame:
     """Every flagged column next to each object of its page, choices as one array.
 

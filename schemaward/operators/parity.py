@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,6 +122,86 @@ def line_diff(pairs: DataFrame, keys: list[str], old: str = "old_ddl", new: str
     )
 
 
+def _common_lines(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """A longest common subsequence of two lists as index pairs: one bit per line of ``b`` in the rows of the table."""
+    where: dict[str, int] = {}
+    for j, line in enumerate(b):
+        where[line] = where.get(line, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    rows = [full]
+    for line in a:
+        free = rows[-1]
+        hit = free & where.get(line, 0)
+        rows.append(((free + hit) | (free - hit)) & full)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i] >> (j - 1) & 1:
+            j -= 1
+        elif not rows[i - 1] >> (j - 1) & 1:
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return out[::-1]
+
+
+def _aligned_lines(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Index pairs of lines that stay: equal beginnings and ends, then the longest rising run of lines that stand once on
+    both sides, and a longest common subsequence in each gap between them."""
+    head = 0
+    while head < min(len(a), len(b)) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    mid_a, mid_b = a[head: len(a) - tail], b[head: len(b) - tail]
+    once_a, once_b = Counter(mid_a), {line: j for j, line in enumerate(mid_b)}
+    single = Counter(mid_b)
+    tops, best, before = [], [], {}
+    for i, line in enumerate(mid_a):
+        if once_a[line] == 1 and single[line] == 1:
+            j = once_b[line]
+            at = bisect_left(tops, j)
+            before[i, j] = best[at - 1] if at else None
+            tops[at: at + 1], best[at: at + 1] = [j], [(i, j)]
+    anchors, step = [], best[-1] if best else None
+    while step:
+        anchors.append(step)
+        step = before[step]
+    kept, i, j = [(k, k) for k in range(head)], 0, 0
+    for x, y in [*reversed(anchors), (len(mid_a), len(mid_b))]:
+        kept += [(head + i + p, head + j + q) for p, q in _common_lines(mid_a[i:x], mid_b[j:y])]
+        if x < len(mid_a):
+            kept.append((head + x, head + y))
+        i, j = x + 1, y + 1
+    return kept + [(len(a) - tail + k, len(b) - tail + k) for k in range(tail)]
+
+
+def line_edits(pairs: DataFrame, keys: list[str], old: str = "old_ddl", new: str = "new_ddl") -> DataFrame:
+    """U4 in order: (keys, sign, line, old_position, new_position), one row for each line removed ('-') or added ('+').
+
+    Positions count from 1; a removed line's new_position, and an added line's old_position, is that of the last line
+    before it that stays or is handled, 0 at the start. A moved line is removed in one place and added in another.
+    Applying the rows to the old text gives the new one. Texts of a pair meet in one row and only differing pairs are
+    read; null texts count as empty.
+    """
+    a, b = F.coalesce(F.col(old), F.lit("")), F.coalesce(F.col(new), F.lit(""))
+
+    def edits(x: str, y: str) -> list[dict]:
+        left, right, out, i, j = x.split("\n"), y.split("\n"), [], 0, 0
+        for p, q in [*_aligned_lines(left, right), (len(left), len(right))]:
+            out += [{"sign": "-", "line": left[k], "old_position": k + 1, "new_position": j} for k in range(i, p)]
+            out += [{"sign": "+", "line": right[k], "old_position": p, "new_position": k + 1} for k in range(j, q)]
+            i, j = p + 1, q + 1
+        return out
+
+    @F.pandas_udf("array<struct<sign:string,line:string,old_position:long,new_position:long>>")
+    def edited(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([edits(x, y) for x, y in zip(xs, ys)], dtype=object)
+
+    return pairs.where(a != b).select(*keys, F.inline(edited(a, b)))
+
+
 def schema_diff(cols_a: DataFrame, cols_b: DataFrame, keys: list[str]) -> DataFrame:
     """Columns ADDED, REMOVED, TYPE_CHANGED or MOVED between two column lists.
 

@@ -217,11 +217,15 @@ def unresolved_as_difference(names: DataFrame, resolver: DataFrame) -> DataFrame
     return names.select("source_name").subtract(resolver.select("source_name"))
 
 
-def unused_entries(resolver: DataFrame, names: DataFrame) -> DataFrame:
-    """Resolver entries none of whose objects any used name resolves to."""
+def unused_entries(resolver: DataFrame, names: DataFrame, canonical: DataFrame | None = None) -> DataFrame:
+    """Resolver entries none of whose objects any used name resolves to.
+
+    ``canonical`` (source_name) holds the entries' own names, see ``apply_overrides``; without it aliases are listed too.
+    """
     used = resolve_sources(names, resolver).select("fqdn").distinct()
     touched = resolver.join(used, "fqdn", "left_semi").select("source_name")
-    return resolver.select("source_name").distinct().join(touched, "source_name", "left_anti")
+    listed = resolver if canonical is None else canonical
+    return listed.select("source_name").distinct().join(touched, "source_name", "left_anti")
 
 
 def env_grid(names: DataFrame, envs: list[str], resolver: DataFrame) -> DataFrame:
@@ -234,7 +238,7 @@ def env_grid(names: DataFrame, envs: list[str], resolver: DataFrame) -> DataFram
     return grid.join(resolver, ["source_name", "env"], "left")
 
 
-def resolver_items(names: DataFrame, resolver: DataFrame) -> DataFrame:
+def resolver_items(names: DataFrame, resolver: DataFrame, canonical: DataFrame | None = None) -> DataFrame:
     """A9 as rows: (section, item) for resolved objects, unresolved names and unused entries.
 
     The lists may be as long as the inputs, so they stay rows instead of arrays.
@@ -244,14 +248,14 @@ def resolver_items(names: DataFrame, resolver: DataFrame) -> DataFrame:
         resolved.select(F.lit("resolved_fqdns").alias("section"), F.col("fqdn").alias("item"))
         .unionByName(unresolved(names, resolver).select(F.lit("unresolved_sources").alias("section"),
                                                         F.col("source_name").alias("item")))
-        .unionByName(unused_entries(resolver, names).select(F.lit("unused_entries").alias("section"),
+        .unionByName(unused_entries(resolver, names, canonical).select(F.lit("unused_entries").alias("section"),
                                                             F.col("source_name").alias("item")))
     )
 
 
-def resolver_summary(names: DataFrame, resolver: DataFrame) -> DataFrame:
+def resolver_summary(names: DataFrame, resolver: DataFrame, canonical: DataFrame | None = None) -> DataFrame:
     """A9 counts per section."""
-    return resolver_items(names, resolver).groupBy("section").agg(F.count("*").alias("n"))
+    return resolver_items(names, resolver, canonical).groupBy("section").agg(F.count("*").alias("n"))
 
 
 def generation_gate(missing: DataFrame) -> DataFrame:

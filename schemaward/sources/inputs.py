@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from schemaward import schemas as S
 
 
+_BLANKS = " \t\r\n"  # what may stand before a JSON document
+
+
 def _documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: (path, value). Files are configuration documents; a folder may hold any number."""
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
@@ -16,7 +19,7 @@ def _documents(spark: SparkSession, path: str) -> DataFrame:
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
     """JSON arrays of titles to (path, ord, given_title); documents that are no list are faults, see ``document_faults``."""
     titles = F.from_json("value", "array<string>")
-    docs = _documents(spark, path).where(F.ltrim("value").startswith("["))
+    docs = _documents(spark, path).where(F.ltrim("value", F.lit(_BLANKS)).startswith("["))
     return docs.select("path", F.posexplode(titles).alias("ord", "given_title"))
 
 
@@ -48,7 +51,7 @@ def read_resolver_raw(spark: SparkSession, path: str) -> DataFrame:
 def document_faults(spark: SparkSession, path: str, kind: str = "object") -> DataFrame:
     """Documents that cannot be used at all, as (path, reason): not JSON, or no ``kind`` ("object" or "list")."""
     value = F.try_parse_json("value")
-    wanted = F.startswith(F.ltrim("value", F.lit(" \t\r\n")), F.lit("{" if kind == "object" else "["))
+    wanted = F.startswith(F.ltrim("value", F.lit(_BLANKS)), F.lit("{" if kind == "object" else "["))
     reason = F.when(value.isNull(), "not JSON").when(~wanted, f"not a JSON {kind}")
     return _documents(spark, path).select("path", reason.alias("reason")).where("reason is not null")
 

@@ -119,6 +119,22 @@ def parity_changed_lines(c):
     return P.line_diff(P.mismatch_texts(_folded(c), "DEV", "SPC"), ["fqdn", "object_type"], "source_ddl", "target_ddl")
 
 
+# each supplier's catalogue of parts as a text; then its last line moves to the front and one in the middle goes
+_SHELF = """select l_suppkey, array_to_string(list('part ' || p order by p), chr(10)) as a, list('part ' || p order by p) as ls
+ from (select distinct l_suppkey, l_partkey as p from @lineitem) l group by l_suppkey having count(*) >= 4"""
+
+
+@query(f"""with s as ({_SHELF}), n as (select *, cast(len(ls) as bigint) as n from s)
+ select l_suppkey, '+' as sign, ls[n] as line, cast(0 as bigint) as old_position, cast(1 as bigint) as new_position from n
+ union all select l_suppkey, '-', ls[2], 2, 2 from n
+ union all select l_suppkey, '-', ls[n], n, n - 1 from n""")
+def moved_lines(c):
+    shelf = c["lineitem"].select("l_suppkey", "l_partkey").distinct().groupBy("l_suppkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("p")).where("size(p) >= 4")
+    lines = F.transform("p", lambda x: F.concat(F.lit("part "), x))
+    moved = F.concat(F.slice(lines, -1, 1), F.slice(lines, 1, 1), F.slice(lines, F.lit(3), F.size(lines) - 3))
+    return P.line_edits(shelf.select("l_suppkey", F.array_join(lines, "\n").alias("a"), F.array_join(moved, "\n").alias("b")), ["l_suppkey"], "a", "b")
+
+
 _SIDE = "select s.*, r.source_name from (select * from @ddl_state where obj_exists and env = '{e}') s join @resolver r on r.fqdn = s.fqdn and r.env = s.env and r.object_type = s.object_type"
 
 

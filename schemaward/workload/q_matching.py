@@ -141,6 +141,20 @@ def objects_without_ddl(c):
     return matching.without_ddl(grid, c["ddl_state"]).select("page_id", *S.OBJECT_KEY)
 
 
+@query(f"""with s as ({_SOURCE}), p as (select page_id, max(case when add_source_to_target = 'Yes' then 1 else 0 end) as f from @colspecs group by page_id),
+ g as (select s.page_id, s.source_name, e.env from s, (select unnest(['DEV', 'SPC', 'BFM', 'PRU']) as env) e where s.source_name in (select source_name from @resolver)),
+ o as (select g.page_id, g.env, r.fqdn, r.object_type from g left join @resolver r on r.source_name = g.source_name and r.env = g.env),
+ d as (select o.*, x.current_ddl from o left join @ddl_state x on x.fqdn = o.fqdn and x.env = o.env and x.object_type = o.object_type and x.current_ddl <> '' and x.current_ddl_hash <> '')
+ select page_id, cast(null as varchar) as env, 'NO_FLAGGED_COLUMNS' as reason from p where f = 0
+ union select page_id, null, 'NO_SOURCE_TABLE' from p where page_id not in (select page_id from s)
+ union select page_id, null, 'SOURCE_UNKNOWN' from s where source_name not in (select source_name from @resolver)
+ union select page_id, env, 'NO_OBJECT' from o where fqdn is null
+ union select page_id, env, 'NO_DDL' from d where fqdn is not null and current_ddl is null
+ union select page_id, env, 'NO_DDL_COLUMNS' from d where current_ddl is not null and not contains(upper(current_ddl), 'TABLE')""")
+def mapping_skips(c):
+    return matching.mapping_skips(c["colspecs"], ENVIRONMENTS, c["resolver"], c["ddl_state"])
+
+
 @query(f"""select c.row_ord, o.fqdn, o.env, cast(n.choices as bigint) as choices from @colspecs c join ({_OBJECTS}) o on c.page_id = o.page_id
  join (select page_id, count(*) as choices from @page_columns group by page_id) n on n.page_id = o.ddl_page where c.add_source_to_target = 'Yes'""")
 def match_candidates(c):

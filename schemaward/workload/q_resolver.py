@@ -119,6 +119,12 @@ def unused_resolver_entries(c):
     return R.unused_entries(c["resolver"], R.distinct_sources(c["colspecs"]))
 
 
+@query(f"select source_name from ({_UNUSED}) u where source_name like 'SRC%'")
+def unused_canonical_entries(c):
+    canonical = c["resolver"].where("source_name like 'SRC%'").select("source_name")  # the recipe's other names are aliases
+    return R.unused_entries(c["resolver"], R.distinct_sources(c["colspecs"]), canonical)
+
+
 @query(_GRID)
 def environment_grid(c):
     return R.env_grid(R.distinct_sources(c["colspecs"]), ENVIRONMENTS, c["resolver"])

@@ -90,6 +90,63 @@ def test_line_diff_counts_copies(spark):
     assert got == [(1, "+", "c", 1), (1, "-", "b", 2), (2, "+", "x", 1), (2, "-", "", 1)]
 
 
+def test_line_edits_turn_the_old_text_into_the_new(spark):
+    import random
+    rng = random.Random(3)
+    pairs = [("a\nb\nc", "c\na\nb"), (None, "x"), ("s", "s"), ("a\n\nb\n", "b\n\na"), ("r\n" * 300, "r\n" * 200 + "z\n" + "r\n" * 150)]
+    for _ in range(150):
+        left = [rng.choice("abcdefgh") + str(rng.randrange(3)) for _ in range(rng.randint(0, 25))]
+        right = [x for x in left if rng.random() < 0.8]
+        for _ in range(rng.randint(0, 4)):
+            right.insert(rng.randint(0, len(right)), rng.choice(left or ["new"]) if rng.random() < 0.5 else f"new{rng.random()}")
+        pairs.append(("\n".join(left), "\n".join(right)))
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "id int, old_ddl string, new_ddl string")
+    rows = {}
+    for r in parity.line_edits(df, ["id"]).collect():
+        rows.setdefault(r.id, []).append(r)
+    assert sorted((r.sign, r.line, r.old_position, r.new_position) for r in rows[0]) == [("+", "c", 0, 1), ("-", "c", 3, 3)] and 2 not in rows
+    for k, (old, new) in enumerate(pairs):
+        old, new, edits = (old or "").split("\n"), (new or "").split("\n"), rows.get(k, [])
+        gone = {r.old_position for r in edits if r.sign == "-"}
+        assert all(old[r.old_position - 1] == r.line for r in edits if r.sign == "-")
+        made = [x for n, x in enumerate(old, 1) if n not in gone]
+        for r in sorted((r for r in edits if r.sign == "+"), key=lambda r: r.new_position):
+            made.insert(r.new_position - 1, r.line)
+        assert made == new
+        table = [[0] * (len(new) + 1) for _ in range(len(old) + 1)]
+        for i, x in enumerate(old):
+            for j, y in enumerate(new):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        if len(set(old)) < 3 or len(set(old)) == len(old):  # without anchors, and where all lines are told apart, nothing more can stay
+            assert len(gone) == len(old) - table[-1][-1] or len(set(new)) < len(new)
+
+
+def test_unused_entries_name_canonical_keys_only(spark):
+    from schemaward.operators import resolver as R
+    flat = spark.createDataFrame([(n, "DEV", o, "TABLE") for n, o in (("CANON", "a.b.c"), ("ALIAS1", "a.b.c"), ("USED", "x.y.z"), ("NICK", "x.y.z"))], "source_name string, env string, fqdn string, object_type string")
+    names = spark.createDataFrame([("NICK",)], "source_name string")
+    canonical = spark.createDataFrame([("CANON",), ("USED",)], "source_name string")
+    assert [r.source_name for r in R.unused_entries(flat, names, canonical).collect()] == ["CANON"]
+    assert sorted(r.source_name for r in R.unused_entries(flat, names).collect()) == ["ALIAS1", "CANON"]
+
+
+def test_titles_after_leading_white_space(spark, tmp_path):
+    (tmp_path / "a.json").write_text('\n\t ["x", "y"]')
+    assert [r.given_title for r in inputs.read_titles(spark, str(tmp_path)).orderBy("ord").collect()] == ["x", "y"]
+    assert inputs.document_faults(spark, str(tmp_path), "list").count() == 0
+
+
+def test_mapping_skips_name_every_reason(spark):
+    from schemaward.operators import matching
+    specs = spark.createDataFrame([(1, 1, "No", "S1"), (2, 1, "Yes", ""), (3, 1, "Yes", "nowhere"), (4, 1, "Yes", " s1 ")], "page_id long, row_ord int, add_source_to_target string, source_table string")
+    resolver = spark.createDataFrame([("S1", "DEV", "a.b.t", "TABLE"), ("S1", "QA", "a.b.v", "VIEW"), ("S1", "UAT", "a.b.n", "TABLE")], "source_name string, env string, fqdn string, object_type string")
+    state = spark.createDataFrame([("a.b.t", "DEV", "TABLE", "create table t (a int)", "h1"), ("a.b.v", "QA", "VIEW", "create view v as select 1", "h2"), ("a.b.n", "UAT", "TABLE", None, None)],
+                                  "fqdn string, env string, object_type string, current_ddl string, current_ddl_hash string")
+    got = {(r.page_id, r.env, r.reason) for r in matching.mapping_skips(specs, ["dev", "qa", "uat", "prod"], resolver, state).collect()}
+    per_env = {("QA", "NO_DDL_COLUMNS"), ("UAT", "NO_DDL"), ("PROD", "NO_OBJECT")}
+    assert got == {(1, None, "NO_FLAGGED_COLUMNS"), (2, None, "NO_SOURCE_TABLE"), (3, None, "SOURCE_UNKNOWN")} | {(p, *x) for p in (1, 4) for x in per_env}
+
+
 def test_sources_tolerate_broken_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text('["One", "Two"]')
     (tmp_path / "b.json").write_text('{"not": "a list"}')

@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, text: str = "text", size: int = 3) -> DataFram
     """
     small_batches(docs.sparkSession)
     name = "fingerprint"
-    keep = [c for c in docs.columns if c not in (text, name)]
+    keep = [c for c in docs.columns if c.lower() not in (text.lower(), name)]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

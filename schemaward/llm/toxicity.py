@@ -143,11 +143,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", sample: int = SAMPLE, features: int = FEATURES) -> Model:
     """A model from labelled documents: ``labels`` is (``key``, ``label`` 0 or 1), other labels and null keys are left out.
 
     At most ``sample`` labelled keys, those with the smallest hashes, are used; they are few enough to be broadcast, so
-    no text is shuffled. Rows of one key count as one document, the one with the smallest features. A key with two
+    no text is shuffled. The model holds the ``features`` words and word beginnings of most evidence. Rows of one key count as one document, the one with the smallest features. A key with two
     labels counts as toxic. Without any toxic label every score is low.
     """
     small_batches(docs.sparkSession)
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     evidence = 2 * (term(F.col("a"), F.col("n"), float(max(positive, 1))) + term(b, F.col("n"), float(negative))
                     + term(positive - F.col("a"), total - F.col("n"), float(max(positive, 1))) + term(negative - b, total - F.col("n"), float(negative)))
     strong = counts.where(F.col("a") / max(positive, 1) > b / negative).withColumn("g", evidence).where(F.col("g") >= EVIDENCE)
-    chosen = [r["f"] for r in strong.orderBy(F.desc("g"), "f").limit(FEATURES).select("f").collect()]
+    chosen = [r["f"] for r in strong.orderBy(F.desc("g"), "f").limit(features).select("f").collect()]
     buckets = np.unique(np.array([*chosen, *identity.tolist()], np.int64))
     wanted = F.lit(buckets.astype(np.int32))
     rows = seen.select("toxic", F.array_sort(F.array_intersect("features", wanted)).alias("f")).collect()  # one row of chosen features for each of at most ``sample`` keys
@@ -176,9 +176,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without its text, with score (0 to 1). Null and empty texts get the score of no evidence at all."""
+    """``docs`` without its text, with score (0 to 1). Null and empty texts get the score of no evidence at all.
+
+    Repeated rows score alike; a column of the added name, whatever its case, is replaced, others pass through."""
     small_batches(docs.sparkSession)
-    keep = [c for c in docs.columns if c not in (text, "score")]
+    keep = [c for c in docs.columns if c.lower() not in (text.lower(), "score")]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

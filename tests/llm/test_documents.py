@@ -177,3 +177,13 @@ def test_toxicity_sample_bound_and_awkward(spark, awkward, nothing):
     rows = toxicity.score(awkward, model).collect()
     assert len(rows) == 10 and all(0 <= r.score <= 1 and r._block == "keep" for r in rows) and toxicity.score(nothing, model).count() == 0
     assert toxicity.train(nothing, labels) is not None
+
+
+def test_added_names_replace_columns_of_any_case(spark):
+    docs = spark.createDataFrame([(1, "one two three four", "x", "y", 7), (2, "one two three four", "x", "y", 7), (None, None, None, None, None)],
+                                 "doc_id long, text string, Fingerprint string, Component_ID string, Score int")
+    rows = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    assert rows[2].component_id == 1 and rows[2].fingerprint == rows[1].fingerprint and rows[1].Score == 7 and rows[None].component_id is None
+    model = toxicity.train(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"), features=50)
+    scored = toxicity.score(docs, model)
+    assert sorted(scored.columns) == ["Component_ID", "Fingerprint", "doc_id", "score"] and all(0 <= r.score <= 1 for r in scored.collect())

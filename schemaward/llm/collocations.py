@@ -26,6 +26,7 @@ from schemaward.llm.simhash import _LOWER
 CHUNK = 6 << 20      # bytes of text whose edges are counted together before they travel
 ROUNDS = 5           # contractions of unary paths
 PATH_WORDS = 64      # a path grows no further
+SALTS = 64           # parts of a language that are ranked before the language is
 _WORD_BITS = 31      # numbers of frequent words
 _END = np.zeros(256, bool)
 _END[[*range(0x0A, 0x0E), *b".,;:!?"]] = True
@@ -254,7 +255,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     scored = store(_scored(kept, grams), "scored")
     # the language is that of any of its words; ties of the last place stay until the phrases are spelled out
     first = scored.join(numbers.select(F.col("id").alias("head"), "lang").hint("merge"), F.shiftright("lo", 32) == F.col("head")).drop("head")
-    placed = first.withColumn("place", F.expr("rank() over (partition by lang order by score desc, a desc)")).where(F.col("place") <= top)
+    # first inside SALTS parts of each language, so that no task sorts all its phrases
+    order = "order by score desc, a desc"
+    parts = first.withColumn("part", F.pmod(F.xxhash64("lo", "hi"), F.lit(SALTS)))
+    leading = parts.withColumn("place", F.expr(f"rank() over (partition by lang, part {order})")).where(F.col("place") <= top)
+    placed = leading.withColumn("place", F.expr(f"rank() over (partition by lang {order})")).where(F.col("place") <= top)
     ids = F.slice(F.array(F.shiftright("lo", 32), F.col("lo").bitwiseAND(0xFFFFFFFF), F.shiftright("hi", 32), F.col("hi").bitwiseAND(0xFFFFFFFF)), F.lit(1), F.col("k"))
     spelled = placed.select("lo", "hi", "lang", "a", "l", "r", "score", F.posexplode(ids).alias("at", "id")).join(numbers.select("id", "word").hint("merge"), "id")
     whole = spelled.groupBy("lo", "hi", "lang", "a", "l", "r", "score").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))

@@ -74,22 +74,27 @@ def _was(before: Column) -> Column:
     return F.struct(before["hash"].alias("hash"), before["ddl"].alias("ddl"))
 
 
-def _block_states(steps: DataFrame, order: list[str]) -> DataFrame:
-    """One row per object and block: what came before it and the merge state at its end.
-
-    A block is summarised by its first and last row and its inner changes. Whether
-    the first row is a change shows next to the last row of the block before.
-    """
+def _blocks(steps: DataFrame, order: list[str]) -> DataFrame:
+    """One row per object and block: its first and last row and its inner changes."""
     before, at = F.col("before"), F.struct(*order)
     inner = _replaced(F.col("hash"), before)
     moved = before.isNotNull() & (inner | _appeared(F.col("obj_exists"), before))
-    blocks = steps.groupBy(*KEY, skew.BLOCK).agg(
-        F.min_by(F.struct("hash", "obj_exists", "checked_on"), at).alias("first"),
-        F.max_by(F.struct("hash", "ddl", "obj_exists", "checked_on"), at).alias("last"),
+    return steps.groupBy(*KEY, skew.BLOCK).agg(
+        F.min_by(F.struct("hash", "obj_exists", *order), at).alias("first"),
+        F.max_by(F.struct("hash", "ddl", "obj_exists", *order), at).alias("last"),
         F.max_by(_was(before), F.when(inner, at)).alias("was"),
         F.max(F.when(moved, F.col("checked_on"))).alias("changed_on"),
         F.max(F.when(F.col("hash").isNotNull(), F.col("checked_on"))).alias("extracted_on"),
     )
+
+
+def _block_states(steps: DataFrame, order: list[str]) -> DataFrame:
+    """One row per object and block: what came before it and the merge state at its end.
+
+    A block is summarised by its first and last row and its inner changes. Whether
+    the first row is a change shows next to the last row of the block before.
+    """
+    blocks = _blocks(steps, order)
     w = Window.partitionBy(*KEY).orderBy(skew.BLOCK)
     earlier, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
     old = F.col("old")
@@ -155,6 +160,75 @@ def fold_ddl(snapshots: DataFrame, hot_rows: int = skew.HOT_ROWS, tie: str | Non
         F.lit("").alias("notes"))
 
 
+# --- history that grows run by run ---------------------------------------------
+
+_SUMMARY = ["first", "last", "was", "changed_on", "extracted_on"]
+
+
+def history_summary(snapshots: DataFrame, hot_rows: int = skew.HOT_ROWS, tie: str | None = None) -> DataFrame:
+    """One row per object that stands for all its snapshots: key, first, last, was, changed_on, extracted_on.
+
+    ``first`` and ``last`` hold the rows at both ends; ``was`` (text and fingerprint last replaced), ``changed_on`` and
+    ``extracted_on`` tell of changes after the first row. Summaries of successive snapshots of an object can be joined
+    (``advance_history``), so this table is all that has to be kept. Other columns of ``snapshots`` are not looked at.
+    """
+    order = _order(tie)
+    w = Window.partitionBy(*KEY).orderBy(skew.BLOCK)
+    blocks = _blocks(_steps(snapshots, order, hot_rows), order).withColumn("old", F.lag("last").over(w))
+    old, block = F.col("old"), F.col(skew.BLOCK)
+    was, changed_on = _crossed(old, F.col("first"), F.col("was"), F.col("changed_on"))
+    joined = blocks.select(*KEY, block, "first", "last", was.alias("was"), changed_on.alias("changed_on"), "extracted_on")
+
+    def latest(c: str) -> Column:
+        return F.max_by(c, F.when(F.col(c).isNotNull(), block)).alias(c)
+
+    return joined.groupBy(*KEY).agg(F.min_by("first", block).alias("first"), F.max_by("last", block).alias("last"),
+                                    latest("was"), latest("changed_on"), latest("extracted_on"))
+
+
+def _crossed(old: Column, first: Column, was: Column, changed_on: Column) -> tuple[Column, Column]:
+    """Inner changes of a stretch of snapshots, with the change from the row before it, ``old``, where that is the last one."""
+    replaced = F.coalesce(_replaced(first["hash"], old), F.lit(False))
+    moved = old.isNotNull() & (replaced | _appeared(first["obj_exists"], old))
+    return F.coalesce(was, F.when(replaced, _was(old))), F.coalesce(changed_on, F.when(moved, first["checked_on"]))
+
+
+def advance_history(summary: DataFrame, snapshots: DataFrame, hot_rows: int = skew.HOT_ROWS, tie: str | None = None) -> DataFrame:
+    """M5, M6 in increments: the summary after further snapshots, equal to that of all snapshots at once.
+
+    Reads the new snapshots and one stored row per object; earlier snapshots are not needed. Both sides have one row
+    per object, so the join holds one pair per key. The new snapshots of an object must be later than its stored ones;
+    ``late_snapshots`` names those that are not, and their objects are to be summarised from all their snapshots.
+    """
+    new = history_summary(snapshots, hot_rows, tie).select(*KEY, F.struct(*_SUMMARY).alias("new"))
+    rows = summary.select(*KEY, F.struct(*_SUMMARY).alias("kept")).join(new, KEY, "full_outer")
+    kept, new = F.col("kept"), F.col("new")
+    was, changed_on = _crossed(kept["last"], new["first"], new["was"], new["changed_on"])
+    return rows.select(
+        *KEY, F.coalesce(kept["first"], new["first"]).alias("first"), F.coalesce(new["last"], kept["last"]).alias("last"),
+        F.coalesce(was, kept["was"]).alias("was"), F.coalesce(changed_on, kept["changed_on"]).alias("changed_on"),
+        F.coalesce(new["extracted_on"], kept["extracted_on"]).alias("extracted_on"))
+
+
+def late_snapshots(summary: DataFrame, snapshots: DataFrame, tie: str | None = None) -> DataFrame:
+    """Snapshots that are not later than what the summary already holds of their object."""
+    order = _order(tie)
+    ends = summary.select(*KEY, F.struct(*[F.col(f"last.{c}") for c in order]).alias("_end"))
+    return snapshots.join(ends, KEY).where(F.struct(*order) <= F.col("_end")).select(*snapshots.columns)
+
+
+def state_of_summary(summary: DataFrame) -> DataFrame:
+    """The DDL state that a summary stands for; equals ``fold_ddl`` over its snapshots."""
+    part = F.split("fqdn", r"\.")
+    return summary.select(
+        *KEY, *[F.get(part, F.lit(i)).alias(n) for i, n in enumerate(("db_name", "schema_name", "object_name"))],
+        F.col("last.obj_exists").alias("obj_exists"), F.col("last.hash").alias("current_ddl_hash"),
+        F.col("last.ddl").alias("current_ddl"), F.col("extracted_on").alias("last_extracted_on"),
+        F.col("was.hash").alias("previous_ddl_hash"), F.col("was.ddl").alias("previous_ddl"),
+        F.coalesce("changed_on", "first.checked_on").alias("ddl_changed_on"), F.col("last.checked_on").alias("last_checked_on"),
+        F.lit("").alias("notes"))
+
+
 def internal_changes(ddl_state: DataFrame) -> DataFrame:
     """objects whose current and previous fingerprints are both known and differ."""
     return ddl_state.where("current_ddl_hash <> '' and previous_ddl_hash <> '' and current_ddl_hash <> previous_ddl_hash")

@@ -11,6 +11,7 @@ from schemaward.operators import parity as P
 from schemaward.operators import render
 from schemaward.functions.types import resolve_types
 from schemaward.functions.text import is_yes
+from schemaward.session import shared_dir
 from schemaward.workload.inputs import AS_OF, ENVIRONMENTS
 from schemaward.workload.registry import query
 
@@ -57,6 +58,21 @@ def fold_ddl_split_hot_objects(c):
     return H.fold_ddl(c["snapshots"], hot_rows=40, tie="event_id").select(*_FOLD_COLUMNS)
 
 
+@query(_FOLD_SQL)
+def fold_ddl_in_increments(c):
+    """Three stretches of time: each is folded into the stored summary of those before it."""
+    snaps = c["snapshots"]
+    at = F.unix_micros(F.col("checked_on").cast("timestamp"))
+    low, high = snaps.agg(F.min(at), F.max(at)).first()
+    stretch = F.floor((at - low) * 3 / (high - low + 1)) if low is not None else F.lit(0)
+    summary = H.history_summary(snaps.where(stretch == 0), tie="event_id")
+    for k in (1, 2):
+        path = shared_dir(c.spark)
+        summary.write.parquet(path)
+        summary = H.advance_history(c.spark.read.parquet(path), snaps.where(stretch == k), tie="event_id")
+    return H.state_of_summary(summary).select(*_FOLD_COLUMNS)
+
+
 # one run merged into the folded state: every object re-read, half of them with a new text
 _RUN = f"""select fqdn, env, object_type, length(fqdn) % 2 = 0 or obj_exists as e,
  case when length(fqdn) % 2 = 0 then 'create table R (ID NUMBER(38,0))' when obj_exists then ddl end as d from ({_FOLDED}) f where env <> 'BFM'

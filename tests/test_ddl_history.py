@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from schemaward import schemas as S
-from schemaward.operators.ddl_history import ddl_history, fold_ddl, internal_changes, merge_ddl
+from schemaward.operators.ddl_history import (
+    advance_history, ddl_history, fold_ddl, history_summary, internal_changes, late_snapshots, merge_ddl, state_of_summary)
 
 SNAP = "fqdn string, env string, object_type string, checked_on timestamp_ntz, obj_exists boolean, ddl string"
 T0 = dt.datetime(2024, 1, 1)
@@ -102,3 +103,33 @@ def test_bursts_are_split(spark):
     order = [r[skew.BLOCK] for r in rows.where("fqdn = 'D.S.B'").orderBy("checked_on").collect()]
     assert order == sorted(order)
     assert _rows(fold_ddl(spark.createDataFrame(burst, SNAP), 100)) == _simulate(burst)
+
+
+@pytest.mark.parametrize("cuts, hot_rows", [((0.5,), 1_000_000), ((0.2, 0.4, 0.9), 4), ((0.0, 0.97), 20)])
+def test_increments_equal_one_fold_on_any_cut(spark, tmp_path, cuts, hot_rows):
+    snaps = _random_snaps(11, objects=10, runs=40)
+    times = sorted({s[3] for s in snaps})
+    ends = [times[int(c * len(times))] for c in cuts] + [None]
+    summary, begin = None, None
+    for k, end in enumerate(ends):
+        some = [s for s in snaps if (begin is None or s[3] >= begin) and (end is None or s[3] < end)]
+        df = spark.createDataFrame(some, SNAP)
+        summary = history_summary(df, hot_rows) if summary is None else advance_history(summary, df, hot_rows)
+        summary.write.parquet(str(tmp_path / f"s{k}"))
+        summary, begin = spark.read.parquet(str(tmp_path / f"s{k}")), end
+        seen = [s for s in snaps if end is None or s[3] < end]
+        assert _rows(state_of_summary(summary)) == _simulate(seen)
+    assert state_of_summary(summary).columns == fold_ddl(spark.createDataFrame(snaps, SNAP)).columns
+
+
+def test_increments_with_ties_and_late_rows(spark):
+    shape = SNAP + ", n int"
+    key = ("D.S.T", "DEV", "TABLE")
+    old = spark.createDataFrame([(*key, T0, True, "x", 1), (*key, T0, True, "y", 2)], shape)
+    new = spark.createDataFrame([(*key, T0, True, "z", 3), (*key, T0, True, "w", 2)], shape)
+    summary = history_summary(old, tie="n")
+    assert [r.ddl for r in late_snapshots(summary, new, tie="n").collect()] == ["w"]
+    row = state_of_summary(advance_history(summary, new.where("n = 3"), tie="n")).collect()[0]
+    assert (row.current_ddl, row.previous_ddl, row.ddl_changed_on) == ("z", "y", T0)
+    same = state_of_summary(advance_history(summary, new.where("n > 9"), tie="n")).collect()[0]
+    assert (same.current_ddl, same.previous_ddl) == ("y", "x")

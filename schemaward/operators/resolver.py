@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schemaward.functions.text import strip
+from schemaward.plans.sorted_lists import PART_ITEMS, sorted_parts
 
 _TARGET = "array<struct<env:string,fqdn:string,object_type:string>>"
 
@@ -258,6 +259,11 @@ def resolver_summary(names: DataFrame, resolver: DataFrame, canonical: DataFrame
     return resolver_items(names, resolver, canonical).groupBy("section").agg(F.count("*").alias("n"))
 
 
+def resolver_lists(names: DataFrame, resolver: DataFrame, canonical: DataFrame | None = None, items: int = PART_ITEMS) -> DataFrame:
+    """A9 as sorted lists: (section, part, total, items), at most ``items`` entries in an array."""
+    return sorted_parts(resolver_items(names, resolver, canonical), ["section"], "item", items)
+
+
 def generation_gate(missing: DataFrame) -> DataFrame:
     """A10: one row telling whether generation may start: no unresolved name."""
     return missing.agg(F.count("*").alias("unresolved")).withColumn("may_generate", F.col("unresolved") == 0)

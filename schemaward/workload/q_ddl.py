@@ -11,6 +11,7 @@ from schemaward.operators import parity as P
 from schemaward.operators import render
 from schemaward.functions.types import resolve_types
 from schemaward.functions.text import is_yes
+from schemaward.plans.buckets import BucketedState
 from schemaward.session import shared_dir
 from schemaward.workload.inputs import AS_OF, ENVIRONMENTS
 from schemaward.workload.registry import query
@@ -79,14 +80,16 @@ _RUN = f"""select fqdn, env, object_type, length(fqdn) % 2 = 0 or obj_exists as
  union all select 'DB.SCH.N' || cast(c_custkey as varchar), 'DEV', 'TABLE', c_custkey % 2 = 0, case when c_custkey % 2 = 0 then 'create table N (ID NUMBER)' end from customer"""
 
 
-@query(f"""select coalesce(s.fqdn, n.fqdn) as fqdn, coalesce(s.env, n.env) as env, case when n.fqdn is null then s.obj_exists else n.e end as obj_exists,
+_MERGED = f"""select coalesce(s.fqdn, n.fqdn) as fqdn, coalesce(s.env, n.env) as env, case when n.fqdn is null then s.obj_exists else n.e end as obj_exists,
  case when n.fqdn is null then s.h else sha256(n.d) end as current_ddl_hash,
  case when s.fqdn is null then null when n.d is not null and sha256(n.d) is distinct from s.h then s.h else s.previous_ddl_hash end as previous_ddl_hash,
  case when s.fqdn is null or (n.d is not null and sha256(n.d) is distinct from s.h) or (n.e and not s.obj_exists) then timestamp '{AS_OF}' else s.ddl_changed_on end as ddl_changed_on,
  case when n.d is not null then timestamp '{AS_OF}' else s.last_extracted_on end as last_extracted_on
- from ({_FOLDED}) s full join ({_RUN}) n on s.fqdn = n.fqdn and s.env = n.env""")
-def merge_ddl_run(c):
-    state = _folded(c)
+ from ({_FOLDED}) s full join ({_RUN}) n on s.fqdn = n.fqdn and s.env = n.env"""
+_MERGED_COLUMNS = ["fqdn", "env", "obj_exists", "current_ddl_hash", "previous_ddl_hash", "ddl_changed_on", "last_extracted_on"]
+
+
+def _run_of(c, state):
     even = F.length("fqdn") % 2 == 0
     again = state.where("env <> 'BFM'").select(
         *S.OBJECT_KEY, (even | F.col("obj_exists")).alias("obj_exists"),
@@ -95,10 +98,23 @@ def merge_ddl_run(c):
     new = c["customer"].select(
         F.concat(F.lit("DB.SCH.N"), "c_custkey").alias("fqdn"), F.lit("DEV").alias("env"), F.lit("TABLE").alias("object_type"),
         there.alias("obj_exists"), F.when(there, "create table N (ID NUMBER)").alias("ddl"))
-    run = again.unionByName(new).select("*", F.lit("DB").alias("db_name"), F.lit("SCH").alias("schema_name"),
+    return again.unionByName(new).select("*", F.lit("DB").alias("db_name"), F.lit("SCH").alias("schema_name"),
                                         F.lit("X").alias("object_name"), F.lit("").alias("notes"))
-    return H.merge_ddl(state, run, AS_OF).select(
-        "fqdn", "env", "obj_exists", "current_ddl_hash", "previous_ddl_hash", "ddl_changed_on", "last_extracted_on")
+
+
+@query(_MERGED)
+def merge_ddl_run(c):
+    state = _folded(c)
+    return H.merge_ddl(state, _run_of(c, state), AS_OF).select(*_MERGED_COLUMNS)
+
+
+@query(_MERGED)
+def merge_ddl_run_in_buckets(c):
+    """The state in buckets by name; the buckets that the run checks are read, merged and written."""
+    state = BucketedState.create(_folded(c), shared_dir(c.spark), ["fqdn"], buckets=16)
+    run = _run_of(c, state.read())
+    state.update(run, lambda rows, new: H.merge_ddl(rows, new, AS_OF))
+    return state.read().select(*_MERGED_COLUMNS)
 
 
 _CHANGED = f"select * from ({_FOLDED}) f where h is not null and previous_ddl_hash is not null and h <> previous_ddl_hash"

@@ -8,6 +8,8 @@ from schemaward import schemas as S
 from schemaward.functions import similarity as M
 from schemaward.operators import matching, pages
 from schemaward.plans import jobs
+from schemaward.plans.buckets import BucketedState
+from schemaward.session import shared_dir
 from schemaward.workload.inputs import AS_OF, ENVIRONMENTS
 from schemaward.workload.registry import query
 
@@ -224,12 +226,24 @@ def orphan_mappings(c):
         "page_id", "target_field_name", "fqdn", "env", "user_override")
 
 
-@query(f"""select p.page_id, p.target_field_name, p.fqdn, p.env, case when o.page_id is not null and not p.user_override then 'INACTIVE_ORPHANED' else p.mapping_status end as mapping_status,
+_DEACTIVATED = f"""select p.page_id, p.target_field_name, p.fqdn, p.env, case when o.page_id is not null and not p.user_override then 'INACTIVE_ORPHANED' else p.mapping_status end as mapping_status,
  o.page_id is null or p.user_override as is_active, case when o.page_id is not null then timestamp '{AS_OF}' else p.last_mapped_on end as last_mapped_on
- from @prev_map p left join ({_ORPHANS}) o on p.page_id = o.page_id and p.target_field_name = o.target_field_name and p.fqdn = o.fqdn and p.env = o.env and p.object_type = o.object_type""")
+ from @prev_map p left join ({_ORPHANS}) o on p.page_id = o.page_id and p.target_field_name = o.target_field_name and p.fqdn = o.fqdn and p.env = o.env and p.object_type = o.object_type"""
+_DEACTIVATED_COLUMNS = ["page_id", "target_field_name", "fqdn", "env", "mapping_status", "is_active", "last_mapped_on"]
+
+
+@query(_DEACTIVATED)
 def deactivate_orphans(c):
-    return matching.deactivate_orphans(c["prev_map"], c["colspecs"], AS_OF, _objects(c)).select(
-        "page_id", "target_field_name", "fqdn", "env", "mapping_status", "is_active", "last_mapped_on")
+    return matching.deactivate_orphans(c["prev_map"], c["colspecs"], AS_OF, _objects(c)).select(*_DEACTIVATED_COLUMNS)
+
+
+@query(_DEACTIVATED)
+def deactivate_orphans_in_buckets(c):
+    """The mapping state in buckets by page; only those of pages handled in this run are rewritten."""
+    state = BucketedState.create(c["prev_map"], shared_dir(c.spark), ["page_id"], buckets=16)
+    handled = _objects(c).select("page_id", *S.OBJECT_KEY)
+    state.update(handled, lambda rows, objects: matching.deactivate_orphans(rows, c["colspecs"], AS_OF, objects))
+    return state.read().select(*_DEACTIVATED_COLUMNS)
 
 
 _JOB = f"""select {', '.join(_OUT)} from ({_NEW_MAP}) n union all

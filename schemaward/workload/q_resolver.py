@@ -140,6 +140,14 @@ def resolver_summary_items(c):
     return R.resolver_items(R.distinct_sources(c["colspecs"]), c["resolver"])
 
 
+@query(f"""select section, cast(floor((n - 1) / 100) as bigint) as part, total, string_agg(item, '|' order by item) as items
+ from (select *, row_number() over (partition by section order by item) as n, count(*) over (partition by section) as total from (select distinct * from ({_ITEMS}) i) d) r
+ group by section, part, total""")
+def resolver_summary_lists(c):
+    lists = R.resolver_lists(R.distinct_sources(c["colspecs"]), c["resolver"], items=100)
+    return lists.select("section", "part", "total", F.array_join("items", "|").alias("items"))
+
+
 @query(f"select section, count(*) as n from ({_ITEMS}) i group by section")
 def resolver_summary(c):
     return R.resolver_summary(R.distinct_sources(c["colspecs"]), c["resolver"])

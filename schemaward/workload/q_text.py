@@ -106,6 +106,15 @@ def types_by_page(c):
     return declared_types.types_by_page(c["colspecs"], c["page_metadata"])
 
 
+@query(f"""select data_type, cast(floor((n - 1) / 50) as bigint) as part, total, string_agg(page_title, '|' order by page_title) as titles
+ from (select *, row_number() over (partition by data_type order by page_title) as n, count(*) over (partition by data_type) as total
+  from (select distinct data_type, {_TITLED} as page_title from @colspecs c left join @page_metadata m on c.page_id = m.page_id where data_type <> '') t) u
+ group by data_type, part, total""")
+def types_by_page_lists(c):
+    lists = declared_types.types_by_page_lists(c["colspecs"], c["page_metadata"], items=50)
+    return lists.select("data_type", "part", "total", F.array_join("items", "|").alias("titles"))
+
+
 @query(f"""select data_type, count(*) as pages, any_value({_RESOLVED}) as resolved_type, any_value({_CATEGORY}) as category
  from (select distinct data_type, {_TITLED} as page_title from @colspecs c left join @page_metadata m on c.page_id = m.page_id where data_type <> '') t group by data_type""")
 def declared_type_report(c):

@@ -9,6 +9,8 @@ from schemaward.operators import ingest, merge, titles
 from schemaward.plans import jobs
 from schemaward.workload.inputs import AS_OF
 from schemaward.workload.q_text import _VARIANTS
+from schemaward.plans.buckets import BucketedState
+from schemaward.session import shared_dir
 from schemaward.workload.registry import query
 
 _TRIED = f"""select given_title, attempt, variant from (select distinct given_title,
@@ -132,9 +134,19 @@ def _delta(c):
     return c["lineitem"].groupBy(key.alias("o_orderkey")).agg(F.lit("N").alias("o_orderstatus"), price.alias("o_totalprice"))
 
 
-@query(f"""select coalesce(s.o_orderkey, d.o_orderkey) as o_orderkey, case when d.o_orderkey is not null then d.o_orderstatus else s.o_orderstatus end as o_orderstatus,
+_UPSERTED = f"""select coalesce(s.o_orderkey, d.o_orderkey) as o_orderkey, case when d.o_orderkey is not null then d.o_orderstatus else s.o_orderstatus end as o_orderstatus,
  case when d.o_orderkey is not null then d.o_totalprice else s.o_totalprice end as o_totalprice, s.o_orderpriority
- from ({_STATE}) s full join ({_DELTA}) d on s.o_orderkey = d.o_orderkey""")
+ from ({_STATE}) s full join ({_DELTA}) d on s.o_orderkey = d.o_orderkey"""
+
+
+@query(_UPSERTED)
+def upsert_in_buckets(c):
+    state = BucketedState.create(_state(c), shared_dir(c.spark), ["o_orderkey"], buckets=32)
+    state.update(_delta(c), lambda rows, changes: merge.upsert(rows, changes, ["o_orderkey"]))
+    return state.read()
+
+
+@query(_UPSERTED)
 def upsert_partial_columns(c):
     return merge.upsert(_state(c), _delta(c), ["o_orderkey"])
 

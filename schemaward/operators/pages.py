@@ -75,16 +75,28 @@ def outline_pages(pages: DataFrame) -> DataFrame:
     return pages.select(*[f.name for f in kept], "html").mapInArrow(run, T.StructType([*kept, *_OUTLINE.fields]))
 
 
-def page_tables(pages: DataFrame) -> DataFrame:
+def page_tables(pages: DataFrame, one_per_header: bool = False, filled_rows: bool = False) -> DataFrame:
     """Pages (page_id, html) to cells, as read: repeated headers and blank rows included.
 
-    Short rows get an empty or 'false' value for every missing column.
+    Short rows get an empty or 'false' value for every missing column. ``one_per_header`` (W6) and ``filled_rows``
+    (F5) do inside the table row, before it becomes cells, what ``dedupe_headers`` and ``drop_blank_rows`` do to
+    cells, so nothing is shuffled.
     """
     t = outline_pages(pages.select("page_id", "html")).select("page_id", F.inline("tables"))
     r = t.select("page_id", "table_ord", F.transform("header", X.header_key).alias("keys"), F.inline("rows"))
-    c = r.select("page_id", "table_ord", "row_ord", "cells", F.posexplode("keys").alias("col_ord", "key"))
-    return c.select("page_id", "table_ord", "row_ord", "col_ord", "key",
-                    X.cell_default(F.get("cells", F.col("col_ord")), F.col("key")).alias("value"))
+    keys, cells = F.col("keys"), F.col("cells")
+
+    def cell(at: Column, key: Column, value: Column) -> Column:
+        return F.struct(at.cast("int").alias("col_ord"), key.alias("key"), value.alias("value"))
+
+    if one_per_header:
+        made = F.transform(F.array_distinct(keys), lambda k: cell(F.array_position(keys, k) - 1, k, _last_value(keys, cells, k)))
+    else:
+        made = F.transform(keys, lambda k, at: cell(at, k, X.cell_default(F.get(cells, at), k)))
+    rows = r.select("page_id", "table_ord", "row_ord", made.alias("made"))
+    if filled_rows:
+        rows = rows.where(F.exists("made", lambda e: _meaningful(e["key"], e["value"])))
+    return rows.select("page_id", "table_ord", "row_ord", F.inline("made"))
 
 
 def dedupe_headers(cells: DataFrame) -> DataFrame:
@@ -128,13 +140,16 @@ def pivot_cells(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return by.pivot("key", keys).agg(F.max_by("value", "col_ord"))
 
 
+def _last_value(keys: Column, cells: Column, key: Column) -> Column:
+    """Value of the last column under a header."""
+    at = F.size(keys) - F.array_position(F.reverse(keys), key)
+    return X.cell_default(F.get(cells, at.cast("int")), key)
+
+
 def _record(keys: Column, cells: Column) -> Column:
     """Map of one row: distinct keys in header order, each with its last column's value."""
-    def last_value(key: Column) -> Column:
-        at = F.size(keys) - F.array_position(F.reverse(keys), key)
-        return X.cell_default(F.get(cells, at.cast("int")), key)
     order = F.array_distinct(keys)
-    return F.map_from_arrays(order, F.transform(order, last_value))
+    return F.map_from_arrays(order, F.transform(order, lambda k: _last_value(keys, cells, k)))
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:

@@ -32,12 +32,12 @@ def page_tables(c):
 
 @query(f"select {_LONG} from ({_DEDUPED}) c")
 def dedupe_headers(c):
-    return _long(pages.dedupe_headers(pages.page_tables(c["order_pages"])))
+    return _long(pages.page_tables(c["order_pages"], one_per_header=True))
 
 
 @query(f"select {_LONG} from ({_KEPT}) c")
 def drop_blank_rows(c):
-    return _long(pages.drop_blank_rows(pages.dedupe_headers(pages.page_tables(c["order_pages"]))))
+    return _long(pages.page_tables(c["order_pages"], one_per_header=True, filled_rows=True))
 
 
 @query(f"select page_id, cast(n as bigint) as row_ord, cast(o_orderkey as varchar) as order_key, o_orderstatus as status, o_orderpriority as order_priority from ({_ROWS}) r")

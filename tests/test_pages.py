@@ -119,3 +119,17 @@ def test_repeated_headers_give_the_last_value(spark):
     assert pages.pivot_cells(cells).first().record == {"k": "c", "x": "b"}
     wide = pages.pivot_cells(cells, ["k", "x"]).first()
     assert (wide.k, wide.x) == ("c", "b")
+
+
+def test_cells_cleaned_in_the_row_equal_those_cleaned_as_cells(spark):
+    table = ("<table><tr><th>A</th><th>B</th><th>A</th><th>Primary Key</th></tr><tr><td>1</td><td>2</td><td>3</td><td>yes</td></tr>"
+             "<tr><td></td><td> </td></tr><tr><td>x</td></tr><tr><td>1</td><td></td><td></td><td></td></tr></table><table><tr><th>Z</th></tr></table>")
+    df = spark.createDataFrame([(1, table), (2, None), (3, "<p>none</p>"), (4, table + table)], "page_id long, html string")
+    cells = pages.page_tables(df)
+    rows = lambda d: sorted(map(tuple, d.select("page_id", "table_ord", "row_ord", "col_ord", "key", "value").collect()))
+    once = pages.dedupe_headers(cells)
+    assert rows(pages.page_tables(df, one_per_header=True)) == rows(once)
+    assert rows(pages.page_tables(df, filled_rows=True)) == rows(pages.drop_blank_rows(cells))
+    both = pages.page_tables(df, one_per_header=True, filled_rows=True)
+    assert rows(both) == rows(pages.drop_blank_rows(once)) and len(rows(both)) < len(rows(once))
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()

@@ -36,7 +36,7 @@ def _unescape_role(role: Column) -> Column:
 def path_nodes(nodes: DataFrame) -> DataFrame:
     """(leaf, node, up) for every node on the way from each leaf to its root, up being its distance from the leaf.
 
-    ``nodes`` is (node long, parent long or null); a parent that is no node counts as none, repeated nodes count once,
+    ``nodes`` is (node, parent or null), both of one type; a parent that is no node counts as none, repeated nodes count once,
     and nodes of a cycle reach no leaf and no root, so they are on no path.
     """
     nodes = nodes.groupBy("node").agg(F.min("parent").alias("parent")).where("node is not null")
@@ -57,7 +57,7 @@ def path_nodes(nodes: DataFrame) -> DataFrame:
 def format_trees(nodes: DataFrame, per_tree: int | None = None) -> DataFrame:
     """(tree, leaf, rank, n_turns, formatted, loss_spans): one row per chosen path, its turns from the root on.
 
-    ``nodes`` is (node long, parent long, tree long, role string, text string, score double). Branches of a tree rank
+    ``nodes`` is (node and parent of one type, tree long, role string, text string, score double). Branches of a tree rank
     by the sum of their scores, then by leaf; ``per_tree`` keeps that many, None keeps all. A turn reads
     ``<|im_start|>role\\ntext<|im_end|>\\n`` with control strings inside role and text escaped reversibly; loss_spans
     are (start, length) in characters of ``formatted`` and cover the text of each assistant turn. Null roles and texts
@@ -102,9 +102,11 @@ def masked_text(formatted: Column, spans: Column) -> Column:
 def linear_trees(turns: DataFrame) -> DataFrame:
     """Nodes of reply trees from (conv_id, turn, role, text): each row answers the one before it in its conversation.
 
-    Rows of a conversation are ordered by turn, then role, then text, nulls first; node numbers depend on contents only.
+    Rows of a conversation are ordered by turn, then role, then text, nulls first; a node is named by its conversation and place, null conversations
+    by an empty name (an empty text is no conv_id).
     """
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
     placed = turns.select("conv_id", "turn", "role", "text").withColumn("_n", F.row_number().over(order))
-    number = lambda n: F.xxhash64(F.col("conv_id").cast("string"), n)
+    # conversation and place spelled out: no two nodes share a key
+    number = lambda n: F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), n.cast("string"))
     return placed.select(number(F.col("_n")).alias("node"), F.when(F.col("_n") > 1, number(F.col("_n") - 1)).alias("parent"), F.col("conv_id").alias("tree"), "role", "text", F.lit(0.0).alias("score"))

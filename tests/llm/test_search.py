@@ -65,6 +65,13 @@ def test_reply_trees(spark):
     assert {r.leaf for r in best.collect()} == {4, 5, 169}
 
 
+def test_conversations_with_alike_numbers_stay_apart(spark):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}/{t}") for c in (1, 11, 111) for t in range(12)]
+    trees = chat.format_trees(chat.linear_trees(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    got = {r.tree: [t.text for t in r.turns] for r in trees.withColumn("turns", chat.read_turns(F.col("formatted"))).collect()}
+    assert got == {c: [f"{c}/{t}" for t in range(12)] for c in (1, 11, 111)}
+
+
 def test_linear_conversations_awkward(spark):
     rows = [(1, 0, "user", "x"), (1, 0, "user", "x"), (1, None, None, None), (None, 1, "user", "é"), (2, 5, "assistant", "z" * 100_000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, node int")

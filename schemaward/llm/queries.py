@@ -84,7 +84,10 @@ def op8_token_counts(spark, sf_dir):
 def op6_token_files(spark, sf_dir):
     folder = scratch(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents").select("doc_id", "text"), folder)
-    return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    docs = store(token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")), "token-rows")
+    # the first id of every document by its address alone
+    ids = token_files.read_tokens(spark, folder, docs.select("start"), "start").select(F.col("position").alias("start"), F.col("id").alias("first_id"))
+    return docs.join(ids, "start", "left").select("doc_id", "start", "n_tokens", "ids_crc32", "first_id")
 
 
 @_query

@@ -22,6 +22,9 @@ from schemaward.llm.bpe import default_path, pieces_of
 
 RANK_BITS = 512
 BASES_BROADCAST = 100_000  # files up to which their first positions are broadcast; more are joined by shuffle
+ASKED_BROADCAST = 1_000_000  # positions up to which they are broadcast to the segments; more are joined by shuffle
+_SLICE = 8_192  # positions of a segment read at once
+_CELL = 1 << 20  # positions of one cell of the segment index
 LEVELS = pa.list_(pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
 _LEVEL_TYPE = "array<struct<chunks:binary,more:binary,ranks:binary>>"
 
@@ -54,6 +57,24 @@ def token_at(levels: list[dict[str, bytes]], position: int) -> int:
     return value
 
 
+def tokens_at(levels: list[dict[str, bytes]], positions: np.ndarray) -> np.ndarray:
+    """``token_at`` for many positions at once; nothing else of the segment is decoded."""
+    out, at, live = np.zeros(len(positions), np.uint32), positions.astype(np.int64), np.arange(len(positions))
+    for k, level in enumerate(levels):
+        if not len(live):
+            break
+        chunks, more, ranks = np.frombuffer(level["chunks"], np.uint8), np.frombuffer(level["more"], np.uint8), np.frombuffer(level["ranks"], "<u4")
+        out[live] |= chunks[at].astype(np.uint32) << np.uint32(8 * k)
+        further = (more[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        at, live = at[further], live[further]
+        block = at // RANK_BITS
+        place = block[:, None] * (RANK_BITS // 8) + np.arange(RANK_BITS // 8)  # the bytes of the block
+        bits = np.minimum(np.maximum(at[:, None] - 8 * place, 0), 8)           # how many bits of each lie before the position
+        inside = more[np.minimum(place, len(more) - 1)] & ((1 << bits) - 1).astype(np.uint8)
+        at = ranks[block].astype(np.int64) + np.bitwise_count(inside).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def decode_levels(levels: list[dict[str, bytes]]) -> np.ndarray:
     """All ids of a segment."""
     below = np.zeros(0, np.uint32)
@@ -80,7 +101,7 @@ def write_token_files(docs: DataFrame, folder: str, text: str = "text", key: str
     """Encodes every text, ends it with ``end_id`` and writes the ids in ascending ``key`` order, null keys first.
 
     Null texts are empty: their row holds the end id alone. Rows of one key stand side by side in the order of their
-    text's hash; a key of very many rows may span files.
+    text's hash; a key of very many rows may span files. Files are not compressed, so reading an id decodes no block.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -101,17 +122,51 @@ def write_token_files(docs: DataFrame, folder: str, text: str = "text", key: str
                     pa.array([encode_levels(ids)], LEVELS)], names=["part", "before", "n_tokens", "keys", "lengths", "levels"])
                 before += len(ids)
 
-    ordered.mapInArrow(run, f"part int, before long, n_tokens long, keys array<long>, lengths array<int>, levels {_LEVEL_TYPE}").write.parquet(folder)
+    ordered.mapInArrow(run, f"part int, before long, n_tokens long, keys array<long>, lengths array<int>, levels {_LEVEL_TYPE}").write.option("compression", "uncompressed").parquet(folder)
 
 
-def read_token_files(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
-    """One row per document of a file set: key, start (ids before it), n_tokens, ids (little-endian unsigned 32-bit)."""
+def _segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The segments of a file set with the position of their first id over all files."""
     segments = spark.read.schema(f"part int, before long, n_tokens long, keys array<long>, lengths array<int>, levels {_LEVEL_TYPE}").parquet(folder)
     # a row for each file, however many documents it holds
     totals = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = totals.selectExpr("part as p", "sum(n) over (order by part rows between unbounded preceding and current row) - n as base")
     side = F.broadcast(bases) if totals.count() <= BASES_BROADCAST else bases
-    placed = segments.join(side, F.col("part") == F.col("p")).select((F.col("base") + F.col("before")).alias("first"), "keys", "lengths", "levels")
+    return segments.join(side, F.col("part") == F.col("p")).withColumn("first", F.col("base") + F.col("before"))
+
+
+def read_tokens(spark: SparkSession, folder: str, positions: DataFrame, position: str = "position") -> DataFrame:
+    """(position, id) for each asked position that the file set holds, counted over all files from 0.
+
+    Repeated positions give one row; null ones and those outside give none. The segment of a position is found by the
+    segments' first positions, its id by ranks, so no segment is decoded. The positions of one segment, no more than it
+    has ids, are one row.
+    """
+    asked = positions.select(F.col(f"`{position}`").cast("long").alias("position")).where("position is not null").distinct()
+    segments = _segments(spark, folder)
+    # segments and positions meet in cells of the position range; only the index takes part, not the levels
+    index = segments.select("first", (F.col("first") + F.col("n_tokens")).alias("stop")).where("stop > first")
+    index = index.withColumn("cell", F.explode(F.sequence(F.expr(f"first div {_CELL}"), F.expr(f"(stop - 1) div {_CELL}"))))
+    found = asked.withColumn("cell", F.expr(f"position div {_CELL}")).join(index, "cell").where("position >= first and position < stop")
+    grouped = found.groupBy(F.col("first").alias("f")).agg(F.collect_list(F.col("position") - F.col("first")).alias("asked"))
+    side = F.broadcast(grouped) if asked.count() <= ASKED_BROADCAST else grouped
+    rows = segments.select("first", "levels").join(side, F.col("first") == F.col("f")).select("first", "asked", "levels")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                at = np.array(row["asked"], np.int64)
+                for begin in range(0, len(at), _SLICE):
+                    some = at[begin:begin + _SLICE]
+                    yield pa.RecordBatch.from_arrays([pa.array(row["first"] + some), pa.array(tokens_at(row["levels"], some).astype(np.int64))], names=["position", "id"])
+
+    return rows.mapInArrow(run, "position long, id long")
+
+
+def read_token_files(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
+    """One row per document of a file set: key, start (ids before it), n_tokens, ids (little-endian unsigned 32-bit)."""
+    placed = _segments(spark, folder).select("first", "keys", "lengths", "levels")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from schemaward.llm import bpe, packing, token_counts, token_files
+from schemaward.llm import bpe, packing, queries, token_counts, token_files
 from schemaward.llm.batches import scratch, text_buffer
 
 PARTS = ["a", "b", "th", "er", " ", "  ", "\n", "\t", "'", "'s", "'re", "'ll", "'v", "1", "23", "é", "ß", "!", "?!", "<|endoftext|>", "<|end", "|>", "漢", "😀", "\x00", "\x1c",
@@ -78,6 +78,8 @@ def test_codes_round_trip_and_random_access():
         levels = token_files.encode_levels(np.array(ids, np.uint64))
         assert token_files.decode_levels(levels).tolist() == [int(x) for x in ids]
         assert [token_files.token_at(levels, k) for k in range(len(ids))] == [int(x) for x in ids]
+        some = rng.permutation(len(ids))
+        assert token_files.tokens_at(levels, some).tolist() == [int(ids[k]) for k in some]
 
 
 def test_token_files(spark, library, awkward, nothing):
@@ -92,6 +94,40 @@ def test_token_files(spark, library, awkward, nothing):
         assert keys == sorted(keys)
 
 
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_tokens_by_position_across_segments(spark, awkward, nothing, bound, monkeypatch):
+    monkeypatch.setattr(token_files, "ASKED_BROADCAST", bound)
+    monkeypatch.setattr(token_files, "_CELL", 1000)
+    folder = scratch(spark, "files")
+    token_files.write_token_files(awkward, folder)
+    rows = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r.start)
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows]).tolist()
+    assert spark.read.parquet(folder).count() > 1
+    some = sorted({0, len(ids) - 1, *(r.start for r in rows), *range(0, len(ids), 97)})
+    asked = spark.createDataFrame([(p,) for p in [*some, *some[:5], None, -1, len(ids), 10**12]], "position long")
+    got = token_files.read_tokens(spark, folder, asked).collect()
+    assert sorted((r.position, r.id) for r in got) == [(p, ids[p]) for p in some]
+    empty = scratch(spark, "files")
+    token_files.write_token_files(nothing, empty)
+    assert token_files.read_tokens(spark, empty, asked).count() == 0
+
+
+def test_token_files_query(spark):
+    docs = [(2, "b c"), (1, "a"), (3, None), (4, "")]
+    sf = scratch(spark, "sf")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    rows = queries.QUERIES["op6_token_files"](spark, sf).orderBy("doc_id").collect()
+    ids = [np.frombuffer(r.ids, "<u4").tolist() for r in sorted(token_files.read_token_files(spark, _folder_of(spark, docs)).collect(), key=lambda r: r.doc_id)]
+    assert [(r.doc_id, r.n_tokens, r.first_id, r.ids_crc32) for r in rows] == [
+        (k, len(x), x[0], zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in zip((1, 2, 3, 4), ids)]
+
+
+def _folder_of(spark, docs):
+    folder = scratch(spark, "files")
+    token_files.write_token_files(spark.createDataFrame(docs, "doc_id long, text string"), folder)
+    return folder
+
+
 def _check_packing(library, docs, rows, capacity):
     whole = collections.Counter((r.doc_id, tuple(_ids(library, [r.text])[0]) + (0,)) for r in docs.collect())
     by, seqs = collections.defaultdict(list), collections.defaultdict(list)

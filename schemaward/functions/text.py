@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -107,10 +110,61 @@ def file_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.replace(c, F.lit(" "), F.lit("_"))), "[^a-z0-9_.-]", "")
 
 
+# Character references that need no semicolon; longer names first, so that the longest one that fits is read.
+_BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+_ATTRIBUTES = r"""(?>[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# One token a match: hidden elements with their text, character data (group 1), tags, comments, declarations, then text.
+_TOKENS = (
+    r"(?is)<(script|style)(?=[\s/>])[^>]*+(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
+    rf"|<(template|rt|rp)(?=[\s/>]){_ATTRIBUTES}(?<!/)>.*?</\2(?=[\s/>])[^>]*+>"
+    r"|<!\[CDATA\[.*?(?:\]\]>|\z)|<!--.*?(?:-->|\z)|</[a-z][^>]*+>"
+    rf"|<[a-z][^\s/>]*+{_ATTRIBUTES}>|<[!?][^>]*+(?:>|\z)|[^<]++|<")
+_REFERENCE = r"(?s)^(&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[0-9a-zA-Z]++;?))(.*)$"
+
+
+def _by_number(n: Column) -> Column:
+    """The character of a numeric reference as HTML reads it: windows-1252 for 128 to 159, none for codes without character."""
+    remapped = {str(k): bytes([k]).decode("cp1252", "replace").replace("\ufffd", chr(k)) for k in range(0x80, 0xA0)}
+    table = F.from_json(F.lit(json.dumps(remapped)), "map<string,string>")
+    none = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd").when(n.between(0x80, 0x9F), table[n.cast("string")])
+            .when(none, "").otherwise(utf32))
+
+
+def _dereferenced(piece: Column) -> Column:
+    """A piece of text that may begin with one character reference."""
+    head, rest = F.regexp_extract(piece, _REFERENCE, 1), F.regexp_extract(piece, _REFERENCE, 2)
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    name = F.substring(head, F.lit(2), F.length(head))
+    digits = F.rtrim(F.substring(head, F.lit(3), F.length(head)), F.lit(";"))
+    hexadecimal = F.lower(F.substring(digits, F.lit(1), F.lit(1))) == "x"
+    number = F.when(hexadecimal, F.conv(F.substring(digits, F.lit(2), F.length(digits)), 16, 10)).otherwise(digits).try_cast("long")
+    known = F.try_element_at(names, name)
+    bare = F.regexp_extract(name, f"^({_BARE_NAMES})", 1)
+    named = F.when(known.isNotNull(), known).when(bare != "", F.concat(F.try_element_at(names, bare), F.substring(name, F.length(bare) + 1, F.length(name)))).otherwise(head)
+    read = F.when(name.startswith("#"), _by_number(number)).otherwise(named)
+    return F.when(head == "", piece).otherwise(F.concat(read, rest))
+
+
+def decode_references(text: Column) -> Column:
+    """Character references of HTML to their characters, by name or number; each is read once."""
+    pieces = F.transform(F.split(text, "(?=&)"), _dereferenced)
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+
+
 def cell_text(html: Column) -> Column:
-    """H13 as an expression: tags to blanks, nbsp to blank, collapsed and trimmed."""
-    bare = F.regexp_replace(html, "<[^>]+>", " ")
-    return squeeze(F.replace(bare, F.lit("&nbsp;"), F.lit(" ")))
+    """H13 as an expression: the shown text, nodes parted by blanks, references decoded, nbsp to blank, collapsed and trimmed.
+
+    Scripts, styles, comments and what stands in template, rt and rp elements are left out. Unlike the outline of a
+    page this keeps no tree: a template, rt or rp that is nested in its like or not closed shows its text.
+    """
+    def shown(token: Column) -> Column:
+        data = F.regexp_extract(token, r"(?is)^<!\[CDATA\[(.*?)(?:\]\]>)?$", 1)
+        return F.when(F.length(token) == 1, token).when(token.rlike(r"(?is)^<!\[CDATA\["), F.concat(F.lit(" "), data, F.lit(" "))).when(token.startswith("<"), " ").otherwise(decode_references(token))
+
+    text = F.array_join(F.transform(F.regexp_extract_all(html, F.lit(_TOKENS), F.lit(0)), shown), "")
+    return squeeze(F.replace(F.replace(text, F.lit("\xa0"), F.lit(" ")), F.lit("&nbsp;"), F.lit(" ")))
 
 
 def add_note(c: Column, *notes: Column) -> Column:

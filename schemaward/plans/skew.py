@@ -28,7 +28,7 @@ def time_blocks(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROW
     A key, and later a block, is hot above ``hot_rows`` rows, or above 1/MAX_HOT_KEYS of
     all rows where that is more. So there are never more than MAX_HOT_KEYS of them at a
     level, however large the input, and their cuts may be broadcast instead of shuffling
-    the rows. A level reads keys and times only; without hot keys there is one. Rows of
+    the rows. A level reads keys and times only, from the second on of hot keys alone; without hot keys there is one. Rows of
     one key at one time stay together.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -39,8 +39,14 @@ def time_blocks(df: DataFrame, keys: list[str], ts: str, hot_rows: int = HOT_ROW
                          + [T.StructField(c, T.LongType()) for c in ("_n", "_lo", "_hi")])
     share = None
     for _ in range(MAX_LEVELS):
-        sizes = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
-        share = df.count() / MAX_HOT_KEYS if share is None else share
+        # only what was cut at the level before can still be too large
+        counted = rows if share is None else rows.where(HOT)
+        sizes = counted.groupBy(*by).agg(F.count("*").alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
+        if share is None:
+            top = sizes.agg(F.sum("_n"), F.max("_n")).first()
+            share = (top[0] or 0) / MAX_HOT_KEYS
+            if (top[1] or 0) <= max(float(hot_rows), share):
+                break
         found = sizes.where((F.col("_n") > max(float(hot_rows), share)) & (F.col("_hi") > F.col("_lo"))).collect()
         if not found:
             break

@@ -9,16 +9,18 @@ from schemaward.operators import ingest, pages
 from schemaward.operators.merge import lookup
 from schemaward.session import shared_dir
 from schemaward.sources import inputs as R
+from schemaward.sources import long_documents as L
 from schemaward.sources import outputs as W
 from schemaward.workload.registry import query
 
 DOC_SIZE = 1000  # entries per JSON document
+LONG = 20_000    # entries per document that is read in blocks
 
 
-def _documents(df, order, item, left, right):
-    """Entries joined into one JSON document per block of DOC_SIZE consecutive keys."""
+def _documents(df, order, item, left, right, size=DOC_SIZE):
+    """Entries joined into one JSON document per block of ``size`` consecutive keys."""
     items = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), item.alias("i")))), lambda x: x["i"])
-    return (df.groupBy(F.floor(F.col(order) / DOC_SIZE).alias("doc"))
+    return (df.groupBy(F.floor(F.col(order) / size).alias("doc"))
             .agg(F.concat(F.lit(left), F.array_join(items, ","), F.lit(right)).alias("value")))
 
 
@@ -69,6 +71,42 @@ def read_type_map(c):
     return R.read_type_map(c.spark, path)
 
 
+@query(f"select ord % {LONG} as ord, given_title from @titles")
+def read_titles_in_blocks(c):
+    path = shared_dir(c.spark)
+    text = F.to_json(F.array("given_title")).substr(F.lit(2), F.length(F.to_json(F.array("given_title"))) - 2)
+    _write_documents(_documents(c["titles"], "ord", text, "[", "]", LONG), path)
+    return L.read_titles(c.spark, path).select("ord", "given_title")
+
+
+@query("select entry_key, entry_json from @resolver_entries")
+def read_resolver_in_blocks(c):
+    path = shared_dir(c.spark)
+    item = F.concat(F.lit('"'), "entry_key", F.lit('":'), "entry_json")
+    _write_documents(_documents(c["resolver_entries"], "entry_ord", item, "{", "}", LONG), path)
+    return L.read_resolver_raw(c.spark, path).select("entry_key", "entry_json")
+
+
+@query("select upper(map_key) as declared_type, arg_max(map_value, n) as warehouse_type from @type_map_raw where trim(map_value) <> '' group by 1")
+def read_type_map_in_blocks(c):
+    path = shared_dir(c.spark)
+    item = F.concat(F.lit('"'), "map_key", F.lit('":"'), "map_value", F.lit('"'))
+    _write_documents(_documents(c["type_map_raw"], "n", item, "{", "}", LONG), path)
+    return R.type_map_from_raw(L.read_type_map_raw(c.spark, path))
+
+
+@query(f"""select cast(d as bigint) as doc, case d % 4 when 1 then 'not a JSON list' else 'not JSON' end as reason
+ from (select distinct o_orderkey // {LONG} as d from orders) x where d % 4 > 0""")
+def document_faults_in_blocks(c):
+    path = shared_dir(c.spark)
+    good = _documents(c["orders"], "o_orderkey", F.concat(F.lit('"'), "o_orderpriority", F.lit('"')), "[", "]", LONG)
+    kind, value = F.col("doc") % 4, F.col("value")
+    broken = (F.when(kind == 1, F.concat(F.lit('{"a": '), value, F.lit("}"))).when(kind == 2, F.substring(value, F.lit(1), F.length(value) - 1))
+              .when(kind == 3, F.concat(F.lit("titles: "), value)).otherwise(F.concat(F.lit(" "), value)))
+    _write_documents(good.withColumn("value", broken), path)
+    return L.document_faults(c.spark, path, "list").select(F.regexp_extract("path", "doc=([0-9]+)", 1).cast("long").alias("doc"), "reason")
+
+
 @query("""select page_id, api_title, created_by_display_name, created_by_username, created_date, last_modified_by_username,
  last_modified_date, parent_page_title, parent_page_id, labels, present as doc_present, ok as doc_ok from @doc_fields""")
 def flatten_page_docs(c):

@@ -1,7 +1,8 @@
 """Best-fit packing of token pieces into sequences of one length, planned on the histogram of piece lengths.
 
-Exact complements first: for each length, singles, pairs and triples of other lengths that fill its gap exactly are
-found by their sums and taken as often as their counts allow; what is left is packed best fit. The histogram has at
+Exact complements first: an index holds the sums of single lengths, pairs and triples; for each length the combinations
+that fill its gap exactly are looked up there and taken as often as their counts allow, and leave the index when a count
+runs out. What is left is packed best fit. The histogram has at
 most one row per length, so the plan's size depends on the capacity and never on the data. Pieces find their place by
 length and rank among the pieces of that length, which comes from per-task counts without a shuffle of the pieces.
 """
@@ -34,6 +35,64 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
     return min((_plan(counts, capacity, most) for most in (3, 2, 1)), key=lambda p: sum(times for _, times in p))
 
 
+class _Sums:
+    """Single, pair and triple sums of the available lengths, each with the combinations that make it.
+
+    ``pairs`` maps a sum to the larger lengths of its pairs and ``triples`` to the largest lengths of its triples, longest
+    first; a single is its own sum. Counts only fall, so a combination whose count has run out leaves the index for good.
+    """
+
+    def __init__(self, left: np.ndarray, most: int):
+        self.left, capacity = left, len(left) - 1
+        lengths = np.flatnonzero(left)[::-1]
+        self.pairs: dict[int, np.ndarray] = {}
+        self.triples: dict[int, np.ndarray] = {}
+        if most > 1:
+            i, j = np.nonzero((lengths[:, None] >= lengths) & (lengths[:, None] + lengths <= capacity))
+            self.pairs = self._by_sum(lengths[i] + lengths[j], lengths[i])
+        if most > 2 and self.pairs:
+            sums, least = np.array(list(self.pairs)), np.array([larger[-1] for larger in self.pairs.values()])
+            i, j = np.nonzero((lengths[:, None] >= least) & (lengths[:, None] + sums <= capacity))
+            self.triples = self._by_sum(lengths[i] + sums[j], lengths[i])
+
+    @staticmethod
+    def _by_sum(sums: np.ndarray, longest: np.ndarray) -> dict[int, np.ndarray]:
+        order = np.lexsort((-longest, sums))
+        keys, first = np.unique(sums[order], return_index=True)
+        return dict(zip(keys.tolist(), np.split(longest[order], first[1:]), strict=True)) if len(keys) else {}
+
+    def _fits(self, pattern: tuple[int, ...]) -> bool:
+        return all(self.left[x] >= pattern.count(x) for x in pattern)
+
+    def _pair(self, total: int, longest: int, used: tuple[int, ...]) -> tuple[int, int] | None:
+        larger = self.pairs.get(total)
+        if larger is None:
+            return None
+        larger = self.pairs[total] = larger[(self.left[larger] > 0) & (self.left[total - larger] > 0)]
+        for a in larger[np.searchsorted(-larger, -longest):].tolist():
+            if self._fits((a, total - a, *used)):
+                return a, total - a
+        return None
+
+    def complement(self, first: int) -> tuple[int, ...] | None:
+        """The fewest lengths, the most uneven ones of them, none above ``first``, that fill its gap exactly."""
+        gap = len(self.left) - 1 - first
+        if gap == 0:
+            return ()
+        if gap <= first and self._fits((first, gap)):
+            return (gap,)
+        two = self._pair(gap, first, (first,))
+        if two or gap not in self.triples:
+            return two
+        longest = self.triples[gap]
+        longest = self.triples[gap] = longest[self.left[longest] > 0]
+        for a in longest[np.searchsorted(-longest, -first):].tolist():
+            two = self._pair(gap - a, a, (first, a))
+            if two:
+                return (a, *two)
+        return None
+
+
 def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     """A plan with exact complements of up to ``most`` lengths, best fit behind them.
 
@@ -56,39 +115,9 @@ def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[
             out.append((pattern, times))
         return times > 0
 
-    def pair(total: int, longest: int) -> tuple[int, int] | None:
-        """The most uneven two available lengths of that sum, none above ``longest``."""
-        if total < 2:
-            return None
-        a = np.arange(min(longest, total - 1), (total + 1) // 2 - 1, -1)
-        hit = np.flatnonzero((left[a] > 0) & (left[total - a] > 0) & ((a != total - a) | (left[a] > 1)))
-        return (int(a[hit[0]]), int(total - a[hit[0]])) if len(hit) else None
-
-    def complement(first: int) -> tuple[int, ...] | None:
-        gap = capacity - first
-        left[first] -= 1  # it is used itself
-        try:
-            if gap == 0:
-                return ()
-            if gap <= first and left[gap] > 0:
-                return (gap,)
-            two = pair(gap, first) if most > 1 else None
-            if two:
-                return two
-            for a in np.flatnonzero(left[: min(first, gap - 2) + 1])[::-1].tolist() if gap > 2 and most > 2 else ():
-                if 3 * a < gap:
-                    break
-                left[a] -= 1
-                two = pair(gap - a, a)
-                left[a] += 1
-                if two:
-                    return (a, *two)
-            return None
-        finally:
-            left[first] += 1
-
+    sums = _Sums(left, most)
     for first in range(capacity, 0, -1):
-        while left[first] and (rest := complement(first)) is not None:
+        while left[first] and (rest := sums.complement(first)) is not None:
             take((first, *rest))
     for first in range(capacity, 0, -1):
         while left[first]:

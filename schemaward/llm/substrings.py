@@ -20,6 +20,7 @@ from schemaward.llm.batches import fresh, rolling_hashes, small_batches, span_ha
 
 BLOCK_ROWS = 256           # documents of a block; small, so that blocks spread evenly over tasks
 BUCKET_WINDOWS = 1 << 20   # windows a bucket should get
+MAX_CROWDS = 1_000_000     # rows equal in all columns that are dealt over several blocks: at most so many kinds of them
 ADDED = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
     T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
@@ -55,6 +56,26 @@ def _unpack(raw: bytes, drop: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _in_blocks(docs: DataFrame, text: str) -> tuple[DataFrame, str, int]:
+    """``docs`` with the block of each row, the name of that column, and the length of all texts."""
+    content = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns if c != text], F.col(f"`{text}`"))
+    kinds = docs.groupBy(content.alias("_content")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(f"`{text}`")).alias("size"))
+    rows, size, most = kinds.agg(F.sum("n"), F.sum("size"), F.max("n")).first()
+    blocks = max(1, -(-(rows or 0) // BLOCK_ROWS))
+    block = fresh(docs.columns, "_block")
+    # content, not position: rows land in the same block whenever they are read
+    keyed = docs.withColumn(block, F.pmod(content, F.lit(blocks)))
+    crowd = max(BLOCK_ROWS, (rows or 0) // MAX_CROWDS)
+    if (most or 0) > crowd:
+        # fewer than MAX_CROWDS kinds have more rows than this; any of their rows may go to any of their blocks, as they are equal
+        own, share = fresh(docs.columns, "_content"), fresh(docs.columns, "_share")
+        crowds = F.broadcast(kinds.where(F.col("n") > crowd).select(F.col("_content").alias(own), F.ceil(F.col("n") / BLOCK_ROWS).alias(share)))
+        dealt = keyed.withColumn(own, content).join(crowds, own, "left")
+        turn = F.pmod(F.monotonically_increasing_id(), F.col(share))
+        keyed = dealt.withColumn(block, F.when(F.col(share).isNull(), F.col(f"`{block}`")).otherwise(F.pmod(F.xxhash64(own, turn), F.lit(blocks)))).select(*[f"`{c}`" for c in docs.columns], f"`{block}`")
+    return keyed, block, size or 0
+
+
 def remove_repeated_windows(docs: DataFrame, text: str = "text", width: int = 35) -> DataFrame:
     """The rows of ``docs`` with n_words, n_removed, removed (maximal word intervals, end exclusive) and kept_text.
 
@@ -62,20 +83,16 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", width: int = 35
     the input, in the same row too. All windows are judged on the input. kept_text joins the kept words by one space.
     Null and empty texts have no words and give an empty kept_text; rows shorter than a window lose nothing; repeated
     rows lose all words of their windows; other columns pass through (one of an added name is replaced). The block of a
-    row depends on its content only, so a lost task repeats its work exactly. Windows are compared by 64-bit hashes: n
+    row depends on its content only, so a lost task repeats its work exactly; rows equal in all columns, where they are
+    more than a block holds, are dealt over blocks by their place in the input, which should be a stored table. Windows are compared by 64-bit hashes: n
     windows hold a false match with a chance of about n * n / 2**65.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(docs.sparkSession)
     docs = docs.drop(*[f.name for f in ADDED if f.name != text])
-    rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.length(text))).first()
-    blocks = max(1, -(-rows // BLOCK_ROWS))
-    bits = max(0, int(np.ceil(np.log2(max(1, (size or 0) / 6 / BUCKET_WINDOWS)))))
-    bits = max(bits, 8) if (size or 0) > BUCKET_WINDOWS else bits
+    keyed, block, size = _in_blocks(docs, text)
+    bits = max(0, int(np.ceil(np.log2(max(1, size / 6 / BUCKET_WINDOWS)))))
+    bits = max(bits, 8) if size > BUCKET_WINDOWS else bits
     drop = bits // 8  # whole bytes that the bucket already says
-    block = fresh(docs.columns, "_block")
-    # content, not position: rows land in the same block whenever they are read
-    keyed = docs.withColumn(block, F.pmod(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns if c != text], text), F.lit(blocks)))
 
     def send(table: pa.Table) -> pa.Table:
         *_, distinct = _distinct_windows(table, text, width)

@@ -39,6 +39,20 @@ def test_substrings_match_brute_force(spark, monkeypatch, width, block):
         assert sum(b - a for a, b in spans) == gone and all(x[1] < y[0] for x, y in zip(spans, spans[1:], strict=False))
 
 
+def test_equal_rows_are_dealt_over_blocks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(substrings, "BLOCK_ROWS", 16)
+    words = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, words)] * 600 + [(None, words + " end")] * 3 + [(k, f"own{k} " * 4) for k in range(2, 300)] + [(300, None)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(path)
+    got = substrings.remove_repeated_windows(spark.read.parquet(path), width=5).collect()
+    assert collections.Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == collections.Counter(
+        (d, *r) for (d, _), r in zip(rows, brute.cut_windows([t for _, t in rows], 5), strict=True))
+    keyed, block, size = substrings._in_blocks(spark.read.parquet(path), "text")
+    assert size == sum(len(t or "") for _, t in rows)
+    assert keyed.groupBy(block).count().agg(F.max("count")).first()[0] < 100  # 600 equal rows would be one block otherwise
+
+
 def test_substrings_awkward(spark, awkward, nothing):
     rows = substrings.remove_repeated_windows(awkward, width=5).collect()
     assert len(rows) == awkward.count() and all(r._block == "keep" for r in rows)

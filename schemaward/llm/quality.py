@@ -138,9 +138,8 @@ def apply_rules(docs: DataFrame, labels: DataFrame, text: str = "text", stratum:
 def kept_documents(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that ``apply_rules`` keeps, with their own columns but those of an added name.
 
-    The running number holds the filter above the measures: pushed below them it would spell their expressions out
-    again inside each other.
+    Texts are written once beside their measures, so every text is measured once and the filter reads stored columns.
     """
-    row = fresh([*docs.columns, *ADDED], "_row")
-    judged = apply_rules(docs.drop(*ADDED), labels, text, stratum, key).withColumn(row, F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col(row) >= 0)).select([f"`{c}`" for c in docs.columns if c.lower() not in ADDED])
+    measured = store(measure(docs.drop(*ADDED), text), "measured")
+    judged = judge(measured, fit_cutoffs(measured, labels, stratum, key), stratum)
+    return judged.where("kept").select([f"`{c}`" for c in docs.columns if c.lower() not in ADDED])

@@ -130,7 +130,7 @@ def apply_parse_result(meta: DataFrame, results: DataFrame, as_of: str) -> DataF
 
 def meta_content(meta: DataFrame, parsed: DataFrame) -> DataFrame:
     """Metadata with parsed content."""
-    return meta.join(parsed, "page_id")
+    return meta.join(parsed.hint("merge"), "page_id")
 
 
 def mappable(meta: DataFrame, parsed: DataFrame) -> DataFrame:

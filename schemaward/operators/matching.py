@@ -1,4 +1,8 @@
-"""Declared columns mapped to the columns of the objects behind their page."""
+"""Declared columns mapped to the columns of the objects behind their page.
+
+All tables here grow with the pages, and their rows shrink so well in files and shuffles that the planner takes them for
+small ones; joins name the merge join, so that no hash table of theirs is built in the driver.
+"""
 
 from __future__ import annotations
 
@@ -41,25 +45,25 @@ def first_source(specs: DataFrame) -> DataFrame:
 def page_objects(specs: DataFrame, envs: list[str], resolver: DataFrame) -> DataFrame:
     """Objects behind each page in the checked environments."""
     known = resolver.where(F.col("env").isin(*[e.upper() for e in envs]))
-    return first_source(specs).join(known, "source_name").select("page_id", *_OBJECT)
+    return first_source(specs).join(known.hint("merge"), "source_name").select("page_id", *_OBJECT)
 
 
 def with_current_ddl(grid: DataFrame, ddl_state: DataFrame) -> DataFrame:
     """Adds the stored DDL text and fingerprint; objects without either fall out."""
     usable = ddl_state.where("current_ddl <> '' and current_ddl_hash <> ''")
-    return grid.join(usable.select(*_OBJECT, "current_ddl", "current_ddl_hash"), _OBJECT)
+    return grid.join(usable.select(*_OBJECT, "current_ddl", "current_ddl_hash").hint("merge"), _OBJECT)
 
 
 def with_current_hash(grid: DataFrame, ddl_state: DataFrame) -> DataFrame:
     """C16 without the texts: adds the fingerprint; objects without stored DDL fall out."""
     usable = ddl_state.where("current_ddl <> '' and current_ddl_hash <> ''")
-    return grid.join(usable.select(*_OBJECT, "current_ddl_hash"), _OBJECT)
+    return grid.join(usable.select(*_OBJECT, "current_ddl_hash").hint("merge"), _OBJECT)
 
 
 def without_ddl(grid: DataFrame, ddl_state: DataFrame) -> DataFrame:
     """C16, the skip list: objects without stored DDL."""
     usable = ddl_state.where("current_ddl <> '' and current_ddl_hash <> ''")
-    return grid.join(usable.select(*_OBJECT), _OBJECT, "left_anti")
+    return grid.join(usable.select(*_OBJECT).hint("merge"), _OBJECT, "left_anti")
 
 
 def column_names(ddl: Column) -> Column:
@@ -83,15 +87,15 @@ def mapping_skips(specs: DataFrame, envs: list[str], resolver: DataFrame, ddl_st
         return df.select("page_id", (F.lit(None).cast("string") if env is None else env).alias("env"), F.lit(reason).alias("reason")).distinct()
 
     pages = specs.groupBy("page_id").agg(F.max(F.coalesce(is_yes(F.col("add_source_to_target")), F.lit(False))).alias("flagged"))
-    named = pages.join(first_source(specs), "page_id", "left")
+    named = pages.join(first_source(specs).hint("merge"), "page_id", "left")
     names = resolver.select("source_name").distinct().withColumn("known", F.lit(True))
-    placed = named.where("source_name is not null").join(names, "source_name", "left")
+    placed = named.where("source_name is not null").join(names.hint("merge"), "source_name", "left")
     grid = placed.where("known").select("page_id", "source_name", F.explode(F.array(*[F.lit(e.upper()) for e in envs])).alias("env"))
-    found = grid.join(resolver.select("source_name", *_OBJECT), ["source_name", "env"], "left")
+    found = grid.join(resolver.select("source_name", *_OBJECT).hint("merge"), ["source_name", "env"], "left")
     usable = ddl_state.where("current_ddl <> '' and current_ddl_hash <> ''")
-    with_ddl = found.where("fqdn is not null").join(usable.select(*_OBJECT, "current_ddl_hash"), _OBJECT, "left")
+    with_ddl = found.where("fqdn is not null").join(usable.select(*_OBJECT, "current_ddl_hash").hint("merge"), _OBJECT, "left")
     readable = choices_by_ddl(usable).select("current_ddl_hash", F.lit(True).alias("readable"))
-    read = with_ddl.where("current_ddl_hash is not null").join(readable, "current_ddl_hash", "left")
+    read = with_ddl.where("current_ddl_hash is not null").join(readable.hint("merge"), "current_ddl_hash", "left")
     env = F.col("env")
     parts = [rows(pages.where(~F.col("flagged")), "NO_FLAGGED_COLUMNS"), rows(named.where("source_name is null"), "NO_SOURCE_TABLE"),
              rows(placed.where("known is null"), "SOURCE_UNKNOWN"), rows(found.where("fqdn is null"), "NO_OBJECT", env),
@@ -107,7 +111,7 @@ def match_candidates(specs: DataFrame, objects: DataFrame) -> DataFrame:
 
     ``objects``: page_id, object key, current_ddl_hash, current_ddl.
     """
-    return columns_to_map(specs).join(objects.drop("current_ddl"), "page_id").join(choices_by_ddl(objects), "current_ddl_hash")
+    return columns_to_map(specs).join(objects.drop("current_ddl").hint("merge"), "page_id").join(choices_by_ddl(objects).hint("merge"), "current_ddl_hash")
 
 
 def best_matches(wanted: DataFrame, choices: DataFrame, settings: MatchSettings) -> DataFrame:
@@ -117,7 +121,7 @@ def best_matches(wanted: DataFrame, choices: DataFrame, settings: MatchSettings)
     """
     pairs = wanted.select(F.upper("source_field_name").alias("name"), "current_ddl_hash").distinct()
     best = best_choice(settings.strategy, settings.threshold, F.col("name"), F.col("choices"))
-    scored = pairs.join(choices, "current_ddl_hash").select("name", "current_ddl_hash", best.alias("b"))
+    scored = pairs.join(choices.hint("merge"), "current_ddl_hash").select("name", "current_ddl_hash", best.alias("b"))
     return scored.select("name", "current_ddl_hash", F.col("b.matched_column").alias("matched_column"),
                          F.col("b.score").alias("match_score"))
 
@@ -126,7 +130,7 @@ def with_prev_map(new: DataFrame, prev: DataFrame) -> DataFrame:
     """C14: adds the previous mapping of the same key as struct ``old``."""
     kept = ["matched_column", "match_score", "match_strategy", "mapping_status", "ddl_hash_at_mapping", "notes",
             "user_override"]
-    return new.join(prev.select(*KEY, F.struct(*kept).alias("old")), KEY, "left")
+    return new.join(prev.select(*KEY, F.struct(*kept).alias("old")).hint("merge"), KEY, "left")
 
 
 def _score_text(score: Column) -> Column:
@@ -143,15 +147,15 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
     """
     now = F.lit(as_of).cast("timestamp_ntz")
     choices = choices_by_ddl(objects) if choices is None else choices
-    usable = objects.join(choices.select("current_ddl_hash"), "current_ddl_hash", "left_semi")
+    usable = objects.join(choices.select("current_ddl_hash").hint("merge"), "current_ddl_hash", "left_semi")
     # a target named twice on a page is mapped from its last row
     named = columns_to_map(specs).groupBy("page_id", "target_field_name").agg(
         F.max_by(F.struct(*[c for c in specs.columns if c not in ("page_id", "target_field_name")]), "row_ord").alias("s"))
-    flagged = resolve_types(named.select("page_id", "target_field_name", "s.*"), type_map).join(titles, "page_id", "left")
-    found = flagged.join(usable.select("page_id", *_OBJECT, "current_ddl_hash"), "page_id").withColumn("new", F.lit(True))
+    flagged = resolve_types(named.select("page_id", "target_field_name", "s.*"), type_map).join(titles.hint("merge"), "page_id", "left")
+    found = flagged.join(usable.select("page_id", *_OBJECT, "current_ddl_hash").hint("merge"), "page_id").withColumn("new", F.lit(True))
     # one full outer join on unique keys serves both the previous match and the rows no longer mapped
     rest = [c for c in S.COLUMN_MAP.names if c not in KEY]
-    rows = found.join(prev.select(*KEY, F.struct(*rest).alias("old")), KEY, "full_outer")
+    rows = found.join(prev.select(*KEY, F.struct(*rest).alias("old")).hint("merge"), KEY, "full_outer")
     new, override = F.col("new").isNotNull(), F.coalesce(F.col("old.user_override"), F.lit(False))
     unchanged = F.coalesce((F.col("old.ddl_hash_at_mapping") == F.col("current_ddl_hash"))
                            & F.col("old.mapping_status").isin("MAPPED_EXACT", "MAPPED_FUZZY"), F.lit(False))
@@ -160,7 +164,7 @@ def map_columns(specs: DataFrame, objects: DataFrame, prev: DataFrame, titles: D
     # rows without a search get a name of their own that matches nothing: null keys would all meet in one task
     own = F.concat(F.lit("\0"), F.col("page_id").cast("string"), F.lit("\0"), "target_field_name")
     rows = rows.withColumn("name", F.when(F.col("search"), F.upper("source_field_name")).otherwise(own)) \
-        .withColumn("current_ddl_hash", F.coalesce("current_ddl_hash", F.lit(""))).join(best, ["name", "current_ddl_hash"], "left")
+        .withColumn("current_ddl_hash", F.coalesce("current_ddl_hash", F.lit(""))).join(best.hint("merge"), ["name", "current_ddl_hash"], "left")
 
     score = F.col("match_score")
     status = mapping_status(score, settings.exact_only)
@@ -193,8 +197,8 @@ def orphan_mappings(column_map: DataFrame, specs: DataFrame, objects: DataFrame
     """
     live = column_map.where("is_active")
     if objects is not None:
-        live = live.join(objects.select("page_id", *_OBJECT), ["page_id", *_OBJECT], "left_semi")
-    return live.join(specs.select("page_id", "target_field_name"), ["page_id", "target_field_name"], "left_anti")
+        live = live.join(objects.select("page_id", *_OBJECT).hint("merge"), ["page_id", *_OBJECT], "left_semi")
+    return live.join(specs.select("page_id", "target_field_name").hint("merge"), ["page_id", "target_field_name"], "left_anti")
 
 
 def deactivate_orphans(column_map: DataFrame, specs: DataFrame, as_of: str, objects: DataFrame | None = None) -> DataFrame:
@@ -204,10 +208,10 @@ def deactivate_orphans(column_map: DataFrame, specs: DataFrame, as_of: str, obje
     """
     here = F.lit(True)
     listed = specs.select("page_id", "target_field_name").distinct().withColumn("_listed", here)
-    rows = column_map.join(listed, ["page_id", "target_field_name"], "left")
+    rows = column_map.join(listed.hint("merge"), ["page_id", "target_field_name"], "left")
     handled = F.lit(True)
     if objects is not None:
-        rows = rows.join(objects.select("page_id", *_OBJECT).distinct().withColumn("_handled", here), ["page_id", *_OBJECT], "left")
+        rows = rows.join(objects.select("page_id", *_OBJECT).distinct().withColumn("_handled", here).hint("merge"), ["page_id", *_OBJECT], "left")
         handled = F.col("_handled").isNotNull()
     orphan = F.col("is_active") & handled & F.col("_listed").isNull()
     off = orphan & ~F.col("user_override")

@@ -77,8 +77,8 @@ def map_specs(specs: DataFrame, names: DataFrame, flat_resolver: DataFrame, envs
     """The mapping job on declared columns: W2, C16, M7, M8."""
     grid = matching.with_current_hash(matching.page_objects(specs, envs, flat_resolver), ddl_state)
     # a text is read once however many pages refer to it; objects without columns are skipped by both steps
-    wanted = ddl_state.join(grid.select("current_ddl_hash").distinct(), "current_ddl_hash", "left_semi")
+    wanted = ddl_state.join(grid.select("current_ddl_hash").distinct().hint("merge"), "current_ddl_hash", "left_semi")
     choices = matching.choices_by_ddl(wanted)
-    objects = grid.join(choices.select("current_ddl_hash"), "current_ddl_hash", "left_semi")
+    objects = grid.join(choices.select("current_ddl_hash").hint("merge"), "current_ddl_hash", "left_semi")
     mapped = matching.map_columns(specs, objects, prev_map, names, type_map, as_of, settings, choices)
     return matching.deactivate_orphans(mapped, specs, as_of, objects)

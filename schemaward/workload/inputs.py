@@ -301,6 +301,8 @@ def frame(spark: SparkSession, sf_dir: str, name: str, made: dict[str, DataFrame
 def _spark_sql(spark: SparkSession, sf_dir: str, text: str, made: dict[str, DataFrame]) -> DataFrame:
     text = text.replace("timestamp '", "timestamp_ntz '")
     used = {n: frame(spark, sf_dir, n, made) for n in set(_NAME.findall(text))}
+    if " join " in text:  # recipes join tables that all grow: no side is collected in the driver
+        used = {n: df.hint("merge") for n, df in used.items()}
     return spark.sql(_NAME.sub(r"{\1}", text.replace("{", "{{").replace("}", "}}")), **used)
 
 

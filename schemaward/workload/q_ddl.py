@@ -205,7 +205,7 @@ _COLUMNS = f"""select event_id, unnest([1, 2, 3]) as ordinal, unnest(['ID', {_V}
 
 @query(f"select event_id, cast(ordinal as bigint) as ordinal, name, type from ({_COLUMNS}) x")
 def ddl_columns_of_snapshots(c):
-    cols = ddl_columns(c["snapshots"].select("event_id", "ddl"))
+    cols = ddl_columns(c.dealt("snapshots").select("event_id", "ddl"))
     return cols.withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
@@ -222,12 +222,12 @@ def ddl_columns_awkward(c):
         head, F.lit('"Col '), key, F.lit(', (a" varchar( '), 1 + key % 9, F.lit(" ) default '"), F.repeat(F.lit("long, ''text( "), (2000 + key % 100).cast("int")),
         F.lit("', -- a note, not a column int\n b double precision /* x, y int */ not null,\nc timestamp(3) with time zone default f(g(1, h(2, 3)), 'z'), d character varying ( 12 ),"),
         F.lit("\n constraint pk primary key (b, c), e number(38 , "), key % 5, F.lit("), unique (b), check (b > (1 + (2)))) cluster by (b, c)"))
-    return ddl_columns(c["customer"].select("c_custkey", text.alias("ddl"))).withColumn("ordinal", F.col("ordinal").cast("long"))
+    return ddl_columns(c.dealt("customer").select("c_custkey", text.alias("ddl"))).withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
 @query("""select page_id, cast(row_number() over (partition by page_id order by p_partkey) as bigint) as ordinal, name, 'VARCHAR(16)' as type from @page_columns""")
 def ddl_columns_of_pages(c):
-    return ddl_columns(c["page_ddl"]).withColumn("ordinal", F.col("ordinal").cast("long"))
+    return ddl_columns(c.dealt("page_ddl")).withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
 _PAIR = f"""select f.fqdn, f.env, f.ddl as b, f.previous_ddl as a, f.event_id as eb, f.was_at from ({_FOLDED}) f where previous_ddl is not null and ddl is not null"""

@@ -22,6 +22,13 @@ class Context:
     def __getitem__(self, name: str) -> DataFrame:
         return frame(self.spark, self.sf_dir, name, self._made)
 
+    def dealt(self, name: str) -> DataFrame:
+        """An input in as many even parts as a shuffle has, for costly work on each row.
+
+        A small file is one task, and the adaptive planner leaves as few as bytes ask for, however long a row takes.
+        """
+        return self[name].repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
 
 def query(sql: str | None = None, name: str | None = None):
     """Registers a function of a Context under its own name, with comparison SQL over @inputs."""

@@ -67,7 +67,7 @@ def label_values_and_keys(c):
  when instr(y, '</script>') = 0 then '' else ' ' || substr(y, instr(y, '</script>') + 9) end), ''), '<'), lambda x: case when starts_with(x, 'style') then ''
  when starts_with(x, '!--') then substr(x, instr(x, '-->') + 3) else substr(x, instr(x, '>') + 1) end), ' ') as shown from pages) p""")
 def cell_text(c):
-    return c["pages"].select("page_id", X.cell_text(F.col("html")).alias("body"))
+    return c.dealt("pages").select("page_id", X.cell_text(F.col("html")).alias("body"))
 
 
 @query("""select p_partkey, p_brand || ' & ' || p_name || ' ' || case p_size % 4 when 0 then '<é>' when 1 then '€' when 2 then '—' else '&unknown;' end
@@ -76,7 +76,7 @@ def cell_text_awkward(c):
     mark = F.element_at(F.array(F.lit("&lt;&eacute;&gt;"), F.lit("&#128;"), F.lit("&mdash;"), F.lit("&unknown;")), (F.col("p_size") % 4 + 1).cast("int"))
     html = F.concat(F.lit("<TD title='a > b'><script>if (1 < 2) { x = '<p>' }</script>"), "p_brand", F.lit(" &amp; "), "p_name", F.lit("<!-- <b>no</b> --><br/>"), mark,
                     F.lit("&nbsp;<style>p {}</style>&#"), (F.col("p_size") + 200).cast("string"), F.lit(";<b class=\"x>y\">"), "p_type", F.lit("</b><![CDATA[end]]></TD>"))
-    return c["part"].select("p_partkey", X.cell_text(html).alias("body"))
+    return c.dealt("part").select("p_partkey", X.cell_text(html).alias("body"))
 
 
 @query("select event_id, case when ddl <> '' then sha256(ddl) end as ddl_hash from @snapshots")

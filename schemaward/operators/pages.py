@@ -83,20 +83,21 @@ def page_tables(pages: DataFrame, one_per_header: bool = False, filled_rows: boo
     cells, so nothing is shuffled.
     """
     t = outline_pages(pages.select("page_id", "html")).select("page_id", F.inline("tables"))
-    r = t.select("page_id", "table_ord", F.transform("header", X.header_key).alias("keys"), F.inline("rows"))
-    keys, cells = F.col("keys"), F.col("cells")
-
-    def cell(at: Column, key: Column, value: Column) -> Column:
-        return F.struct(at.cast("int").alias("col_ord"), key.alias("key"), value.alias("value"))
-
+    keys = F.col("keys")
     if one_per_header:
-        made = F.transform(F.array_distinct(keys), lambda k: cell(F.array_position(keys, k) - 1, k, _last_value(keys, cells, k)))
+        place = lambda k: F.struct(k.alias("key"), (F.array_position(keys, k) - 1).cast("int").alias("at"), _last_at(keys, k).alias("last"))
+        columns = F.transform(F.array_distinct(keys), place)
     else:
-        made = F.transform(keys, lambda k, at: cell(at, k, X.cell_default(F.get(cells, at), k)))
-    rows = r.select("page_id", "table_ord", "row_ord", made.alias("made"))
-    if filled_rows:
-        rows = rows.where(F.exists("made", lambda e: _meaningful(e["key"], e["value"])))
-    return rows.select("page_id", "table_ord", "row_ord", F.inline("made"))
+        columns = F.transform(keys, lambda k, at: F.struct(k.alias("key"), at.alias("at"), at.alias("last")))
+    # what the header says is worked out once per table, before its rows are dealt out
+    t = t.select("page_id", "table_ord", "rows", F.transform("header", X.header_key).alias("keys")).select("page_id", "table_ord", "rows", columns.alias("columns"))
+    r = t.select("page_id", "table_ord", "columns", F.inline("rows"))
+    made = F.transform("columns", lambda c: F.struct(
+        c["at"].alias("col_ord"), c["key"].alias("key"), X.cell_default(F.get(F.col("cells"), c["last"]), c["key"]).alias("value")))
+    if filled_rows:  # inside one value: a filter on it would work the row out a second time
+        filled = lambda m: F.when(F.exists(m, lambda e: _meaningful(e["key"], e["value"])), m)
+        made = F.transform(F.array(made), filled)[0]
+    return r.select("page_id", "table_ord", "row_ord", F.inline(made))
 
 
 def dedupe_headers(cells: DataFrame) -> DataFrame:
@@ -140,10 +141,13 @@ def pivot_cells(cells: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return by.pivot("key", keys).agg(F.max_by("value", "col_ord"))
 
 
+def _last_at(keys: Column, key: Column) -> Column:
+    return (F.size(keys) - F.array_position(F.reverse(keys), key)).cast("int")
+
+
 def _last_value(keys: Column, cells: Column, key: Column) -> Column:
     """Value of the last column under a header."""
-    at = F.size(keys) - F.array_position(F.reverse(keys), key)
-    return X.cell_default(F.get(cells, at.cast("int")), key)
+    return X.cell_default(F.get(cells, _last_at(keys, key)), key)
 
 
 def _record(keys: Column, cells: Column) -> Column:

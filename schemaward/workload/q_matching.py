@@ -262,7 +262,7 @@ def mapping_job(c):
 @query(_JOB)
 def mapping_from_stored_pages(c):
     """From page HTML: parsed documents as stored content, then the mapping run over the state tables."""
-    content = pages.to_parsed_json(c["spec_pages"]).withColumn("parsed_date", F.lit(AS_OF).cast("timestamp_ntz"))
+    content = pages.to_parsed_json(c.dealt("spec_pages")).withColumn("parsed_date", F.lit(AS_OF).cast("timestamp_ntz"))
     meta = c["spec_pages"].select("page_id", F.col("title").alias("api_title"), F.lit("PARSED_OK").alias("extraction_status"),
                                   F.lit(True).alias("user_verified"))
     return _out(jobs.map_run(meta, content, c["resolver"], ENVIRONMENTS, c["ddl_state"], c["prev_map"], c["type_map"], AS_OF))

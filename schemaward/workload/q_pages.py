@@ -27,29 +27,29 @@ def _long(df):
 
 @query(f"select {_LONG} from ({_CELLS}) c")
 def page_tables(c):
-    return _long(pages.page_tables(c["order_pages"]))
+    return _long(pages.page_tables(c.dealt("order_pages")))
 
 
 @query(f"select {_LONG} from ({_DEDUPED}) c")
 def dedupe_headers(c):
-    return _long(pages.page_tables(c["order_pages"], one_per_header=True))
+    return _long(pages.page_tables(c.dealt("order_pages"), one_per_header=True))
 
 
 @query(f"select {_LONG} from ({_KEPT}) c")
 def drop_blank_rows(c):
-    return _long(pages.page_tables(c["order_pages"], one_per_header=True, filled_rows=True))
+    return _long(pages.page_tables(c.dealt("order_pages"), one_per_header=True, filled_rows=True))
 
 
 @query(f"select page_id, cast(n as bigint) as row_ord, cast(o_orderkey as varchar) as order_key, o_orderstatus as status, o_orderpriority as order_priority from ({_ROWS}) r")
 def pivot_first_table(c):
-    cells = pages.primary_table(pages.page_tables(c["order_pages"]))
+    cells = pages.primary_table(pages.page_tables(c.dealt("order_pages")))
     wide = pages.pivot_cells(cells, ["order_key", "status", "order_priority"])
     return wide.select("page_id", F.col("row_ord").cast("long"), "order_key", "status", "order_priority")
 
 
 @query(f"""select page_id, cast(n as bigint) as row_ord, 'order_key=' || cast(o_orderkey as varchar) || ';order_priority=' || o_orderpriority || ';status=' || o_orderstatus as record from ({_ROWS}) r""")
 def cells_to_records(c):
-    cells = pages.primary_table(pages.page_tables(c["order_pages"]))
+    cells = pages.primary_table(pages.page_tables(c.dealt("order_pages")))
     pairs = F.transform(F.array_sort(F.map_entries("record")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return pages.pivot_cells(cells).select("page_id", F.col("row_ord").cast("long"), F.array_join(pairs, ";").alias("record"))
 
@@ -57,7 +57,7 @@ def cells_to_records(c):
 @query("""select distinct page_id, case when page_id % 3 = 0 then 'Block ' else 'T ' end || cast(page_id as varchar) as table_name, 'S' || cast(page_id % 5 as varchar) as schema_name,
  'D' as database_name, 'a|b' as primary_keys, '' as foreign_keys from (select cast(floor(o_orderkey / 20) as bigint) as page_id from orders) o""")
 def page_labels(c):
-    return pages.page_labels(c["order_pages"]).select(
+    return pages.page_labels(c.dealt("order_pages")).select(
         "page_id", "table_name", "schema_name", "database_name", F.array_join("primary_keys", "|").alias("primary_keys"),
         F.array_join("foreign_keys", "|").alias("foreign_keys"))
 
@@ -69,12 +69,12 @@ def page_labels(c):
  from (select page_id, string_agg('{{"order_key":"' || cast(o_orderkey as varchar) || '","status":"' || o_orderstatus || '","order_priority":"' || o_orderpriority || '"}}', ',' order by n) as rows from ({_ROWS}) r group by page_id) p
  left join (select page_id, string_agg('{{"kind":"' || v[3] || '","deprecated":"' || v[2] || '"}}', ',' order by n) as rows from ({_ODD}) z where v[3] <> '' or v[2] = 'true' group by page_id) o on p.page_id = o.page_id""")
 def parsed_json(c):
-    return pages.to_parsed_json(c["order_pages"])
+    return pages.to_parsed_json(c.dealt("order_pages"))
 
 
 @query("""select page_id, cast(0 as bigint) as tables, table_name from (select page_id, trim(regexp_replace(regexp_replace(url, '[^\\x20-\\x7E\\t\\n\\r]+', ' ', 'g'), '\\s+', ' ', 'g')) as table_name from pages) p""")
 def raw_pages_without_tables(c):
-    site = c["pages"].select("page_id", F.col("url").alias("title"), "html")
+    site = c.dealt("pages").select("page_id", F.col("url").alias("title"), "html")
     return pages.parsed_pages(site).select("page_id", F.size("page.tables").cast("long").alias("tables"), "page.metadata.table_name")
 
 
@@ -102,5 +102,5 @@ _TRIMMED = """select page_id, cast(row_number() over (partition by page_id order
 
 @query(_TRIMMED)
 def declared_columns_from_pages(c):
-    records = pages.primary_table(ingest.explode_parsed(pages.to_parsed_json(c["spec_pages"])))
+    records = pages.primary_table(ingest.explode_parsed(pages.to_parsed_json(c.dealt("spec_pages"))))
     return pages.colspecs(records).withColumn("row_ord", F.col("row_ord").cast("long"))

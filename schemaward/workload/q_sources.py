@@ -126,7 +126,7 @@ def page_bodies(c):
  row_number() over (partition by floor(o_orderkey / 20) order by o_orderkey) - 1 as row_ord,
  cast(o_orderkey as varchar) as order_key, o_orderstatus as status, o_orderpriority as order_priority from orders""")
 def explode_parsed(c):
-    parsed = pages.to_parsed_json(c["order_pages"])
+    parsed = pages.to_parsed_json(c.dealt("order_pages"))
     first = pages.primary_table(ingest.explode_parsed(parsed))
     return first.select("page_id", F.col("table_ord").cast("long"), F.col("row_ord").cast("long"),
                         *[F.col("record")[k].alias(k) for k in ("order_key", "status", "order_priority")])
@@ -162,7 +162,7 @@ def state_lookup(c):
  from (select cast(floor(o_orderkey / 20) as bigint) as page_id, count(*) as n from orders group by 1) p""")
 def write_tables_json(c):
     path = shared_dir(c.spark)
-    W.write_tables_json(pages.parsed_pages(c["order_pages"]), path)
+    W.write_tables_json(pages.parsed_pages(c.dealt("order_pages")), path)
     schema = ("page_id bigint, file_key string,"
               "page struct<metadata:struct<table_name:string>, tables:array<struct<id:string,columns:array<map<string,string>>>>>")
     return c.spark.read.schema(schema).json(path).select(

@@ -23,8 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies (five-word shingles, Jaccard similarity of 0.8 or more): that of the smallest
-    doc_id, null ones last. It is decided by rows, whatever doc_ids repeat; of rows equal in all columns one stays."""
+    """One row of each class of near copies: that of the smallest doc_id, null ones last. SimHash classes (op9's) and then
+    MinHash bands propose them, a Jaccard similarity of 0.8 or more of five-word shingles decides. It is decided by rows,
+    whatever doc_ids repeat; of rows equal in all columns one stays."""
     return near_copies.first_of_classes(docs, size=5, similarity=0.8)
 
 

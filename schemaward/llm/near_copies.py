@@ -1,4 +1,6 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands propose pairs, the whole shingle sets decide."""
+"""Near copies by the Jaccard similarity of word shingles: SimHash classes propose pairs, MinHash bands those that SimHash
+
+leaves apart, and the whole shingle sets decide."""
 
 from __future__ import annotations
 
@@ -13,10 +15,12 @@ from pyspark.sql import types as T
 from schemaward.llm.batches import chunks, fresh, mix, rolling_hashes, small_batches, span_hashes, spread, store, text_buffer, word_spans
 from schemaward.llm.components import smallest_reachable
 from schemaward.llm.marks import Marks
-from schemaward.llm.simhash import _LOWER, PAIR_BUCKET
+from schemaward.llm.simhash import _LOWER, PAIR_BUCKET, row_fingerprints
+from schemaward.llm.simhash import near_links as fingerprint_links
 
 BANDS, ROWS = 24, 5  # a pair at 0.8 shares no band with a chance of (1 - 0.8**5)**24, under 1 in 10,000
 ROUNDS = ((0, 2), (2, 8), (8, BANDS))  # bands whose members are linked to a centre before the next ones are looked at
+PRINT = 3            # words of a shingle of the fingerprints, as in op9
 LEVELS = 3           # bands that crowded buckets are split by at most
 _DRAW = np.random.default_rng(805)
 _TIMES = _DRAW.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -65,12 +69,12 @@ def _bands(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys, rows
 
 
-def _rows_of(batch: pa.RecordBatch, text: str, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, shingles and row offsets of pieces of a batch."""
+def _pieces_of(batch: pa.RecordBatch, text: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, bytes in lower case and row offsets of pieces of a batch."""
     data, offsets = text_buffer(batch.column(batch.schema.get_field_index(text)))
     data = _LOWER[data]
     for i, j in chunks(offsets):
-        yield i, *shingle_sets(data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i], size)
+        yield i, data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i]
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -78,18 +82,20 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def _marked(docs: DataFrame, text: str, keep: list[str], size: int, names: list[str]) -> DataFrame:
-    """(keep, set, n, bands): the name of each row's shingle set, its size and its band keys."""
-    schema = T.StructType([*[docs.schema[k] for k in keep], *[T.StructField(n, t) for n, t in zip(names, (T.LongType(), T.LongType(), T.ArrayType(T.LongType())), strict=True)]])
+    """(keep, set, n, bands, print): the name of each row's shingle set, its size, its band keys and the row's fingerprint."""
+    schema = T.StructType([*[docs.schema[k] for k in keep], *[T.StructField(n, t) for n, t in zip(names, (T.LongType(), T.LongType(), T.ArrayType(T.LongType()), T.LongType()), strict=True)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = [batch.schema.get_field_index(k) for k in keep]
-            for i, values, first in _rows_of(batch, text, size):
+            for i, data, offsets in _pieces_of(batch, text):
+                values, first = shingle_sets(data, offsets, size)
                 keys, rows = _bands(values, first)
                 many = np.zeros(len(first), np.int32)
                 many[rows + 1] = BANDS
                 bands = pa.ListArray.from_arrays(pa.array(np.cumsum(many, dtype=np.int32)), _signed(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(i, len(first) - 1) for k in at], _signed(_set_ids(values, first)), pa.array(np.diff(first), pa.int64()), bands], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(i, len(first) - 1) for k in at], _signed(_set_ids(values, first)), pa.array(np.diff(first), pa.int64()), bands,
+                                                  _signed(row_fingerprints(data, offsets, PRINT))], names=schema.names)
 
     return docs.select(*[f"`{k}`" for k in keep], f"`{text}`").mapInArrow(run, schema)
 
@@ -100,7 +106,8 @@ def _sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, values, first in _rows_of(batch, text, size):
+            for _, data, offsets in _pieces_of(batch, text):
+                values, first = shingle_sets(data, offsets, size)
                 ids = _set_ids(values, first)
                 rows = np.flatnonzero(marks.among(ids))
                 counts = np.diff(first)[rows]
@@ -139,9 +146,19 @@ def _pairs(apart: DataFrame, similarity: float) -> DataFrame:
     return both.where(F.least("size_a", "size_b") / F.greatest("size_a", "size_b") >= similarity).select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
 
 
+def _by_fingerprint(distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b): every set and the first one of its SimHash class, in which fingerprints link at two bits or fewer."""
+    prints = distinct.where("size > 0").select("set", "fp")
+    roots = smallest_reachable(fingerprint_links(prints.select("fp").distinct()))
+    rooted = store(_rooted(prints, roots.select(F.col("node").alias("set"), "root"), "fp", "class"), "classes")
+    first = rooted.groupBy("class").agg(F.min("set").alias("a"), F.max("set").alias("last")).where("a <> last").select("class", "a")
+    return rooted.join(first.hint("merge"), "class").where("set <> a").select("a", F.col("set").alias("b"))
+
+
 def near_links(distinct: DataFrame, docs: DataFrame, text: str, size: int, similarity: float) -> DataFrame | None:
-    """(set, root) of linked sets of ``distinct`` (set, size, bands): what shares a band and reaches the similarity.
+    """(set, root) of linked sets of ``distinct`` (set, size, bands, fp): what SimHash or a band proposes and reaches the similarity.
 
+    SimHash comes first: each set is compared with the first one of its class, so most copies are linked by one pair.
     Every set is compared with one centre of its bucket, another in each band, and only if the links found in earlier
     rounds of bands do not connect them yet: a crowd of near copies costs about one comparison a set. Members that stay
     apart are compared pair by pair in buckets of up to PAIR_BUCKET; larger ones are split by a second and third band
@@ -151,7 +168,9 @@ def near_links(distinct: DataFrame, docs: DataFrame, text: str, size: int, simil
     keyed = distinct.select("set", "size", F.posexplode("bands").alias("band", "key"))
     centres = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("key", "set").alias("h"), "set", "size")).alias("c")).where("n > 1")
     members = store(keyed.join(centres.select("key", F.col("c.set").alias("centre"), F.col("c.size").alias("centre_size")).hint("merge"), "key"), "buckets")
-    sets = store(_sets(docs, text, size, members.select("set").distinct()), "sets")
+    alike = store(_by_fingerprint(distinct), "alike")
+    wanted = members.select("set").unionAll(alike.select("a")).unionAll(alike.select("b")).distinct()
+    sets = store(_sets(docs, text, size, wanted), "sets")
     links = roots = None
 
     def linked(pairs: DataFrame) -> None:
@@ -162,6 +181,7 @@ def near_links(distinct: DataFrame, docs: DataFrame, text: str, size: int, simil
         links = found if links is None else links.unionAll(found)
         roots = store(smallest_reachable(links).select(F.col("node").alias("set"), "root"), "roots")
 
+    linked(alike)
     for low, high in ROUNDS:
         near = members.where(F.col("band").between(low, high - 1) & (F.col("set") != F.col("centre")) & (F.least("size", "centre_size") / F.greatest("size", "centre_size") >= similarity))
         near = _rooted(_rooted(near, roots, "set", "x"), roots, "centre", "y").where("x <> y")
@@ -184,7 +204,7 @@ def near_links(distinct: DataFrame, docs: DataFrame, text: str, size: int, simil
 
 def _classes(marked: DataFrame, names: list[str], low, docs: DataFrame, text: str, size: int, similarity: float) -> DataFrame:
     """(set, low, root): one row per distinct set with the least ``low`` of its rows."""
-    distinct = store(marked.groupBy(*[F.col(n).alias(m) for n, m in zip(names, ("set", "size", "bands"), strict=True)]).agg(F.min(low).alias("low")), "distinct")
+    distinct = store(marked.groupBy(*[F.col(n).alias(m) for n, m in zip(names, ("set", "size", "bands"), strict=False)]).agg(F.min(names[3]).alias("fp"), F.min(low).alias("low")), "distinct")
     return _rooted(distinct.select("set", "low"), near_links(distinct.drop("low"), docs, text, size, similarity), "set", "root")
 
 
@@ -196,7 +216,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", size:
     and never name a class unless it has no other key.
     """
     small_batches(docs.sparkSession)
-    names = [fresh([key], n) for n in ("set", "size", "bands")]
+    names = [fresh([key], n) for n in ("set", "size", "bands", "print")]
     marked = store(_marked(docs, text, [key], size, names), "marked")
     classes = _classes(marked, names, F.col(f"`{key}`"), docs, text, size, similarity)
     # one row per set; a class of any size is reduced before it is joined
@@ -212,7 +232,7 @@ def first_of_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", s
     one stays. Columns of map type are not allowed, as a row is known by a hash of all its columns beside its key.
     """
     small_batches(docs.sparkSession)
-    names = [fresh([*docs.columns, "_hash"], n) for n in ("_set", "_size", "_bands")]
+    names = [fresh([*docs.columns, "_hash"], n) for n in ("_set", "_size", "_bands", "_print")]
     mark = fresh(docs.columns, "_hash")
     hashed = docs.withColumn(mark, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     marked = store(_marked(hashed, text, [key, mark], size, names), "marked")

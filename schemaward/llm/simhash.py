@@ -59,6 +59,11 @@ def _shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[n
     return hashes, np.concatenate([[0], np.cumsum(counts)])
 
 
+def row_fingerprints(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
+    """The fingerprint of every row of a buffer in lower case."""
+    return _majority(*_shingle_hashes(data, offsets, size))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", size: int = 3) -> DataFrame:
     """``docs`` without its text, with fingerprint (a long that holds the 64 bits).
 
@@ -75,8 +80,7 @@ def fingerprints(docs: DataFrame, text: str = "text", size: int = 3) -> DataFram
             data, offsets = text_buffer(batch.column(batch.schema.get_field_index(text)))
             data, parts = _LOWER[data], [np.zeros(0, np.uint64)]
             for i, j in chunks(offsets):
-                hashes, first = _shingle_hashes(data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i], size)
-                parts.append(_majority(hashes, first))
+                parts.append(row_fingerprints(data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i], size))
             made = pa.array(np.concatenate(parts).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in keep] + [made], names=[*keep, name])
 

@@ -109,3 +109,15 @@ def test_near_copies_awkward(spark, awkward, nothing):
     rows = sorted((str(r.doc_id), r.component_id) for r in near_copies.near_copies(awkward).collect())
     assert rows == [("1", 1), ("2", 1), ("3", 1), ("5", 5), ("6", 6), ("7", 7), ("7", 7), ("8", 7), ("9", 9), ("None", None)]
     assert near_copies.near_copies(nothing).count() == 0
+
+
+def test_near_dedup_stage_links_simhash_classes(spark, monkeypatch):
+    """Without bands, SimHash classes alone still bring copies with a changed ending together, and dissimilar ones not."""
+    monkeypatch.setattr(near_copies, "ROUNDS", ())
+    monkeypatch.setattr(near_copies, "LEVELS", 0)
+    base = " ".join(f"{WORDS[k % len(WORDS)]}{k}" for k in range(2000))
+    texts = [base, base + " end", base + " stop", " ".join(["same line here"] * 400), " ".join(["same line here"] * 400) + " but " + " ".join(f"new{k}" for k in range(9))]
+    prints = [brute.fingerprint(t) for t in texts]
+    assert brute.classes(prints)[:3] == [0, 0, 0] and len(set(prints[:3])) > 1
+    docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [0, 3, 4]

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,13 +16,16 @@ from pyspark.sql import types as T
 from schemaward.llm.batches import chunks, fresh, mix, rolling_hashes, small_batches, span_hashes, spread, store, text_buffer, word_spans
 from schemaward.llm.components import smallest_reachable
 from schemaward.llm.marks import Marks
-from schemaward.llm.simhash import _LOWER, PAIR_BUCKET, row_fingerprints
+from schemaward.llm.simhash import _LOWER, row_fingerprints
 from schemaward.llm.simhash import near_links as fingerprint_links
 
 BANDS, ROWS = 24, 5  # a pair at 0.8 shares no band with a chance of (1 - 0.8**5)**24, under 1 in 10,000
-ROUNDS = ((0, 2), (2, 8), (8, BANDS))  # bands whose members are linked to a centre before the next ones are looked at
+ROUNDS = ((0, 2), (2, BANDS))  # bands whose members are linked to a centre before the next ones are looked at
 PRINT = 3            # words of a shingle of the fingerprints, as in op9
-LEVELS = 3           # bands that crowded buckets are split by at most
+LEVELS = 1           # passes over what the rounds leave apart; one compares all of it
+PAIR_BUCKET = 256    # members of a block of a bucket; two blocks are compared in one place
+BLOCK_SHINGLES = 1 << 18  # and their shingles, 2 MB
+COLUMNS = 1 << 12    # shingles of a tile that are counted at once
 _DRAW = np.random.default_rng(805)
 _TIMES = _DRAW.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _DRAW.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
@@ -134,16 +138,102 @@ def _rooted(rows: DataFrame, roots: DataFrame | None, column: str, name: str) ->
 
 
 def _apart(members: DataFrame) -> DataFrame:
-    """Members (key, band, set, size, root) of buckets that hold several classes, with the number of members."""
-    mixed = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key", "n")
-    return members.join(mixed.hint("merge"), "key")
+    """Members (key, set, size, root) of buckets that hold several classes; of buckets with the same members one stays."""
+    mixed = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("set")).alias("x"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return members.join(mixed.groupBy("n", "x", "lo", "hi").agg(F.min("key").alias("key")).select("key").hint("merge"), "key")
 
 
-def _pairs(apart: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of members of one bucket, of different classes, that can reach the bound by their sizes."""
-    a, b = (apart.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("set", "size", "root")]) for side in "ab")
-    both = a.join(b.hint("merge"), "key").where("set_a < set_b and root_a <> root_b")
-    return both.where(F.least("size_a", "size_b") / F.greatest("size_a", "size_b") >= similarity).select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
+def _tiles(apart: DataFrame) -> DataFrame:
+    """(tile, left, set, root): the members of every two blocks of a bucket, and of each block by itself.
+
+    A block holds about PAIR_BUCKET members or BLOCK_SHINGLES shingles. A large class has blocks of its own, which are
+    not compared with each other, so a crowd of near copies meets only the others of its bucket.
+    """
+    weight = F.greatest(F.lit(1 / PAIR_BUCKET), F.col("size") / F.lit(BLOCK_SHINGLES))
+    classes = apart.groupBy("key", "root").agg(F.sum(weight).alias("w"))
+    pools = classes.groupBy("key").agg(F.greatest(F.ceil(F.sum(F.when(F.col("w") <= 0.5, F.col("w")).otherwise(0.0))), F.lit(1)).alias("pool"))
+    alone = F.col("w") > 0.5
+    part = F.when(alone, F.pmod(F.xxhash64("set"), F.ceil("w"))).otherwise(F.pmod(F.xxhash64("root"), "pool"))
+    block = F.xxhash64("key", alone, F.when(alone, F.col("root")).otherwise(F.lit(0).cast("long")), part)
+    dealt = store(apart.join(classes.hint("merge"), ["key", "root"]).join(pools.hint("merge"), "key").select("key", block.alias("block"), "set", "root"), "blocks")
+    blocks = dealt.groupBy("key", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    a, b = (blocks.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("block", "lo", "hi")]) for side in "ab")
+    both = a.join(b.hint("merge"), "key").where("block_a <= block_b and least(lo_a, lo_b) <> greatest(hi_a, hi_b)")
+    meet = both.select(F.xxhash64("block_a", "block_b").alias("tile"), "block_a", F.explode(F.array_distinct(F.array("block_a", "block_b"))).alias("block"))
+    return dealt.drop("key").join(meet.hint("merge"), "block").select("tile", (F.col("block") == F.col("block_a")).alias("left"), "set", "root")
+
+
+def _common(values: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many values each row of ``left`` shares with each of ``right``; a row's values differ."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    column = np.unique(values, return_inverse=True)[1]
+    shared = np.bincount(column) > 1  # a value of one row alone meets nothing
+    keep = shared[column]
+    owner, column = owner[keep], (np.cumsum(shared) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    width = int(shared.sum())
+    for lo in range(0, width, COLUMNS):
+        i, j = np.searchsorted(column, [lo, lo + COLUMNS])
+        held = np.zeros((len(counts), min(COLUMNS, width - lo)), np.float32)
+        held[owner[i:j], column[i:j] - lo] = 1
+        out += held[left] @ held[right].T
+    return out.astype(np.int64)
+
+
+def _tile_links(values: np.ndarray, counts: np.ndarray, roots: np.ndarray, first: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links (smaller, larger) that join the classes of a tile whose members reach the similarity, no more than join them."""
+    left, right = np.flatnonzero(first), np.flatnonzero(~first)
+    if not len(right):
+        right = left
+    common = _common(values, counts, left, right)
+    whole = counts[left][:, None] + counts[right][None, :] - common
+    i, j = np.nonzero((common / whole >= similarity) & (roots[left][:, None] != roots[right][None, :]))
+    pairs = np.sort(np.stack([roots[left[i]], roots[right[j]]], axis=1), axis=1)
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            x = above[x]
+        return x
+    out = []
+    for a, b in np.unique(pairs, axis=0).tolist():
+        x, y = sorted((top(a), top(b)))
+        if x != y:
+            above[y] = x
+            out.append((a, b))
+    return out
+
+
+def _compared(apart: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) of classes with members of one bucket that reach the similarity.
+
+    Members travel once per tile with their shingles, and a tile's pairs are counted by products of its 0/1 matrix,
+    so no row is made for a pair. Two blocks of a few megabytes are the most that meet in one place.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rest = batch if rest is None else pa.concat_batches([rest, batch])
+            tile = rest.column(0).to_numpy()
+            cut = int(np.searchsorted(tile, tile[-1])) if len(tile) else 0
+            if cut:
+                yield links(rest.slice(0, cut))
+                rest = rest.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield links(rest)
+
+    def links(rows: pa.RecordBatch) -> pa.RecordBatch:
+        tile, left, root = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        counts = pc.list_value_length(rows.column(3)).to_numpy().astype(np.int64)
+        values, ends = rows.column(3).flatten().to_numpy(), np.concatenate([[0], np.cumsum(counts)])
+        edges = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)]
+        out = [x for i, j in zip(edges, edges[1:]) for x in _tile_links(values[ends[i]: ends[j]], counts[i:j], root[i:j], left[i:j], similarity)]
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    rows = _tiles(apart).join(sets.hint("merge"), "set").select("tile", "left", "root", "shingles")
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long").distinct()
 
 
 def _by_fingerprint(distinct: DataFrame) -> DataFrame:
@@ -160,10 +250,9 @@ def near_links(distinct: DataFrame, docs: DataFrame, text: str, size: int, simil
 
     SimHash comes first: each set is compared with the first one of its class, so most copies are linked by one pair.
     Every set is compared with one centre of its bucket, another in each band, and only if the links found in earlier
-    rounds of bands do not connect them yet: a crowd of near copies costs about one comparison a set. Members that stay
-    apart are compared pair by pair in buckets of up to PAIR_BUCKET; larger ones are split by a second and third band
-    that two sets share (a pair at 0.8 shares three or more of 24 with a chance over 0.99), so texts just under the
-    similarity do not pair up by the square of their number.
+    rounds of bands do not connect them yet: a crowd of near copies costs about one comparison a set. In buckets
+    whose members stay apart all classes are compared by whole sets, in tiles of two blocks: rows grow with the members
+    (up to PAIR_BUCKET, then with the number of blocks), and none of the pairs that share a band is left out.
     """
     keyed = distinct.select("set", "size", F.posexplode("bands").alias("band", "key"))
     centres = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("key", "set").alias("h"), "set", "size")).alias("c")).where("n > 1")
@@ -171,34 +260,28 @@ def near_links(distinct: DataFrame, docs: DataFrame, text: str, size: int, simil
     alike = store(_by_fingerprint(distinct), "alike")
     wanted = members.select("set").unionAll(alike.select("a")).unionAll(alike.select("b")).distinct()
     sets = store(_sets(docs, text, size, wanted), "sets")
-    links = roots = None
+    roots = None
 
-    def linked(pairs: DataFrame) -> None:
-        nonlocal links, roots
-        found = store(_verified(pairs, sets, similarity), "verified")
+    def linked(links: DataFrame) -> None:
+        """Adds links of sets or of classes: only the classes that they join are looked at again."""
+        nonlocal roots
+        found = store(links, "verified")
         if found.isEmpty():
             return
-        links = found if links is None else links.unionAll(found)
-        roots = store(smallest_reachable(links).select(F.col("node").alias("set"), "root"), "roots")
-
-    linked(alike)
+        between = _rooted(_rooted(found, roots, "a", "x"), roots, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        joined = smallest_reachable(between).select(F.col("node").alias("set"), "root")
+        if roots is not None:
+            others = joined.join(roots.select("set").hint("merge"), "set", "left_anti")
+            joined = _rooted(roots.select("set", F.col("root").alias("was")), joined, "was", "root").select("set", "root").unionAll(others)
+        roots = store(joined, "roots")
+
+    linked(_verified(alike, sets, similarity))
     for low, high in ROUNDS:
         near = members.where(F.col("band").between(low, high - 1) & (F.col("set") != F.col("centre")) & (F.least("size", "centre_size") / F.greatest("size", "centre_size") >= similarity))
         near = _rooted(_rooted(near, roots, "set", "x"), roots, "centre", "y").where("x <> y")
-        linked(near.select(F.least("set", "centre").alias("a"), F.greatest("set", "centre").alias("b")).distinct())
-    rest = _rooted(members.select("key", "band", "set", "size"), roots, "set", "root")
-    others = distinct.select(F.col("set").alias("of"), F.posexplode("bands").alias("band2", "key2"))
-    for level in range(LEVELS):
-        apart = store(_apart(rest), "apart")
-        if apart.isEmpty():
-            break
-        last = level == LEVELS - 1
-        linked(_pairs(apart if last else apart.where(F.col("n") <= PAIR_BUCKET), similarity))
-        crowd = apart.where(F.col("n") > PAIR_BUCKET).drop("n", "root")
-        if last or crowd.isEmpty():
-            break
-        split = crowd.join(others.hint("merge"), (F.col("set") == F.col("of")) & (F.col("band2") > F.col("band")))
-        rest = _rooted(split.select(F.xxhash64("key", "key2").alias("key"), F.col("band2").alias("band"), "set", "size"), roots, "set", "root")
+        linked(_verified(near.select(F.least("set", "centre").alias("a"), F.greatest("set", "centre").alias("b")), sets, similarity))
+    for _ in range(LEVELS):
+        linked(_compared(store(_apart(_rooted(members.select("key", "set", "size"), roots, "set", "root")), "apart"), sets, similarity))
     return roots
 
 

@@ -105,6 +105,34 @@ def test_proposed_pairs_grow_with_the_input(spark, monkeypatch):
     assert per[1, 400] < 3 and per[1, 400] < 1.5 * per[1, 100] and per[4, 400] < 2 * per[4, 100], per
 
 
+def test_rows_of_a_crowd_grow_with_the_input(spark, monkeypatch):
+    """Texts just under the similarity: no step makes rows by the square of their number, nor by pairs of bands."""
+    rng = random.Random(9)
+    base = [rng.choice(WORDS) + str(rng.randrange(90)) for _ in range(200)]
+    made, real = [], near_copies.store
+    monkeypatch.setattr(near_copies, "store", lambda df, name: (out := real(df, name), made.append(out.count()))[0])
+    per = {}
+    for n in (60, 240):
+        made.clear()
+        texts = [" ".join(rng.choice(WORDS) + str(rng.randrange(9000)) if at % 50 == k % 25 else w for at, w in enumerate(base)) for k in range(n)]
+        near_copies.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
+        per[n] = max(made) / n
+    assert per[240] < 2 * per[60] and per[240] <= near_copies.BANDS, per
+
+
+def test_blocks_of_a_crowd_lose_no_pair(spark, monkeypatch):
+    """Every two members of a bucket meet in a tile unless they are of one class, whatever blocks they lie in."""
+    monkeypatch.setattr(near_copies, "PAIR_BUCKET", 3)
+    rng = random.Random(4)
+    rows = [(key, s, rng.choice([50, 200_000]), rng.choice([1, 1, 1, s])) for key in range(4) for s in rng.sample(range(2, 60), 25)]
+    tiles = {}
+    for r in near_copies._tiles(spark.createDataFrame(rows, "key long, set long, size long, root long")).collect():
+        tiles.setdefault(r.tile, []).append((r.left, r.set, r.root))
+    met = {(s, t) for x in tiles.values() for a, s, _ in x for b, t, _ in x if s < t and (a != b or all(y[0] for y in x))}
+    assert met >= {(min(s, t), max(s, t)) for k, s, _, x in rows for j, t, _, y in rows if k == j and x != y}
+    assert not any(len({r for _, _, r in x}) == 1 for x in tiles.values())
+
+
 def test_near_copies_awkward(spark, awkward, nothing):
     rows = sorted((str(r.doc_id), r.component_id) for r in near_copies.near_copies(awkward).collect())
     assert rows == [("1", 1), ("2", 1), ("3", 1), ("5", 5), ("6", 6), ("7", 7), ("7", 7), ("8", 7), ("9", 9), ("None", None)]

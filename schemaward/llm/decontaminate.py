@@ -281,6 +281,7 @@ class Searcher:
             held[w, k] = True
         self.held = np.packbits(held, axis=1, bitorder="little")
         self.lengths = np.array([len(w) for w in items.words], np.int64)
+        self.answers = np.array([np.resize(w[-ANSWER:], ANSWER) for w in items.words], np.int64).reshape(len(items.words), ANSWER)
 
     def _near(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """(row, item, first word, end word, cosine) of the sliding passages near an item, as columns."""
@@ -306,17 +307,22 @@ class Searcher:
     def _possible(self, words: np.ndarray, item: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which candidates can be leaks at all: the words of the passage that stand in the item bound the common
         subsequence from above, and a paraphrase needs every word of the answer."""
-        out = []
+        out, width, held = [], self.held.shape[1], self.held.ravel()
         for k in range(0, len(item), 1 << 14):
             i, lo, sizes = item[k: k + (1 << 14)], a[k: k + (1 << 14)], (b - a)[k: k + (1 << 14)]
-            w, of = words[spread(lo, sizes)], np.repeat(i, sizes)
-            inside = np.concatenate([[0], np.cumsum(self.held[w, of >> 3] >> (of & 7).astype(np.uint8) & 1, dtype=np.int64)])
-            end = np.cumsum(sizes)
-            bound = inside[end] - inside[end - sizes]
+            w, begin = words[spread(lo, sizes)], np.cumsum(sizes) - sizes
+            inside = held[w * np.int64(width) + np.repeat(i >> 3, sizes)] >> np.repeat((i & 7).astype(np.uint8), sizes) & 1
+            bound = np.add.reduceat(inside, begin, dtype=np.int64)
             some = np.flatnonzero(bound >= PARAPHRASED * self.lengths[i] - 1e-9)
             weak = some[bound[some] < COPIED * self.lengths[i[some]] - 1e-9]
-            lacks = [x for x in weak.tolist() if not np.isin(self.items.words[i[x]][-ANSWER:], words[lo[x]: lo[x] + sizes[x]]).all()]
-            out.append(k + np.setdiff1d(some, np.array(lacks, np.int64)))
+            if len(weak):
+                many = sizes[weak]
+                w, first = w[spread(begin[weak], many)], np.cumsum(many) - many
+                whole = np.ones(len(weak), bool)
+                for answer in self.answers[i[weak]].T:
+                    whole &= np.logical_or.reduceat(w == np.repeat(answer, many), first)
+                some = np.setdiff1d(some, weak[~whole])
+            out.append(k + some)
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def search(self, words: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple]:

@@ -149,6 +149,25 @@ def test_bounds_lose_no_leak(monkeypatch):
     assert got == searcher.search(words, ends) and got
 
 
+def test_bounds_check_all_candidates_at_once(monkeypatch):
+    """The bound by words and answers is that of a plain comparison, without a call for each candidate."""
+    rng = random.Random(3)
+    items = decontaminate.Items(list(range(40)), [" ".join(rng.choices(WORDS[:9], k=rng.randint(1, 30))) for _ in range(40)])
+    searcher = decontaminate.Searcher(items, np.zeros((len(items.vocabulary), 2)))
+    words = np.array(rng.choices(range(-1, len(items.vocabulary)), k=900), np.int32)
+    item = np.array([rng.randrange(40) for _ in range(3000)])
+    a = np.array([rng.randrange(890) for _ in item])
+    b = np.minimum(a + np.array([rng.randint(1, 40) for _ in item]), len(words))
+    want = []
+    for n, (k, x, y) in enumerate(zip(item.tolist(), a.tolist(), b.tolist(), strict=True)):
+        own, there = items.words[k].tolist(), words[x:y].tolist()
+        share = sum(w in own for w in there) / len(own)
+        if share >= decontaminate.COPIED - 1e-9 or share >= decontaminate.PARAPHRASED - 1e-9 and set(own[-decontaminate.ANSWER:]) <= set(there):
+            want.append(n)
+    monkeypatch.setattr(np, "isin", None)
+    assert searcher._possible(words, item, a, b).tolist() == want and 100 < len(want) < 2900
+
+
 def test_decontamination_awkward(spark, awkward, nothing):
     _, items, _ = _leaky(spark)
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "!!!"), (None, "quartz meadow signal harbour violin copper thistle orbit"), (5, "one")], "item_id long, text string")
